@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import oracle
-from ..operators import gold, silver
+from ..operators import gold, ingest, silver
 from ..sources import testdata as td
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,10 @@ def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.stg_clickstream(td.bronze(spark, sf_dir))
 
 
+def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ingest.parse_events(td.envelope(spark, sf_dir), processing_time="broker")
+
+
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {}
     as_of = oracle.AS_OF
@@ -46,4 +50,13 @@ def queries() -> dict[str, Query]:
     q["fct_cart_abandonment"] = lambda s, d: gold.fct_cart_abandonment(_enriched(s, d), as_of)
     q["cart_abandonment_first"] = lambda s, d: gold.fct_cart_abandonment(_enriched(s, d), as_of, first_only=True)
     q["minute_revenue"] = lambda s, d: gold.minute_revenue(_enriched(s, d))
+    # ingest
+    q["publish_envelope"] = lambda s, d: ingest.publish_envelope(td.bronze(s, d))
+    q["sink_row_prep"] = lambda s, d: ingest.sink_row_prep(td.bronze(s, d))
+    q["parse_events"] = lambda s, d: _parsed(s, d)
+    q["validate_events"] = lambda s, d: ingest.accepted(_parsed(s, d))
+    q["dead_letter"] = lambda s, d: ingest.dead_letter(_parsed(s, d))
+    q["required_fields"] = lambda s, d: ingest.missing_required(_parsed(s, d))
+    q["synth_event_id"] = lambda s, d: ingest.event_ids(_parsed(s, d))
+    q["ingest_stats"] = lambda s, d: ingest.ingest_stats(_parsed(s, d))
     return q
