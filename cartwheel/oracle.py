@@ -366,7 +366,7 @@ BRONZE_COLS = (
 
 
 def queries() -> dict[str, str]:
-    q: dict[str, str] = {}
+    q: dict[str, str] = dict(quality_queries())
     q["bronze_scan"] = build("SELECT * FROM bronze", "bronze")
     q["dedup_latest"] = build("SELECT * FROM deduped", "deduped")
     q["silver_validated"] = build("SELECT * FROM silver", "silver")
@@ -482,3 +482,335 @@ GROUP BY 1, 2
         "bronze",
     )
     return q
+
+
+# --------------------------------------------------------------------------------------------------------
+# Quality checks: SQL of each check kind (same definitions as quality.checks, written as SQL)
+# --------------------------------------------------------------------------------------------------------
+def _q(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def check_sql(chk, table_cte: str, table_name: str, as_of: str | None = None) -> str:
+    col = chk.column
+    k = chk.kind
+    if k == "missing_count":
+        m = f"(SELECT count(*) FILTER (WHERE {col} IS NULL) FROM {table_cte})"
+    elif k == "invalid_count":
+        vals = ", ".join(_q(v) for v in chk.values)
+        m = f"(SELECT count(*) FILTER (WHERE {col} IS NOT NULL AND {col} NOT IN ({vals})) FROM {table_cte})"
+    elif k == "between":
+        conds = []
+        if chk.low is not None:
+            conds.append(f"{col} >= {chk.low}")
+        if chk.high is not None:
+            conds.append(f"{col} <= {chk.high}")
+        ok = " AND ".join(conds) or "true"
+        m = f"(SELECT count(*) FILTER (WHERE {col} IS NOT NULL AND NOT ({ok})) FROM {table_cte})"
+    elif k == "min_at_least":
+        m = f"(SELECT min({col}) FROM {table_cte})"
+    elif k == "max_at_most":
+        m = f"(SELECT max({col}) FROM {table_cte})"
+    elif k == "row_predicate":
+        m = f"(SELECT count(*) FILTER (WHERE NOT coalesce({chk.expr}, true)) FROM {table_cte})"
+    elif k == "failed_rows":
+        m = f"(SELECT count(*) FILTER (WHERE coalesce({chk.expr}, false)) FROM {table_cte})"
+    elif k == "row_count_above":
+        m = f"(SELECT count(*) FROM {table_cte})"
+    elif k == "freshness":
+        m = f"(SELECT date_sub('second', max({col}), TIMESTAMP '{as_of}') FROM {table_cte})"
+    elif k == "duplicate_count":
+        m = (
+            f"(SELECT count(*) FROM (SELECT {col} FROM {table_cte} WHERE {col} IS NOT NULL "
+            f"GROUP BY {col} HAVING count(*) > 1))"
+        )
+    else:
+        raise ValueError(k)
+    thr = float(chk.threshold)
+    if k == "min_at_least":
+        outcome = f"CASE WHEN coalesce(m < {thr}, false) THEN 'fail' ELSE 'pass' END"
+    elif k == "row_count_above":
+        outcome = f"CASE WHEN coalesce(m <= {thr}, false) THEN 'fail' ELSE 'pass' END"
+    elif k == "freshness":
+        warn = f"m >= {float(chk.warn_threshold)}" if chk.warn_threshold is not None else "false"
+        outcome = f"CASE WHEN m IS NULL OR m >= {thr} THEN 'fail' WHEN {warn} THEN 'warn' ELSE 'pass' END"
+    else:
+        outcome = f"CASE WHEN coalesce(m > {thr}, false) THEN 'fail' ELSE 'pass' END"
+    column = _q(col) if col else "CAST(NULL AS VARCHAR)"
+    return (
+        f"SELECT {_q(chk.suite)} AS suite, {_q(table_name)} AS table_name, {_q(chk.check_name)} AS check_name, "
+        f"{column} AS column_name, m AS measured, {thr} AS threshold, {outcome} AS outcome "
+        f"FROM (SELECT CAST({m} AS DOUBLE) AS m)"
+    )
+
+
+def checks_sql(checks, table_cte: str, table_name: str, as_of: str | None = None) -> str:
+    return "\nUNION ALL\n".join(check_sql(c, table_cte, table_name, as_of) for c in checks)
+
+
+def ewma_sql(table_cte: str, date_col: str, value_col: str, series_cols=(), seasonality: int = 7,
+             sensitivity: float = 3.0, history_days: int = 21, min_history: int = 7) -> str:
+    alpha = 2.0 / (seasonality + 1)
+    keys = list(series_cols)
+    ksel = "".join(f"{k}, " for k in keys)
+    kjoin = "".join(f"a.{k} = b.{k} AND " for k in keys)
+    hjoin = "".join(f"p.{k} = c.{k} AND " for k in keys)
+    ccols = "".join(f"c.{k}, " for k in keys)
+    return f"""
+SELECT {ksel}metric_date, value, round(residual, 6) AS residual, round(mu, 6) AS mu, round(sigma, 6) AS sigma,
+       n_history,
+       CASE WHEN residual IS NULL THEN 'no_residual'
+            WHEN n_history < {min_history} THEN 'insufficient'
+            WHEN abs(residual - mu) > {sensitivity} * sigma THEN 'anomalous'
+            ELSE 'normal' END AS status
+FROM (
+  SELECT *, sqrt(greatest(swr2 / nullif(sw, 0) - mu * mu, 0)) AS sigma
+  FROM (
+    SELECT {ccols}c.metric_date, c.value, c.residual,
+           count(p.residual) AS n_history,
+           coalesce(sum({alpha} * pow({1 - alpha}, date_diff('day', p.metric_date, c.metric_date) - 1)), 0) AS sw,
+           coalesce(sum({alpha} * pow({1 - alpha}, date_diff('day', p.metric_date, c.metric_date) - 1) * p.residual), 0)
+             AS swr,
+           coalesce(sum({alpha} * pow({1 - alpha}, date_diff('day', p.metric_date, c.metric_date) - 1)
+                        * p.residual * p.residual), 0) AS swr2,
+           coalesce(sum({alpha} * pow({1 - alpha}, date_diff('day', p.metric_date, c.metric_date) - 1) * p.residual), 0)
+             / nullif(coalesce(sum({alpha} * pow({1 - alpha}, date_diff('day', p.metric_date, c.metric_date) - 1)), 0), 0)
+             AS mu
+    FROM r_{table_cte} c LEFT JOIN r_{table_cte} p
+      ON {hjoin}p.residual IS NOT NULL
+     AND p.metric_date >= c.metric_date - {history_days} AND p.metric_date <= c.metric_date - 1
+    GROUP BY ALL
+  )
+)"""
+
+
+def ewma_residuals_cte(table_cte: str, date_col: str, value_col: str, series_cols=(), seasonality: int = 7) -> str:
+    keys = list(series_cols)
+    ksel = "".join(f"{k}, " for k in keys)
+    kjoin = "".join(f"a.{k} = b.{k} AND " for k in keys)
+    akeys = "".join(f"a.{k}, " for k in keys)
+    return f"""
+SELECT {akeys}a.metric_date, a.value, a.value - b.value AS residual
+FROM (SELECT {ksel}CAST({date_col} AS DATE) AS metric_date, CAST({value_col} AS DOUBLE) AS value FROM {table_cte}) a
+LEFT JOIN (SELECT {ksel}CAST({date_col} AS DATE) AS metric_date, CAST({value_col} AS DOUBLE) AS value FROM {table_cte}) b
+  ON {kjoin}b.metric_date = a.metric_date - {seasonality}"""
+
+
+cte(
+    "bronze_typed",
+    f"SELECT {BRONZE_COLS} FROM bronze",
+    "bronze",
+)
+cte("r_fct_daily_revenue", ewma_residuals_cte("fct_daily_revenue", "revenue_date", "gross_revenue"), "fct_daily_revenue")
+cte(
+    "r_fct_conversion_funnel",
+    ewma_residuals_cte("fct_conversion_funnel", "funnel_date", "overall_conversion_rate"),
+    "fct_conversion_funnel",
+)
+cte(
+    "r_fct_cart_abandonment",
+    ewma_residuals_cte("fct_cart_abandonment", "analysis_date", "abandonment_rate", ("category_id", "category_name")),
+    "fct_cart_abandonment",
+)
+cte(
+    "lookback_slice",
+    f"""SELECT * FROM bronze
+        WHERE event_timestamp >= TIMESTAMP '{RUN_STARTED_AT}' - INTERVAL 90 MINUTE
+          AND event_timestamp <  TIMESTAMP '{RUN_STARTED_AT}' - INTERVAL 30 MINUTE""",
+    "bronze",
+)
+cte(
+    "sessionized",
+    """
+SELECT * EXCLUDE (st), st = 1 AS is_session_start,
+       CAST(sum(st) OVER (PARTITION BY user_id ORDER BY event_timestamp, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT)
+         AS session_seq
+FROM (
+  SELECT *, CASE WHEN lag(event_timestamp) OVER w IS NULL
+                   OR date_sub('microsecond', lag(event_timestamp) OVER w, event_timestamp) >= 1800000000
+                 THEN 1 ELSE 0 END AS st
+  FROM silver WHERE user_id IS NOT NULL AND event_timestamp IS NOT NULL
+  WINDOW w AS (PARTITION BY user_id ORDER BY event_timestamp, event_id)
+)""",
+    "silver",
+)
+cte(
+    "sessions",
+    """
+SELECT user_id, session_seq, min(event_timestamp) AS session_start, max(event_timestamp) AS session_end,
+       count(*) AS events,
+       coalesce(max(CASE event_type WHEN 'page_view' THEN 1 WHEN 'view_item' THEN 2 WHEN 'add_to_cart' THEN 3
+                                    WHEN 'purchase' THEN 4 END), 0) AS funnel_depth
+FROM sessionized GROUP BY user_id, session_seq""",
+    "sessionized",
+)
+cte(
+    "recent_bronze",
+    f"SELECT * FROM bronze WHERE event_timestamp >= TIMESTAMP '{HEALTH_AS_OF}' - INTERVAL 1 HOUR",
+    "bronze",
+)
+cte(
+    "bronze_health",
+    """
+SELECT count(*) AS events_last_hour, count(DISTINCT user_id) AS unique_users,
+       avg(date_sub('second', event_timestamp, processing_timestamp)) AS avg_latency_seconds,
+       max(event_timestamp) AS latest_event, min(event_timestamp) AS earliest_event
+FROM recent_bronze""",
+    "recent_bronze",
+)
+cte(
+    "bronze_event_counts",
+    "SELECT event_type, count(*) AS count FROM recent_bronze GROUP BY event_type",
+    "recent_bronze",
+)
+
+
+def quality_queries() -> dict[str, str]:
+    from .quality import checks as C
+    from .quality import contracts as K
+    from .schemas import CURRENCIES, DEVICE_TYPES, FUNNEL_EVENT_TYPES
+    from .plans import quality_keys as QK
+
+    q: dict[str, str] = {}
+    q["dq_missing"] = build(checks_sql(QK.MISSING, "bronze_typed", "bronze"), "bronze_typed")
+    q["dq_duplicates"] = build(checks_sql(QK.DUPLICATES, "bronze_typed", "bronze"), "bronze_typed")
+    q["dq_accepted_values"] = build(checks_sql(QK.ACCEPTED, "bronze_typed", "bronze"), "bronze_typed")
+    q["dq_between"] = build(checks_sql(QK.BETWEEN, "bronze_typed", "bronze"), "bronze_typed")
+    q["dq_min"] = build(checks_sql(QK.MINS, "bronze_typed", "bronze"), "bronze_typed")
+    q["dq_row_predicate"] = build(
+        checks_sql(QK.ROW_PREDICATES, "fct_conversion_funnel", "fct_conversion_funnel"), "fct_conversion_funnel"
+    )
+    q["dq_cross_column"] = build(
+        checks_sql(QK.CROSS_FUNNEL, "fct_conversion_funnel", "fct_conversion_funnel")
+        + "\nUNION ALL\n"
+        + checks_sql(QK.CROSS_ABANDON, "fct_cart_abandonment", "fct_cart_abandonment"),
+        "fct_conversion_funnel",
+        "fct_cart_abandonment",
+    )
+    q["dq_freshness"] = build(checks_sql(QK.FRESHNESS, "silver", "stg_clickstream", AS_OF), "silver")
+    q["dq_row_count"] = build(
+        checks_sql(QK.ROW_COUNT, "silver", "stg_clickstream")
+        + "\nUNION ALL\n"
+        + checks_sql(QK.ROW_COUNT, "lookback_slice", "lookback_slice"),
+        "silver",
+        "lookback_slice",
+    )
+    q["dq_valid_event_type"] = build(
+        "SELECT event_id, event_type FROM bronze WHERE event_type NOT IN ('page_view', 'view_item', 'add_to_cart', "
+        "'purchase')",
+        "bronze",
+    )
+    q["dq_positive_price"] = build(
+        "SELECT event_id, price FROM bronze WHERE price IS NOT NULL AND price <= 0", "bronze"
+    )
+    q["dq_failed_rows"] = build(
+        "SELECT analysis_date, category_id, category_name, abandonment_rate FROM fct_cart_abandonment "
+        "WHERE abandonment_rate > 90",
+        "fct_cart_abandonment",
+    )
+    q["dq_session_consistency"] = build(
+        """
+SELECT 'session_consistency_literal' AS check_name,
+       (SELECT count(*) FROM (SELECT user_id, session_id FROM silver GROUP BY user_id, session_id
+                              HAVING count(DISTINCT session_id) > 1)) AS violations
+UNION ALL
+SELECT 'shared_session', (SELECT count(*) FROM (SELECT session_id FROM silver WHERE session_id IS NOT NULL
+                                                 GROUP BY session_id HAVING count(DISTINCT user_id) > 1))
+UNION ALL
+SELECT 'interleaved', (SELECT count(*) FROM (
+    SELECT *, max(last_ts) OVER (PARTITION BY user_id ORDER BY first_ts, session_id
+                                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_max
+    FROM (SELECT user_id, session_id, min(event_timestamp) AS first_ts, max(event_timestamp) AS last_ts
+          FROM silver WHERE session_id IS NOT NULL AND user_id IS NOT NULL GROUP BY user_id, session_id))
+  WHERE prev_max > first_ts)""",
+        "silver",
+    )
+    q["dq_ewma_anomaly"] = build(
+        ewma_sql("fct_daily_revenue", "revenue_date", "gross_revenue"), "r_fct_daily_revenue"
+    )
+    q["dq_ewma_anomaly_by_category"] = build(
+        ewma_sql("fct_cart_abandonment", "analysis_date", "abandonment_rate", ("category_id", "category_name")),
+        "r_fct_cart_abandonment",
+    )
+    # full scan of every declared contract (schema rows are metadata-only and tested in pytest)
+    parts, needed = [], []
+    tables = {
+        "stg_clickstream": "silver",
+        "stg_products": "stg_products",
+        "fct_daily_revenue": "fct_daily_revenue",
+        "fct_conversion_funnel": "fct_conversion_funnel",
+        "fct_cart_abandonment": "fct_cart_abandonment",
+    }
+    for tname, cte_name in tables.items():
+        needed.append(cte_name)
+        plain = [c for c in K.CONTRACTS[tname] if isinstance(c, C.Check)]
+        parts.append(checks_sql(plain, cte_name, tname, AS_OF))
+        for c in K.CONTRACTS[tname]:
+            if isinstance(c, K.AnomalyCheck):
+                needed.append(f"r_{cte_name}")
+                parts.append(
+                    f"SELECT {_q(c.suite)} AS suite, {_q(tname)} AS table_name, {_q(c.check_name)} AS check_name, "
+                    f"{_q(c.metric)} AS column_name, CAST(n AS DOUBLE) AS measured, 0.0 AS threshold, "
+                    f"CASE WHEN n > 0 THEN 'warn' ELSE 'pass' END AS outcome FROM (SELECT count(*) FILTER "
+                    f"(WHERE status = 'anomalous') AS n FROM ("
+                    + ewma_sql(cte_name, c.date_col, c.metric, c.series_cols)
+                    + "))"
+                )
+    q["dq_scan"] = build("\nUNION ALL\n".join(parts), *needed)
+    # monitoring
+    q["bronze_health"] = build("SELECT * FROM bronze_health", "bronze_health")
+    q["bronze_health_warnings"] = build(
+        f"""
+SELECT * FROM (
+  SELECT 'low_volume' AS warning, CAST(events_last_hour AS DOUBLE) AS measured, 100.0 AS threshold
+  FROM bronze_health WHERE events_last_hour < 100
+  UNION ALL
+  SELECT 'high_latency', coalesce(avg_latency_seconds, 0.0), 60.0
+  FROM bronze_health WHERE coalesce(avg_latency_seconds, 0.0) > 60
+  UNION ALL
+  SELECT 'stream_silent', CAST(date_sub('second', latest_event, TIMESTAMP '{HEALTH_AS_OF}') AS DOUBLE), 300.0
+  FROM bronze_health WHERE coalesce(date_sub('second', latest_event, TIMESTAMP '{HEALTH_AS_OF}') > 300, false)
+)""",
+        "bronze_health",
+    )
+    q["bronze_event_counts"] = build("SELECT * FROM bronze_event_counts", "bronze_event_counts")
+    q["funnel_ratios"] = build(
+        """
+SELECT CASE WHEN pv = 0 THEN 0.0 ELSE round_even(vi / pv * 100, 2) END AS page_view_to_view_item,
+       CASE WHEN vi = 0 THEN 0.0 ELSE round_even(atc / vi * 100, 2) END AS view_item_to_add_to_cart,
+       CASE WHEN atc = 0 THEN 0.0 ELSE round_even(pur / atc * 100, 2) END AS add_to_cart_to_purchase
+FROM (SELECT coalesce(sum(CASE WHEN event_type = 'page_view' THEN count END), 0) AS pv,
+             coalesce(sum(CASE WHEN event_type = 'view_item' THEN count END), 0) AS vi,
+             coalesce(sum(CASE WHEN event_type = 'add_to_cart' THEN count END), 0) AS atc,
+             coalesce(sum(CASE WHEN event_type = 'purchase' THEN count END), 0) AS pur
+      FROM bronze_event_counts)""",
+        "bronze_event_counts",
+    )
+    q["bronze_freshness"] = build(
+        f"""
+SELECT last_event, date_sub('minute', last_event, TIMESTAMP '{AS_OF}') AS minutes_stale, events_last_hour,
+       coalesce(date_sub('minute', last_event, TIMESTAMP '{AS_OF}') > 30, true) AS is_stale
+FROM (SELECT max(event_timestamp) AS last_event,
+             count(*) FILTER (WHERE event_timestamp >= TIMESTAMP '{AS_OF}' - INTERVAL 1 HOUR) AS events_last_hour
+      FROM bronze)""",
+        "bronze",
+    )
+    q["new_data_since"] = build(
+        f"""
+SELECT last_event, coalesce(last_event > TIMESTAMP '{QK.SENSOR_CURSOR}', false) AS should_run,
+       CASE WHEN last_event IS NOT NULL THEN 'bronze_fresh_' || strftime(last_event, {_ISO}) END AS run_key,
+       coalesce(last_event < TIMESTAMP '{HEALTH_AS_OF}' - INTERVAL 10 MINUTE, false) AS stale_warning
+FROM (SELECT max(event_timestamp) AS last_event FROM bronze
+      WHERE event_timestamp >= TIMESTAMP '{HEALTH_AS_OF}' - INTERVAL 2 HOUR)""",
+        "bronze",
+    )
+    # sessions
+    q["sessionize"] = build(
+        "SELECT user_id, event_id, event_timestamp, is_session_start, session_seq FROM sessionized", "sessionized"
+    )
+    q["session_funnel_depth"] = build(
+        """SELECT user_id, session_seq, session_start, events, funnel_depth, funnel_depth >= 2 AS reached_view_item,
+                  funnel_depth >= 3 AS reached_cart, funnel_depth >= 4 AS reached_purchase FROM sessions""",
+        "sessions",
+    )
+    return q

@@ -7,8 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import oracle
-from ..operators import gold, ingest, silver
+from ..operators import gold, ingest, monitoring, sessions, silver
+from ..quality import checks as C
+from ..quality import contracts as K
+from ..quality.anomaly import ewma_anomalies
 from ..sources import testdata as td
+from . import quality_keys as QK
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -59,4 +63,81 @@ def queries() -> dict[str, Query]:
     q["required_fields"] = lambda s, d: ingest.missing_required(_parsed(s, d))
     q["synth_event_id"] = lambda s, d: ingest.event_ids(_parsed(s, d))
     q["ingest_stats"] = lambda s, d: ingest.ingest_stats(_parsed(s, d))
+    # quality
+    q["dq_missing"] = lambda s, d: C.run_checks(_bronze_typed(s, d), "bronze", QK.MISSING)
+    q["dq_duplicates"] = lambda s, d: C.run_checks(_bronze_typed(s, d), "bronze", QK.DUPLICATES)
+    q["dq_accepted_values"] = lambda s, d: C.run_checks(_bronze_typed(s, d), "bronze", QK.ACCEPTED)
+    q["dq_between"] = lambda s, d: C.run_checks(_bronze_typed(s, d), "bronze", QK.BETWEEN)
+    q["dq_min"] = lambda s, d: C.run_checks(_bronze_typed(s, d), "bronze", QK.MINS)
+    q["dq_row_predicate"] = lambda s, d: C.run_checks(
+        gold.fct_conversion_funnel(_enriched(s, d), as_of), "fct_conversion_funnel", QK.ROW_PREDICATES
+    )
+    q["dq_cross_column"] = lambda s, d: C.run_checks(
+        gold.fct_conversion_funnel(_enriched(s, d), as_of), "fct_conversion_funnel", QK.CROSS_FUNNEL
+    ).unionByName(C.run_checks(gold.fct_cart_abandonment(_enriched(s, d), as_of), "fct_cart_abandonment", QK.CROSS_ABANDON))
+    q["dq_freshness"] = lambda s, d: C.run_checks(_silver(s, d), "stg_clickstream", QK.FRESHNESS, as_of)
+    q["dq_row_count"] = lambda s, d: C.run_checks(_silver(s, d), "stg_clickstream", QK.ROW_COUNT).unionByName(
+        C.run_checks(silver.lookback_window(td.bronze(s, d), run), "lookback_slice", QK.ROW_COUNT)
+    )
+    q["dq_valid_event_type"] = lambda s, d: C.valid_event_type_failures(td.bronze(s, d)).select("event_id", "event_type")
+    q["dq_positive_price"] = lambda s, d: C.positive_price_failures(td.bronze(s, d)).select("event_id", "price")
+    q["dq_failed_rows"] = lambda s, d: C.failing_rows(
+        gold.fct_cart_abandonment(_enriched(s, d), as_of), C.failed_rows("abandonment_rate > 90")
+    ).select("analysis_date", "category_id", "category_name", "abandonment_rate")
+    q["dq_session_consistency"] = _session_consistency
+    q["dq_ewma_anomaly"] = lambda s, d: ewma_anomalies(
+        gold.fct_daily_revenue(_enriched(s, d), as_of), "revenue_date", "gross_revenue"
+    )
+    q["dq_ewma_anomaly_by_category"] = lambda s, d: ewma_anomalies(
+        gold.fct_cart_abandonment(_enriched(s, d), as_of), "analysis_date", "abandonment_rate",
+        ["category_id", "category_name"],
+    )
+    q["dq_scan"] = _scan
+    # monitoring
+    h_as_of = oracle.HEALTH_AS_OF
+    q["bronze_health"] = lambda s, d: monitoring.bronze_health(td.bronze(s, d), h_as_of)
+    q["bronze_health_warnings"] = lambda s, d: monitoring.bronze_health_warnings(
+        monitoring.bronze_health(td.bronze(s, d), h_as_of), h_as_of
+    )
+    q["bronze_event_counts"] = lambda s, d: monitoring.bronze_event_counts(td.bronze(s, d), h_as_of)
+    q["funnel_ratios"] = lambda s, d: monitoring.funnel_ratios(monitoring.bronze_event_counts(td.bronze(s, d), h_as_of))
+    q["bronze_freshness"] = lambda s, d: monitoring.bronze_freshness(td.bronze(s, d), as_of)
+    q["new_data_since"] = lambda s, d: monitoring.new_data_since(td.bronze(s, d), QK.SENSOR_CURSOR, h_as_of)
+    # sessions
+    q["sessionize"] = lambda s, d: sessions.sessionize(_silver(s, d)).select(
+        "user_id", "event_id", "event_timestamp", "is_session_start", "session_seq"
+    )
+    q["session_funnel_depth"] = lambda s, d: sessions.session_funnel_depth(sessions.sessionize(_silver(s, d)))
     return q
+
+
+def _bronze_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return silver.typed_projection(td.bronze(spark, sf_dir))
+
+
+def _session_consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    stg = _silver(spark, sf_dir)
+    literal = sessions.session_consistency_literal(stg).agg(F.count(F.lit(1)).alias("violations")).select(
+        F.lit("session_consistency_literal").alias("check_name"), "violations"
+    )
+    strict = sessions.session_consistency_violations(stg)
+    kinds = spark.createDataFrame([("shared_session",), ("interleaved",)], "check_name string")
+    counts = strict.groupBy(F.col("violation").alias("check_name")).agg(F.count(F.lit(1)).alias("violations"))
+    strict_counts = kinds.join(counts, "check_name", "left").select(
+        "check_name", F.coalesce("violations", F.lit(0)).cast("long").alias("violations")
+    )
+    return literal.unionByName(strict_counts)
+
+
+def _scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    enr = _enriched(spark, sf_dir)
+    tables = {
+        "stg_clickstream": _silver(spark, sf_dir),
+        "stg_products": silver.stg_products(td.products(spark, sf_dir)),
+        "fct_daily_revenue": gold.fct_daily_revenue(enr, oracle.AS_OF),
+        "fct_conversion_funnel": gold.fct_conversion_funnel(enr, oracle.AS_OF),
+        "fct_cart_abandonment": gold.fct_cart_abandonment(enr, oracle.AS_OF),
+    }
+    return K.scan(spark, tables, as_of=oracle.AS_OF, include_schema=False)
