@@ -44,9 +44,23 @@ def parse_events(
       the funnel, empty user id.
     ``strict=True`` fails the query on the first malformed record or missing key instead of dead-lettering it.
     """
-    text = F.col("value").cast("string")
-    keys = F.json_object_keys(text)
-    j = F.from_json(text, RAW_JSON_SCHEMA)
+    # Stage 1: decode once. JSON is parsed a single time per record into a struct plus its key list; the
+    # projection below reads those columns (Catalyst keeps the two projections apart rather than inlining an
+    # expensive expression that is used many times).
+    decoded = envelope.select(
+        "topic",
+        "partition",
+        "offset",
+        F.col("key").cast("string").alias("kafka_key"),
+        F.col("value").cast("string").alias("raw_value"),
+        _processing_time(envelope, processing_time).alias("_processing_ts"),
+    ).select(
+        "*",
+        F.json_object_keys("raw_value").alias("_keys"),
+        F.from_json("raw_value", RAW_JSON_SCHEMA).alias("_j"),
+    )
+    keys = F.col("_keys")
+    j = F.col("_j")
 
     def has(k: str) -> Column:
         return F.coalesce(F.array_contains(keys, k), F.lit(False))
@@ -62,29 +76,25 @@ def parse_events(
         fatal = keys.isNull()
         for field in REQUIRED_EVENT_FIELDS:
             fatal = fatal | ~has(field)
-        reason = F.when(fatal, F.raise_error(F.concat(F.lit("bad record at offset "), F.col("offset").cast("string")))).otherwise(reason)
+        reason = F.when(
+            fatal, F.raise_error(F.concat(F.lit("bad record at offset "), F.col("offset").cast("string")))
+        ).otherwise(reason)
 
     cols = []
     for c in BRONZE_COLUMNS:
         if c == "event_id":
-            cols.append(F.when(keys.isNull(), F.lit(None).cast("string")).when(has("event_id"), j[c]).otherwise(synthetic_id).alias(c))
+            cols.append(
+                F.when(keys.isNull(), F.lit(None).cast("string")).when(has("event_id"), j[c]).otherwise(synthetic_id).alias(c)
+            )
         elif c == "event_timestamp":
             cols.append(to_ntz(j[c]).alias(c))
         elif c == "processing_timestamp":
-            cols.append(_processing_time(envelope, processing_time).alias(c))
+            cols.append(F.col("_processing_ts").alias(c))
         elif c == "price":
             cols.append(j[c].try_cast("double").alias(c))
         else:
             cols.append(j[c].alias(c))
-    return envelope.select(
-        F.col("topic"),
-        F.col("partition"),
-        F.col("offset"),
-        F.col("key").cast("string").alias("kafka_key"),
-        text.alias("raw_value"),
-        *cols,
-        reason.alias("reject_reason"),
-    )
+    return decoded.select("topic", "partition", "offset", "kafka_key", "raw_value", *cols, reason.alias("reject_reason"))
 
 
 def accepted(parsed: DataFrame) -> DataFrame:

@@ -132,12 +132,20 @@ def _session_consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    enr = _enriched(spark, sf_dir)
+    # Every table is read by several checks (one aggregate pass, one pass per uniqueness check, the anomaly
+    # series): materialise silver and the enriched events once in the shared checkpoint folder so the gold
+    # tables and the checks do not recompute them from bronze.
+    from ..session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(spark)
+    stg = _silver(spark, sf_dir).checkpoint(eager=True)
+    products = silver.stg_products(td.products(spark, sf_dir))
+    enr = silver.enrich_with_products(stg, products).checkpoint(eager=True)
     tables = {
-        "stg_clickstream": _silver(spark, sf_dir),
-        "stg_products": silver.stg_products(td.products(spark, sf_dir)),
+        "stg_clickstream": stg,
+        "stg_products": products,
         "fct_daily_revenue": gold.fct_daily_revenue(enr, oracle.AS_OF),
         "fct_conversion_funnel": gold.fct_conversion_funnel(enr, oracle.AS_OF),
-        "fct_cart_abandonment": gold.fct_cart_abandonment(enr, oracle.AS_OF),
+        "fct_cart_abandonment": gold.fct_cart_abandonment(enr, oracle.AS_OF).checkpoint(eager=True),
     }
     return K.scan(spark, tables, as_of=oracle.AS_OF, include_schema=False)

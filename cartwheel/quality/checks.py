@@ -187,11 +187,30 @@ def _result_row(chk: Check, table: str, measured: Column) -> Column:
     )
 
 
-def _duplicate_result(df: DataFrame, chk: Check, table: str) -> DataFrame:
-    """Distinct non-null values occurring more than once: one shuffle, partial counts combine map-side."""
-    c = F.col(chk.column)
-    dup_values = df.where(c.isNotNull()).groupBy(c).count().where(F.col("count") > 1)
-    return dup_values.agg(F.count(F.lit(1)).alias("m")).select(_result_row(chk, table, F.col("m")).alias("r")).select("r.*")
+def _duplicate_results(df: DataFrame, dup_checks: list[Check], table: str) -> DataFrame:
+    """All uniqueness checks of a table in one shuffle.
+
+    Each row is unpivoted into (column, value) pairs for the checked columns, counted per pair (partial counts
+    combine on the map side, so a value repeated millions of times ships one partial count per task), and the
+    values seen more than once are counted per column. Identical checks (e.g. the same column in two suites)
+    share the work.
+    """
+    cols = sorted({c.column for c in dup_checks})
+    pairs = F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in cols])
+    dup_per_col = (
+        df.select(F.inline(pairs))
+        .where(F.col("v").isNotNull())
+        .groupBy("c", "v")
+        .count()
+        .where(F.col("count") > 1)
+        .groupBy("c")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    measured = {c: F.coalesce(F.max(F.when(F.col("c") == c, F.col("n"))), F.lit(0)) for c in cols}
+    one = dup_per_col.agg(*[measured[c].alias(f"d{i}") for i, c in enumerate(cols)])
+    idx = {c: i for i, c in enumerate(cols)}
+    rows = F.array(*[_result_row(chk, table, F.col(f"d{idx[chk.column]}")) for chk in dup_checks])
+    return one.select(F.inline(rows))
 
 
 def run_checks(
@@ -208,10 +227,11 @@ def run_checks(
         one = df.agg(*[c.measure(as_col).alias(f"m{i}") for i, c in enumerate(agg_checks)])
         rows = F.array(*[_result_row(c, table, F.col(f"m{i}")) for i, c in enumerate(agg_checks)])
         parts.append(one.select(F.inline(rows)))
+    dup_checks = [c for c in checks if c.kind == "duplicate_count"]
+    if dup_checks:
+        parts.append(_duplicate_results(df, dup_checks, table))
     for c in checks:
-        if c.kind == "duplicate_count":
-            parts.append(_duplicate_result(df, c, table))
-        elif c.kind not in AGG_KINDS:
+        if c.kind not in AGG_KINDS and c.kind != "duplicate_count":
             raise ValueError(f"unknown check kind {c.kind}")
     if not parts:
         return df.sparkSession.createDataFrame([], RESULT_SCHEMA)

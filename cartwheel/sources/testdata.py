@@ -30,6 +30,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def spread_small_input(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin an input that arrives in fewer scan splits than there are cores.
+
+    A generated table is one Parquet file with one row group, i.e. one scan task, and everything narrow after
+    it (JSON encode/decode, projections) would run on one core. Real inputs have many files and row groups:
+    then the split count is already above ``min_partitions`` and this is a no-op (no extra shuffle).
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
 def _pad(c: Column, width: int) -> Column:
     return F.lpad(c.cast("string"), width, "0")
 
@@ -85,7 +98,7 @@ def bronze_from_events(events: DataFrame) -> DataFrame:
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bronze_from_events(table(spark, sf_dir, "events"))
+    return bronze_from_events(spread_small_input(table(spark, sf_dir, "events")))
 
 
 def products_from_part(part: DataFrame) -> DataFrame:
