@@ -139,7 +139,8 @@ def run_all(
     """Seed -> transform (with gate) -> contract scan of all tables -> monitoring."""
     products, rejects = load_products(spark, seed_path, wh)
     out = run_transform(spark, bronze_path, wh, run_started_at, invocation_id, products=products)
-    tables = {n: spark.read.parquet(wh.path(n)) for n in K.CONTRACTS if wh.exists(n)}
+    # the views registered by the table writer read the stored tables with their declared schema
+    tables = {n: spark.table(n) for n in K.CONTRACTS if spark.catalog.tableExists(n)}
     scan = K.scan(spark, tables, as_of=run_started_at)
     out["scan"] = [r.asDict() for r in scan.collect()]  # one row per declared check (~120 rows)
     out["scan_outcome"] = C.overall_outcome(scan)

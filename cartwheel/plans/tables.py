@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 
 def materialize(
@@ -41,7 +42,10 @@ def materialize(
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
-    table = df.sparkSession.read.parquet(path)
+    # read back with the known schema (partition column last): no inference, and an empty result still reads
+    fields = [f for f in df.schema.fields if f.name != partition_by]
+    fields += [f for f in df.schema.fields if f.name == partition_by]
+    table = df.sparkSession.read.schema(T.StructType(fields)).parquet(path)
     table.createOrReplaceTempView(name)
     return table
 

@@ -8,7 +8,8 @@ and returns one DataFrame of results; ``gate`` (in ``checks``) turns it into a p
 from __future__ import annotations
 
 import datetime as _dt
-from dataclasses import dataclass
+import string
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -130,6 +131,13 @@ CONTRACTS: dict[str, list] = {
 }
 
 
+def bind_variables(check, variables: dict[str, str]):
+    """Substitute ``${name}`` placeholders of a check expression (unknown names are left as written)."""
+    if isinstance(check, C.Check) and check.expr and "${" in check.expr:
+        return replace(check, expr=string.Template(check.expr).safe_substitute(variables))
+    return check
+
+
 def contract_size() -> dict[str, tuple[int, int]]:
     """(schema tests, runtime checks) per table."""
     out = {}
@@ -158,16 +166,22 @@ def scan(
     suites: tuple[str, ...] = (T, R),
     include_anomaly: bool = True,
     include_schema: bool = True,
+    variables: dict[str, str] | None = None,
+    contracts: dict[str, list] | None = None,
 ) -> DataFrame:
     """Run the declared contracts of every table present in ``tables``; one result row per check.
 
-    A table name without a contract raises (a missing check path is an error, not a silent pass).
+    ``variables`` are bound into check expressions written with ``${name}`` placeholders (``${table}`` is
+    always the table being checked). A table name without a contract raises (a missing check path is an
+    error, not a silent pass).
     """
+    declared = contracts or CONTRACTS
     parts = []
     for name, df in tables.items():
-        if name not in CONTRACTS:
+        if name not in declared:
             raise KeyError(f"no contract declared for table {name!r}")
-        items = [c for c in CONTRACTS[name] if c.suite in suites]
+        binding = {"table": name, **(variables or {})}
+        items = [bind_variables(c, binding) for c in declared[name] if c.suite in suites]
         plain = [c for c in items if isinstance(c, C.Check)]
         if plain:
             parts.append(C.run_checks(df, name, plain, as_of))

@@ -186,3 +186,12 @@ def test_session_consistency_forms(spark):
     assert sessions.session_consistency_literal(df).count() == 0
     v = rows(sessions.session_consistency_violations(df), "violation", "session_id")
     assert v == [("interleaved", "b"), ("shared_session", "s1")]
+
+
+def test_scan_binds_variables(spark):
+    df = spark.createDataFrame([(1.0,), (95.0,)], "abandonment_rate double")
+    declared = {"t": [C.failed_rows("abandonment_rate > ${limit}", suite=K.R)]}
+    res = K.scan(spark, {"t": df}, variables={"limit": "90"}, contracts=declared).collect()
+    assert [(r["check_name"], r["measured"], r["outcome"]) for r in res] == [
+        ("failed_rows(abandonment_rate > 90)", 1.0, "fail")
+    ]

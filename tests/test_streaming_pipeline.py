@@ -176,3 +176,17 @@ def test_gate_blocks_gold(spark, tmp_dir):
         pipeline.run_transform(spark, bronze_path, wh, "2024-01-15 12:00:00", "r", products=products,
                                lookback_start="3 hours", gate_suite=K.R)
     assert not wh.exists("fct_daily_revenue")
+
+
+def test_run_all_seed_transform_scan_monitoring(spark, tmp_dir):
+    bronze_path = os.path.join(tmp_dir, "bronze")
+    write_bronze(td.bronze(spark, SF001), bronze_path)
+    seed = os.path.join(tmp_dir, "seed")
+    (td.products(spark, SF001).coalesce(1).write.option("header", "true")
+     .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(seed))
+    wh = pipeline.Warehouse(os.path.join(tmp_dir, "wh"))
+    out = pipeline.run_all(spark, seed, bronze_path, wh, "2024-01-15 12:00:00", "run-all")
+    assert out["gate"] == "pass" and out["seed_rejects"] == 0
+    assert {r["table_name"] for r in out["scan"]} >= {"stg_clickstream", "stg_products", "fct_daily_revenue"}
+    assert out["scan_outcome"] in ("warn", "fail")  # an hourly slice is below the volume contract
+    assert out["monitoring"]["health"][0]["events_last_hour"] >= 0
