@@ -179,28 +179,28 @@ def cart_purchase_matches(
     """
     w_us = duration_micros(within)
     b_us = duration_micros(bucket)
-    carts = cart_events(enriched)
-    purchases = purchase_events(enriched)
-    c = carts.select(
-        "*",
-        epoch_micros("cart_at").alias("_t"),
-        F.lit(0).alias("_is_purchase"),
-    ).withColumn("_b", F.floor(F.col("_t") / F.lit(b_us)))
-    p = purchases.select(
+    is_cart = (
+        (F.col("event_type") == "add_to_cart") & F.col("product_id").isNotNull() & F.col("category_id").isNotNull()
+    )
+    is_purchase = (F.col("event_type") == "purchase") & F.col("product_id").isNotNull()
+    # one filtered pass over the events feeds both sides (no union of two scans of the same input)
+    rows = enriched.where(is_cart | is_purchase).select(
+        "event_id",
+        F.to_date("event_timestamp").alias("analysis_date"),
+        "category_id",
+        "category_name",
         "user_id",
         "product_id",
-        epoch_micros("purchase_at").alias("_t"),
-        F.lit(1).alias("_is_purchase"),
-    ).withColumn(
-        "_b",
-        F.explode(
-            F.sequence(
-                F.floor((F.col("_t") - F.lit(w_us - 1)) / F.lit(b_us)),
-                F.floor(F.col("_t") / F.lit(b_us)),
-            )
-        ),
+        F.col("event_timestamp").alias("cart_at"),
+        "price",
+        is_purchase.cast("int").alias("_is_purchase"),
+        epoch_micros("event_timestamp").alias("_t"),
     )
-    stacked = c.unionByName(p, allowMissingColumns=True)
+    own_bucket = F.floor(F.col("_t") / F.lit(b_us))
+    first_bucket = F.when(
+        F.col("_is_purchase") == 1, F.floor((F.col("_t") - F.lit(w_us - 1)) / F.lit(b_us))
+    ).otherwise(own_bucket)
+    stacked = rows.withColumn("_b", F.explode(F.sequence(first_bucket, own_bucket)))
     frame = Window.partitionBy("user_id", "product_id", "_b").orderBy("_t").rangeBetween(0, w_us - 1)
     first_t = F.min(F.when(F.col("_is_purchase") == 1, F.col("_t"))).over(frame)
     return (
@@ -279,8 +279,12 @@ def fct_cart_abandonment(
     Purchases are keyed by category id only and joined back to every (id, name) row of carts.
     """
     totals = _category_day_totals(cart_purchase_matches(enriched, within, bucket), first_only)
-    purchases = _purchase_totals(totals)
-    j = totals.drop("_completed", "_purchased_value").join(purchases, ["analysis_date", "category_id"], "left")
+    # Purchases are keyed by (day, category id) only: every (id, name) row of that id gets the id's totals.
+    # The totals are one row per (day, category, name), so a window over them replaces a re-aggregate + join.
+    per_id = Window.partitionBy("analysis_date", "category_id")
+    j = totals.withColumn("completed_purchases", F.sum("_completed").over(per_id)).withColumn(
+        "_realized", F.sum("_purchased_value").over(per_id)
+    )
     completed = F.coalesce(F.col("completed_purchases"), F.lit(0)).cast("long")
     realized = F.coalesce(F.col("_realized"), F.lit(0).cast("decimal(18,2)"))
     out = j.select(
