@@ -18,6 +18,8 @@ from ..functions.columns import (
     safe_divide,
 )
 from ..schemas import FUNNEL_EVENT_TYPES
+from ..session import ensure_checkpoint_dir
+from .buckets import DEFAULT_TARGET_ROWS, time_buckets
 from .silver import RunTime, now_or
 
 
@@ -164,21 +166,30 @@ def cart_purchase_matches(
     enriched: DataFrame,
     within: str | int = "24 hours",
     bucket: str | int = "1 day",
+    target_rows: int = DEFAULT_TARGET_ROWS,
 ) -> DataFrame:
-    """For every cart: how many purchases of the same user and product fall in ``[cart_at, cart_at + within)``.
+    """For every cart: how many purchases of the same user and product fall in ``[cart_at, cart_at + within)``,
+    and the first of them.
 
     This is the many-to-many interval join ``cart ⋈ purchase`` reduced to what the marts consume (the number
-    of partners and the first one), computed without materialising any pair:
-
-    * carts and purchases are stacked into one relation and sorted per (user, product, time bucket);
-    * a RANGE window frame ``[t, t + within - 1µs]`` counts the purchases ahead of each cart.
-
-    Time buckets split a heavy (user, product) history into many independent tasks. A purchase is copied
-    into every bucket whose carts can reach it (2 buckets for the default 24 h window and 1 day bucket), so
-    each cart still sees all its partners. A smaller ``bucket`` splits hotter keys further.
+    of partners and the first one). No pair is materialised and no purchase is copied:
+
+    * every cart becomes two probes, at ``cart_at`` and at ``cart_at + within``; with ``P(x)`` = purchases of the
+      key before ``x``, the cart has ``P(cart_at + within) - P(cart_at)`` partners (a probe sorts before a purchase
+      at the same instant, which makes the interval half-open);
+    * ``P`` is a running count over (user, product) in time order, computed as a parallel prefix sum: running
+      counts inside (key, time bucket) partitions plus the purchases of the key's earlier buckets, taken from a
+      one-row-per-bucket summary. The first purchase at or after ``cart_at`` is a suffix minimum built the same
+      way.
+
+    Buckets are a day by default; a (user, product) day holding more than ``target_rows`` rows is split into
+    finer buckets (``buckets.time_buckets``), so no task holds a hot key's whole history. The two probes of a
+    cart are joined up again by one aggregation on the cart (silver event ids are unique).
     """
     w_us = duration_micros(within)
     b_us = duration_micros(bucket)
+    keys = ["user_id", "product_id"]
+    cart_cols = ["event_id", "analysis_date", "category_id", "category_name", "user_id", "product_id", "cart_at", "price"]
     is_cart = (
         (F.col("event_type") == "add_to_cart") & F.col("product_id").isNotNull() & F.col("category_id").isNotNull()
     )
@@ -193,32 +204,46 @@ def cart_purchase_matches(
         "product_id",
         F.col("event_timestamp").alias("cart_at"),
         "price",
-        is_purchase.cast("int").alias("_is_purchase"),
+        is_purchase.alias("_is_p"),
         epoch_micros("event_timestamp").alias("_t"),
     )
-    own_bucket = F.floor(F.col("_t") / F.lit(b_us))
-    first_bucket = F.when(
-        F.col("_is_purchase") == 1, F.floor((F.col("_t") - F.lit(w_us - 1)) / F.lit(b_us))
-    ).otherwise(own_bucket)
-    stacked = rows.withColumn("_b", F.explode(F.sequence(first_bucket, own_bucket)))
-    frame = Window.partitionBy("user_id", "product_id", "_b").orderBy("_t").rangeBetween(0, w_us - 1)
-    first_t = F.min(F.when(F.col("_is_purchase") == 1, F.col("_t"))).over(frame)
-    return (
-        stacked.withColumn("n_purchases", F.sum("_is_purchase").over(frame))
-        .withColumn("_first", first_t)
-        .where(F.col("_is_purchase") == 0)
-        .select(
-            "event_id",
-            "analysis_date",
-            "category_id",
-            "category_name",
-            "user_id",
-            "product_id",
-            "cart_at",
-            "price",
-            F.col("n_purchases").cast("long").alias("n_purchases"),
-            from_epoch_micros(F.col("_first")).alias("first_purchase_at"),
-        )
+    # purchases: one row (probe -1); carts: a start probe (0) and an end probe (1)
+    probe = F.when(F.col("_is_p"), F.array(F.lit(-1))).otherwise(F.array(F.lit(0), F.lit(1)))
+    stacked = rows.withColumn("_probe", F.explode(probe)).withColumn(
+        "_pt", F.col("_t") + F.when(F.col("_probe") == 1, F.lit(w_us)).otherwise(F.lit(0))
+    )
+    # The stacked rows are read by the hot-group count and by the match itself: materialise them once (narrow
+    # columns, carts and purchases only) in the shared checkpoint folder.
+    ensure_checkpoint_dir(enriched.sparkSession)
+    bucketed = time_buckets(stacked.checkpoint(eager=True), keys, "_pt", b_us, target_rows)
+    is_p = F.col("_is_p")
+    p_time = F.when(is_p, F.col("_pt"))
+    # time order within a key; at the same instant probes (rank 0) come before purchases (rank 1)
+    w_in = Window.partitionBy(*keys, "_b").orderBy("_pt", is_p.cast("int"))
+    stacked = bucketed.withColumn(
+        "_before", F.sum(is_p.cast("long")).over(w_in.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ).withColumn("_next", F.min(p_time).over(w_in.rowsBetween(Window.currentRow, Window.unboundedFollowing)))
+    # Per bucket: its purchases and its first purchase. A plain aggregate of the bucketed rows: partial
+    # aggregation ships one row per bucket and map task, not the rows.
+    summary = bucketed.groupBy(*keys, "_b").agg(F.sum(is_p.cast("long")).alias("_np"), F.min(p_time).alias("_minp"))
+    w_key = Window.partitionBy(*keys).orderBy("_b")
+    summary = summary.select(
+        *keys,
+        "_b",
+        F.coalesce(F.sum("_np").over(w_key.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"),
+        F.min("_minp").over(w_key.rowsBetween(1, Window.unboundedFollowing)).alias("_later"),
+    )
+    probes = stacked.where(~is_p).join(summary, [*keys, "_b"])
+    before = F.col("_offset") + F.col("_before")
+    per_cart = probes.groupBy(*cart_cols, "_t").agg(
+        F.sum(F.when(F.col("_probe") == 1, before).otherwise(-before)).alias("_n"),
+        F.max(F.when(F.col("_probe") == 0, F.coalesce(F.col("_next"), F.col("_later")))).alias("_first"),
+    )
+    first = F.when(F.col("_first") < F.col("_t") + F.lit(w_us), F.col("_first"))
+    return per_cart.select(
+        *cart_cols,
+        F.col("_n").cast("long").alias("n_purchases"),
+        from_epoch_micros(first).alias("first_purchase_at"),
     )
 
 
@@ -271,6 +296,7 @@ def fct_cart_abandonment(
     first_only: bool = False,
     within: str | int = "24 hours",
     bucket: str | int = "1 day",
+    target_rows: int = DEFAULT_TARGET_ROWS,
 ) -> DataFrame:
     """Cart abandonment per day and category.
 
@@ -278,7 +304,7 @@ def fct_cart_abandonment(
     completed purchases (abandoned may go negative). ``first_only=True``: each cart converts at most once.
     Purchases are keyed by category id only and joined back to every (id, name) row of carts.
     """
-    totals = _category_day_totals(cart_purchase_matches(enriched, within, bucket), first_only)
+    totals = _category_day_totals(cart_purchase_matches(enriched, within, bucket, target_rows), first_only)
     # Purchases are keyed by (day, category id) only: every (id, name) row of that id gets the id's totals.
     # The totals are one row per (day, category, name), so a window over them replaces a re-aggregate + join.
     per_id = Window.partitionBy("analysis_date", "category_id")

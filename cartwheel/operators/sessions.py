@@ -7,13 +7,15 @@ Scale: a plain ``lag() over (partition by user order by ts)`` sends each user's
 which is a straggler (or a spill storm) when one user is a large share of all events. ``sessionize`` instead
 works in two levels, like a parallel prefix sum:
 
-1. partition by (user, time bucket) -- a day by default -- and find session starts inside each bucket;
+1. partition by (user, time bucket) -- a day by default, split further for a user whose day holds more than
+   ``target_rows`` events (``buckets.time_buckets``) -- and find session starts inside each bucket;
 2. a small per-(user, bucket) summary (first/last event, number of starts) gets a running count per user,
    which numbers the sessions across buckets, and decides whether a bucket's first event continues the
    previous bucket's last session;
 3. the summary is joined back (it is far smaller than the events) and the in-bucket running count is added.
 
-No group is larger than one user's events in one bucket; ``bucket`` can be made smaller for hotter users.
+No group is larger than one user's events in one bucket, and a hot user-day is split into sub-buckets of about
+``target_rows`` events.
 """
 
 from __future__ import annotations
@@ -23,6 +25,8 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import duration_micros, epoch_micros
 from ..schemas import FUNNEL_STEP
+from ..session import ensure_checkpoint_dir
+from .buckets import DEFAULT_TARGET_ROWS, time_buckets
 
 DEFAULT_GAP = "30 minutes"
 
@@ -34,18 +38,23 @@ def sessionize(
     gap: str | int = DEFAULT_GAP,
     bucket: str | int = "1 day",
     tiebreak_col: str = "event_id",
+    target_rows: int = DEFAULT_TARGET_ROWS,
+    materialize: bool = True,
 ) -> DataFrame:
     """Add ``session_seq`` (1, 2, ... per user, in time order) and ``is_session_start`` to every event.
 
-    Rows with a NULL user or time are left out (they belong to no session).
+    Rows with a NULL user or time are left out (they belong to no session). The input is read by three
+    branches; ``materialize`` checkpoints it once into the shared folder (turn it off when the input is
+    already a stored table).
     """
     gap_us = duration_micros(gap)
     b_us = duration_micros(bucket)
-    ev = (
-        events.where(F.col(user_col).isNotNull() & F.col(ts_col).isNotNull())
-        .withColumn("_t", epoch_micros(ts_col))
-        .withColumn("_b", F.floor(F.col("_t") / F.lit(b_us)))
-    )
+    ev = events.where(F.col(user_col).isNotNull() & F.col(ts_col).isNotNull()).withColumn("_t", epoch_micros(ts_col))
+    if materialize:
+        # read three times (hot-group counts, the rows, the per-bucket summary): compute the input once
+        ensure_checkpoint_dir(ev.sparkSession)
+        ev = ev.checkpoint(eager=True)
+    ev = time_buckets(ev, [user_col], "_t", b_us, target_rows)
     w_in = Window.partitionBy(user_col, "_b").orderBy("_t", tiebreak_col)
     ev = ev.withColumn("_prev_t", F.lag("_t").over(w_in))
     ev = ev.withColumn(

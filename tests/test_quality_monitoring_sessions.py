@@ -173,6 +173,25 @@ def test_chunked_sessionize_equals_single_window(spark):
     for bucket in ("1 day", "1 hour", "10 minutes"):
         b = sessions.sessionize(stg, bucket=bucket).select(*cols)
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    # user-days above 3 events are split into sub-buckets: same sessions
+    c = sessions.sessionize(stg, target_rows=3).select(*cols)
+    assert a.exceptAll(c).count() == 0 and c.exceptAll(a).count() == 0
+
+
+def test_time_buckets_split_hot_groups_in_time_order(spark):
+    from cartwheel.operators.buckets import time_buckets
+
+    day = 86_400_000_000
+    data = [("hot", i * (day // 1000)) for i in range(1000)] + [("cold", 5), ("cold", day + 5)]
+    df = spark.createDataFrame(data, "k string, t long")
+    out = time_buckets(df, ["k"], "t", day, target_rows=100).collect()
+    hot = sorted((r["t"], r["_b"]) for r in out if r["k"] == "hot")
+    ordinals = [b for _, b in hot]
+    assert ordinals == sorted(ordinals)  # ordinals grow with time
+    assert len(set(ordinals)) == 16  # 1000 rows / 100 -> 2^4 sub-buckets
+    assert max(ordinals.count(b) for b in set(ordinals)) <= 100
+    cold = sorted((r["t"], r["_b"]) for r in out if r["k"] == "cold")
+    assert cold[0][1] < cold[1][1]
 
 
 def test_session_consistency_forms(spark):

@@ -174,6 +174,39 @@ def test_matches_equal_brute_force_join(spark):
     assert got.exceptAll(pairs).count() == 0 and pairs.exceptAll(got).count() == 0
     hourly = gold.cart_purchase_matches(enr, bucket="1 hour").select("event_id", "n_purchases", "first_purchase_at")
     assert got.exceptAll(hourly).count() == 0
+    # every (user, product) day above 2 rows is split into sub-buckets: same answer
+    split = gold.cart_purchase_matches(enr, target_rows=2).select("event_id", "n_purchases", "first_purchase_at")
+    assert got.exceptAll(split).count() == 0 and split.exceptAll(got).count() == 0
+
+
+def test_hot_key_split_matches_brute_force(spark):
+    # one (user, product) holds most rows, several carts and purchases share instants
+    base = T0
+    evs = []
+    for i in range(60):
+        at = base + dt.timedelta(minutes=37 * i)
+        evs.append(_cart(f"c{i}", "hot", "p", at))
+        if i % 3 == 0:
+            evs.append(_purchase(f"p{i}", "hot", "p", at))  # same instant as a cart: counts
+        if i % 4 == 0:
+            evs.append(_purchase(f"q{i}", "hot", "p", at + dt.timedelta(hours=24)))  # exactly 24 h later: out
+        if i % 5 == 0:
+            evs.append(_purchase(f"r{i}", "hot", "p", at + dt.timedelta(hours=23, minutes=59)))
+    evs.append(_cart("cold", "u", "p", base))
+    df = events(spark, evs)
+    carts = gold.cart_events(df).alias("c")
+    purch = gold.purchase_events(df).alias("p")
+    want = carts.join(
+        purch,
+        (F.col("c.user_id") == F.col("p.user_id")) & (F.col("c.product_id") == F.col("p.product_id"))
+        & (F.col("p.purchase_at") >= F.col("c.cart_at"))
+        & (F.col("p.purchase_at") < F.col("c.cart_at") + F.expr("INTERVAL 24 HOURS")),
+        "left",
+    ).groupBy("c.event_id").agg(F.count("p.purchase_at").alias("n"), F.min("p.purchase_at").alias("f"))
+    want_rows = rows(want)
+    for target in (1_000_000, 7, 1):
+        got = gold.cart_purchase_matches(df, target_rows=target)
+        assert rows(got, "event_id", "n_purchases", "first_purchase_at") == want_rows, target
 
 
 def test_revenue_distinct_paths_agree(spark):
