@@ -135,15 +135,21 @@ def session_consistency_literal(df: DataFrame, user_col: str = "user_id", sessio
 
 
 def session_consistency_violations(
-    df: DataFrame, user_col: str = "user_id", session_col: str = "session_id", ts_col: str = "event_timestamp"
+    df: DataFrame,
+    user_col: str = "user_id",
+    session_col: str = "session_id",
+    ts_col: str = "event_timestamp",
+    bucket: str | int = "1 day",
+    target_rows: int = DEFAULT_TARGET_ROWS,
 ) -> DataFrame:
     """Meaningful form of the test. Violations are:
 
     * ``shared_session``: one session id used by more than one user;
     * ``interleaved``: a user's session id comes back after another session id started (sessions interleave).
 
-    The second is computed per (user, session) from first/last times and a window over the user's sessions
-    (one row per session, not per event), so no user's events gather in one task.
+    The second is computed per (user, session) from first/last times (one row per session, not per event) and
+    a two-level running max over the user's sessions, so neither a user's events nor a user's sessions gather in
+    one task.
     """
     shared = (
         df.where(F.col(session_col).isNotNull())
@@ -157,10 +163,20 @@ def session_consistency_violations(
         .groupBy(user_col, session_col)
         .agg(F.min(ts_col).alias("_first"), F.max(ts_col).alias("_last"))
     )
-    w = Window.partitionBy(user_col).orderBy("_first", session_col).rowsBetween(Window.unboundedPreceding, -1)
+    # Running max of the ends of the sessions that started earlier, as a two-level prefix max: inside
+    # (user, start-time bucket) windows, plus the largest end of the user's earlier buckets from a per-bucket
+    # summary. A user with very many sessions is split like any hot group (``buckets.time_buckets``).
+    ensure_checkpoint_dir(df.sparkSession)
+    spans = spans.withColumn("_t", epoch_micros("_first")).checkpoint(eager=True)
+    spans = time_buckets(spans, [user_col], "_t", duration_micros(bucket), target_rows)
+    w_in = Window.partitionBy(user_col, "_b").orderBy("_first", session_col)
+    in_bucket = spans.withColumn("_prev_in", F.max("_last").over(w_in.rowsBetween(Window.unboundedPreceding, -1)))
+    per_bucket = spans.groupBy(user_col, "_b").agg(F.max("_last").alias("_bmax"))
+    w_user = Window.partitionBy(user_col).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    per_bucket = per_bucket.select(user_col, "_b", F.max("_bmax").over(w_user).alias("_prev_buckets"))
     inter = (
-        spans.withColumn("_prev_max_last", F.max("_last").over(w))
-        .where(F.col("_prev_max_last") > F.col("_first"))
+        in_bucket.join(per_bucket, [user_col, "_b"])
+        .where(F.greatest("_prev_in", "_prev_buckets") > F.col("_first"))
         .select(user_col, session_col, F.lit("interleaved").alias("violation"))
     )
     return shared.unionByName(inter)

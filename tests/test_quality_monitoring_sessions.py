@@ -205,6 +205,9 @@ def test_session_consistency_forms(spark):
     assert sessions.session_consistency_literal(df).count() == 0
     v = rows(sessions.session_consistency_violations(df), "violation", "session_id")
     assert v == [("interleaved", "b"), ("shared_session", "s1")]
+    # split into one-session buckets and across day boundaries: same answer
+    assert rows(sessions.session_consistency_violations(df, target_rows=1), "violation", "session_id") == v
+    assert rows(sessions.session_consistency_violations(df, bucket="1 minute"), "violation", "session_id") == v
 
 
 def test_scan_binds_variables(spark):
