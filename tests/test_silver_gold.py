@@ -236,3 +236,15 @@ def test_plan_shapes(spark):
         assert "PythonUDF" not in p and "BatchEvalPython" not in p and "ArrowEvalPython" not in p
     scan = b.select("event_id", "event_timestamp")._jdf.queryExecution().sparkPlan().toString()
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz>" in scan
+
+
+def test_ordered_per_key_plans_have_no_pair_joins(spark):
+    from cartwheel.operators import sessions
+
+    enr = silver.silver_and_enriched(td.bronze(spark, SF001), td.products(spark, SF001))
+    for df in (gold.cart_purchase_matches(enr), sessions.sessionize(silver.stg_clickstream(td.bronze(spark, SF001)))):
+        p = df._jdf.queryExecution().sparkPlan().toString()
+        assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+        assert "BroadcastHashJoin" in p  # the checked hot-group table
+        assert "PythonUDF" not in p and "ArrowEvalPython" not in p
+        assert "Expand" not in p
