@@ -37,6 +37,12 @@ def _max_level(bucket_us: int) -> int:
     return max(0, min(MAX_SPLIT_LEVEL, 62 - math.ceil(math.log2(max(bucket_us, 2)))))
 
 
+def base_bucket(t_col: str, bucket_us: int) -> Column:
+    """floor(t / bucket) in exact 64-bit integer arithmetic."""
+    b = int(bucket_us)
+    return F.expr(f"(`{t_col}` - pmod(`{t_col}`, {b}L)) div {b}L")
+
+
 def split_level(n: Column, target_rows: int, max_level: int) -> Column:
     """Smallest L with n / 2^L <= target_rows, capped at ``max_level``."""
     lvl = F.ceil(F.log2(n.cast("double") / F.lit(float(target_rows))))
@@ -56,7 +62,7 @@ def hot_groups(
         raise ValueError("target_rows must be positive")
     top = _max_level(bucket_us)
     counts = (
-        df.groupBy(*keys, F.floor(F.col(t_col) / F.lit(bucket_us)).cast("long").alias("_b0"))
+        df.groupBy(*keys, base_bucket(t_col, bucket_us).alias("_b0"))
         .agg(F.count(F.lit(1)).alias("_n"))
         .where(F.col("_n") > F.lit(target_rows))
     )
@@ -86,7 +92,7 @@ def time_buckets(
     top = _max_level(bucket_us)
     hot = hot_groups(df, keys, t_col, bucket_us, target_rows, max_hot_groups)
     t = F.col(t_col)
-    with_base = df.withColumn("_b0", F.floor(t / F.lit(bucket_us)).cast("long"))
+    with_base = df.withColumn("_b0", base_bucket(t_col, bucket_us))
     joined = with_base.join(F.broadcast(hot), [*keys, "_b0"], "left")  # size checked in hot_groups
     lvl = F.coalesce(F.col("_lvl"), F.lit(0))
     offset = t - F.col("_b0") * F.lit(bucket_us)  # 0 <= offset < bucket_us

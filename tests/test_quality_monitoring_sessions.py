@@ -192,6 +192,10 @@ def test_time_buckets_split_hot_groups_in_time_order(spark):
     assert max(ordinals.count(b) for b in set(ordinals)) <= 100
     cold = sorted((r["t"], r["_b"]) for r in out if r["k"] == "cold")
     assert cold[0][1] < cold[1][1]
+    # times before 1970 floor to the earlier bucket
+    neg = spark.createDataFrame([("n", -5), ("n", 5), ("n", -day - 1)], "k string, t long")
+    got = sorted((r["t"], r["_b"]) for r in time_buckets(neg, ["k"], "t", day, target_rows=1).collect())
+    assert [b for _, b in got] == sorted(b for _, b in got) and got[0][1] < got[1][1] < got[2][1]
 
 
 def test_session_consistency_forms(spark):
