@@ -144,8 +144,10 @@ def _scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = {
         "stg_clickstream": stg,
         "stg_products": products,
-        "fct_daily_revenue": gold.fct_daily_revenue(enr, oracle.AS_OF),
-        "fct_conversion_funnel": gold.fct_conversion_funnel(enr, oracle.AS_OF),
+        # each gold table is read three times (aggregate pass, uniqueness shuffle, anomaly series); they hold
+        # one row per day (and category), so materialising them is cheap
+        "fct_daily_revenue": gold.fct_daily_revenue(enr, oracle.AS_OF).checkpoint(eager=True),
+        "fct_conversion_funnel": gold.fct_conversion_funnel(enr, oracle.AS_OF).checkpoint(eager=True),
         "fct_cart_abandonment": gold.fct_cart_abandonment(enr, oracle.AS_OF).checkpoint(eager=True),
     }
     return K.scan(spark, tables, as_of=oracle.AS_OF, include_schema=False)
