@@ -9,7 +9,8 @@ Definition (the contract gives only method=ewma, interval=day, sensitivity=3, se
 * status: ``no_residual`` | ``insufficient`` (fewer than ``min_history`` residuals) | ``anomalous``
   (``|r - mu| > sensitivity * sigma``) | ``normal``.
 
-Spark plan: one equi-join on (series, date - 7) for the residual, one window per series with a bounded RANGE
+Spark plan: the (series, day, value) input is checkpointed once; one equi-join on (series, date - 7) for the
+residual, one window per series with a bounded RANGE
 frame of 21 days; the weights are applied with the ``aggregate`` higher-order function on the (at most 21)
 collected history points. No recursion, no Python, and each series is independent, so many series (one per
 category) spread over the cluster.
@@ -20,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 DEFAULT_SEASONALITY = 7
 DEFAULT_SENSITIVITY = 3.0
 DEFAULT_HISTORY_DAYS = 21
@@ -40,6 +43,10 @@ def ewma_anomalies(
     keys = list(series_cols or [])
     alpha = 2.0 / (seasonality + 1)
     x = df.select(*keys, F.col(date_col).cast("date").alias("metric_date"), F.col(value_col).cast("double").alias("value"))
+    # The series is read twice (value and value a season earlier); it holds one row per (series, day), so it is
+    # materialised once instead of computing the metric table twice.
+    ensure_checkpoint_dir(df.sparkSession)
+    x = x.checkpoint(eager=True)
     prev = x.select(
         *keys, F.date_add("metric_date", seasonality).alias("metric_date"), F.col("value").alias("_prev_value")
     )
