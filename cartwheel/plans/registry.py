@@ -118,7 +118,11 @@ def _bronze_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _session_consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import functions as F
 
-    stg = _silver(spark, sf_dir)
+    from ..session import ensure_checkpoint_dir
+
+    # three checks read silver: materialise it once, as the pipeline does when it writes the table
+    ensure_checkpoint_dir(spark)
+    stg = _silver(spark, sf_dir).checkpoint(eager=True)
     literal = sessions.session_consistency_literal(stg).agg(F.count(F.lit(1)).alias("violations")).select(
         F.lit("session_consistency_literal").alias("check_name"), "violations"
     )
