@@ -38,15 +38,21 @@ def ewma_anomalies(
     sensitivity: float = DEFAULT_SENSITIVITY,
     history_days: int = DEFAULT_HISTORY_DAYS,
     min_history: int = DEFAULT_MIN_HISTORY,
+    materialize: bool = True,
 ) -> DataFrame:
-    """Per (series, date): value, residual, mu, sigma, n_history, status. Input: one row per (series, date)."""
+    """Per (series, date): value, residual, mu, sigma, n_history, status. Input: one row per (series, date).
+
+    ``materialize`` checkpoints the (series, day, value) projection, which is read twice; turn it off when the
+    input is already a stored table or a checkpoint.
+    """
     keys = list(series_cols or [])
     alpha = 2.0 / (seasonality + 1)
     x = df.select(*keys, F.col(date_col).cast("date").alias("metric_date"), F.col(value_col).cast("double").alias("value"))
     # The series is read twice (value and value a season earlier); it holds one row per (series, day), so it is
     # materialised once instead of computing the metric table twice.
-    ensure_checkpoint_dir(df.sparkSession)
-    x = x.checkpoint(eager=True)
+    if materialize:
+        ensure_checkpoint_dir(df.sparkSession)
+        x = x.checkpoint(eager=True)
     prev = x.select(
         *keys, F.date_add("metric_date", seasonality).alias("metric_date"), F.col("value").alias("_prev_value")
     )

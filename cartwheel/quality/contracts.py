@@ -147,7 +147,7 @@ def contract_size() -> dict[str, tuple[int, int]]:
 
 
 def _anomaly_result(df: DataFrame, table: str, chk: AnomalyCheck) -> DataFrame:
-    flagged = ewma_anomalies(df, chk.date_col, chk.metric, list(chk.series_cols))
+    flagged = ewma_anomalies(df, chk.date_col, chk.metric, list(chk.series_cols), materialize=False)
     return flagged.agg(F.count_if(F.col("status") == "anomalous").cast("double").alias("measured")).select(
         F.lit(chk.suite).alias("suite"),
         F.lit(table).alias("table_name"),
@@ -173,7 +173,8 @@ def scan(
 
     ``variables`` are bound into check expressions written with ``${name}`` placeholders (``${table}`` is
     always the table being checked). A table name without a contract raises (a missing check path is an
-    error, not a silent pass).
+    error, not a silent pass). Each table is read by several checks (one aggregate pass, one shuffle for the
+    uniqueness checks, the anomaly series), so pass stored tables or checkpoints, not lazy plans.
     """
     declared = contracts or CONTRACTS
     parts = []
