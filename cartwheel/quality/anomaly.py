@@ -58,6 +58,8 @@ def ewma_anomalies(
     )
     r = x.join(prev, keys + ["metric_date"], "left").withColumn("residual", F.col("value") - F.col("_prev_value"))
     r = r.withColumn("_day", F.datediff("metric_date", F.lit("1970-01-01").cast("date")))
+    # A keyless series (e.g. total daily revenue) has one row per day, so its single window partition holds
+    # a few thousand rows at most; keyed series spread over tasks by series.
     w = Window.partitionBy(*keys).orderBy("_day").rangeBetween(-history_days, -1) if keys else (
         Window.orderBy("_day").rangeBetween(-history_days, -1)
     )
