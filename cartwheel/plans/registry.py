@@ -154,4 +154,4 @@ def _scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         "fct_conversion_funnel": gold.fct_conversion_funnel(enr, oracle.AS_OF).checkpoint(eager=True),
         "fct_cart_abandonment": gold.fct_cart_abandonment(enr, oracle.AS_OF).checkpoint(eager=True),
     }
-    return K.scan(spark, tables, as_of=oracle.AS_OF, include_schema=False)
+    return K.scan(spark, tables, as_of=oracle.AS_OF)

@@ -322,7 +322,7 @@ def gate(results: DataFrame, block_on: str = "fail") -> str:
     """Promotion gate: raise ``ContractFailure`` when the worst outcome reaches ``block_on``."""
     outcome = overall_outcome(results)
     if SEVERITY[outcome] >= SEVERITY[block_on]:
-        failed = results.where(F.col("outcome") == outcome).select("table_name", "check_name").limit(20).collect()
+        failed = results.where(F.col("outcome") == outcome).select("table_name", "check_name").collect()
         raise ContractFailure(f"contract outcome {outcome}: " + ", ".join(f"{r[0]}.{r[1]}" for r in failed))
     return outcome
 

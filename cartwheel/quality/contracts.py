@@ -15,7 +15,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schemas import CURRENCIES, DEVICE_TYPES, FUNNEL_EVENT_TYPES, PRODUCT_COLUMNS, SILVER_REQUIRED_COLUMNS
+from ..schemas import (
+    BRONZE_SCHEMA,
+    CURRENCIES,
+    DEVICE_TYPES,
+    FUNNEL_EVENT_TYPES,
+    PRODUCT_COLUMNS,
+    SILVER_REQUIRED_COLUMNS,
+)
 from . import checks as C
 from .anomaly import ewma_anomalies
 
@@ -42,6 +49,11 @@ class SchemaCheck:
     required: tuple[str, ...]
     suite: str = R
 
+    @property
+    def types(self) -> dict[str, str]:
+        """Declared types of the required event columns."""
+        return {f.name: f.dataType.simpleString() for f in BRONZE_SCHEMA.fields if f.name in self.required}
+
 
 def _not_null(cols, suite=T):
     return [C.missing(c, suite=suite) for c in cols]
@@ -190,5 +202,5 @@ def scan(
             if isinstance(c, AnomalyCheck) and include_anomaly:
                 parts.append(_anomaly_result(df, name, c))
             elif isinstance(c, SchemaCheck) and include_schema:
-                parts.append(C.schema_check(spark, df, name, list(c.required), suite=c.suite))
+                parts.append(C.schema_check(spark, df, name, list(c.required), c.types, suite=c.suite))
     return reduce(DataFrame.unionByName, parts)

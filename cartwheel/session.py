@@ -41,19 +41,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the folder is configured (a shared, durable path) and is used as-is. Only when it is
-    unset -- local tests -- a scratch folder is created and registered.
+    A folder that the context already has is kept. On a cluster the setting must be there; only a local master
+    may go without (tests) and gets a scratch folder.
     """
+    context = spark.sparkContext
+    held = context.getCheckpointDir()
+    if held:  # set by the user, or by Spark itself from spark.checkpoint.dir
+        return held
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        spark.sparkContext.setCheckpointDir(configured)
-        return configured
-    scratch = tempfile.mkdtemp(prefix="cartwheel-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", scratch)
-    spark.sparkContext.setCheckpointDir(scratch)
-    return scratch
-
-
-def shared_path(spark: SparkSession, *parts: str) -> str:
-    """A path under the shared checkpoint folder, for intermediate tables that cut lineage."""
-    return os.path.join(ensure_checkpoint_dir(spark), *parts)
+    if not configured and not context.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="cartwheel-ckpt-"))
+    return context.getCheckpointDir()

@@ -32,7 +32,8 @@ def write_bronze(df: DataFrame, path: str, mode: str = "append") -> None:
     """Append bronze rows, one directory per event date, rows clustered by user inside each file."""
     out = with_event_date(df) if PARTITION_COL not in df.columns else df
     (
-        out.repartition(PARTITION_COL)
+        # by range over (day, user): a large day is spread over many tasks and files
+        out.repartitionByRange(PARTITION_COL, "user_id", "event_type")
         .sortWithinPartitions(PARTITION_COL, "user_id", "event_type")
         .write.mode(mode)
         .partitionBy(PARTITION_COL)

@@ -17,15 +17,17 @@ def kafka_source_options(
     starting_offsets: str = "latest",
     max_offsets_per_trigger: int | None = None,
     group_id_prefix: str | None = "ecommerce-clickstream-consumer",
+    fail_on_data_loss: bool = True,
 ) -> dict[str, str]:
     """Options for ``readStream.format("kafka")``: subscribe to the topic, start at the latest offsets,
-    read uncommitted records (no transactional producer upstream), bound each micro-batch."""
+    read uncommitted records (no transactional producer upstream), bound each micro-batch. Offsets that the
+    broker no longer has stop the query unless ``fail_on_data_loss`` is set to false."""
     opts = {
         "kafka.bootstrap.servers": bootstrap_servers,
         "subscribe": topic,
         "startingOffsets": starting_offsets,
         "kafka.isolation.level": "read_uncommitted",
-        "failOnDataLoss": "false",
+        "failOnDataLoss": str(fail_on_data_loss).lower(),
     }
     if max_offsets_per_trigger:
         opts["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
@@ -48,7 +50,3 @@ def read_envelope_stream(spark: SparkSession, path: str, max_files_per_trigger:
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return reader.parquet(path)
-
-
-def read_envelope_batch(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(ENVELOPE_SCHEMA).parquet(path)

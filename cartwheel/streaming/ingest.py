@@ -98,7 +98,7 @@ class IngestMetricsListener(StreamingQueryListener):
 
     def onQueryTerminated(self, event):  # noqa: N802
         if event.exception:
-            self.last_error = str(event.exception)[:500]
+            self.last_error = str(event.exception)
 
     def stats(self) -> dict:
         total = self.rows_ok + self.rows_failed

@@ -166,6 +166,24 @@ def test_incremental_transform_matches_batch_and_is_idempotent(spark, tmp_dir):
     assert got_rev.exceptAll(want_rev).count() == 0 and want_rev.exceptAll(got_rev).count() == 0
 
 
+def test_adjacent_hours_keep_both_slices_on_a_uri_root(spark, tmp_dir):
+    bronze_path = os.path.join(tmp_dir, "bronze")
+    write_bronze(td.bronze(spark, SF01), bronze_path)
+    wh = pipeline.Warehouse("file://" + os.path.join(tmp_dir, "wh"))
+    products = silver.stg_products(td.products(spark, SF01))
+    runs = ["2024-01-15 11:00:00", "2024-01-15 12:00:00"]
+    for i, r in enumerate(runs):
+        pipeline.run_transform(spark, bronze_path, wh, r, f"run-{i}", products=products)
+    b = read_bronze(spark, bronze_path)
+    covered = silver.lookback_window(b, runs[0]).unionByName(silver.lookback_window(b, runs[1]))
+    want = silver.stg_clickstream(covered.drop("event_date")).select("event_id")
+    got = spark.read.parquet(wh.path("stg_clickstream")).select("event_id")
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    assert wh.exists(spark, "int_enriched_clickstream")
+    wh.drop_partition(spark, "stg_clickstream", "event_date", "2024-01-15")
+    assert not wh.exists(spark, "stg_clickstream/event_date=2024-01-15")
+
+
 def test_gate_blocks_gold(spark, tmp_dir):
     bronze_path = os.path.join(tmp_dir, "bronze")
     write_bronze(td.bronze(spark, SF001), bronze_path)
@@ -175,7 +193,7 @@ def test_gate_blocks_gold(spark, tmp_dir):
     with pytest.raises(C.ContractFailure):
         pipeline.run_transform(spark, bronze_path, wh, "2024-01-15 12:00:00", "r", products=products,
                                lookback_start="3 hours", gate_suite=K.R)
-    assert not wh.exists("fct_daily_revenue")
+    assert not wh.exists(spark, "fct_daily_revenue")
 
 
 def test_run_all_seed_transform_scan_monitoring(spark, tmp_dir):
