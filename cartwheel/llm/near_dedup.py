@@ -35,7 +35,7 @@ from .common import by_bytes, map_arrow, ship, stored
 from .components import connected_components
 from .shingles import PIECE_BYTES, min_max, mix, normalise, permutations, shingle_hashes, word_hashes
 
-BLOCK = 128
+BLOCK = 512
 
 
 @dataclass(frozen=True)
@@ -114,25 +114,36 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _lists(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """(values, offsets) of a list column, without a Python object for each value."""
+    flat = column.combine_chunks()
+    offsets = flat.offsets.to_numpy().astype(np.int64)
+    return flat.values.to_numpy()[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
 def _block_links(percent: int):
     """Links between the ``outer`` and the ``inner`` vertices of one block, by their full sets."""
 
     def run(rows: pa.Table) -> pa.Table:
         key = rows.column("key")[0].as_py()
-        ids, components, outer = (rows.column(c).to_pylist() for c in ("id", "component", "is_outer"))
-        sets = [np.asarray(x, np.int64) for x in rows.column("shingles").to_pylist()]
-        bands = [np.asarray(x, np.int64) for x in rows.column("bands").to_pylist()]
+        ids, components = (rows.column(c).to_numpy() for c in ("id", "component"))
+        is_outer = rows.column("is_outer").to_numpy()
+        values, ends = _lists(rows.column("shingles"))
+        bands, band_ends = _lists(rows.column("bands"))
+        sizes = np.diff(ends)
+        inner = np.flatnonzero(~is_outer)
         found: set[tuple[int, int]] = set()
-        for i in (i for i, is_outer in enumerate(outer) if is_outer):
-            for j in (j for j, is_outer in enumerate(outer) if not is_outer):
-                n, m = len(sets[i]), len(sets[j])
-                if components[i] == components[j] or 100 * min(n, m) < percent * max(n, m):
-                    continue
-                if np.intersect1d(bands[i], bands[j])[0] != key:
+        for i in np.flatnonzero(is_outer):
+            n = sizes[i]
+            least, most = np.minimum(n, sizes[inner]), np.maximum(n, sizes[inner])
+            near = inner[(components[inner] != components[i]) & (100 * least >= percent * most)]
+            own, own_bands = values[ends[i] : ends[i + 1]], bands[band_ends[i] : band_ends[i + 1]]
+            for j in near:
+                if np.intersect1d(own_bands, bands[band_ends[j] : band_ends[j + 1]])[0] != key:
                     continue  # compared in the first of its common buckets
-                both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-                if 100 * both >= percent * (n + m - both):
-                    found.add((ids[i], ids[j]))
+                both = len(np.intersect1d(own, values[ends[j] : ends[j + 1]], assume_unique=True))
+                if 100 * both >= percent * (n + sizes[j] - both):
+                    found.add((int(ids[i]), int(ids[j])))
         return pa.table(
             {"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())}
         )
