@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 T = TypeVar("T")
+ROWS_A_SLICE = 512
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,10 +59,15 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
-def map_arrow(df: DataFrame, run, schema: str) -> DataFrame:
-    """``mapInArrow`` with a function of this package."""
+def map_arrow(df: DataFrame, run, schema) -> DataFrame:
+    """``mapInArrow`` with a function of this package, given slices of ROWS_A_SLICE rows: a task turns few texts at
+    a time into Python strings."""
+
+    def sliced(batches):
+        return run(b.slice(i, ROWS_A_SLICE) for b in batches for i in range(0, b.num_rows, ROWS_A_SLICE))
+
     ship(df.sparkSession)
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(sliced, schema)
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:

@@ -34,7 +34,7 @@ from .common import map_arrow
 
 #: Fixed value: the pre-tokenizer pattern of byte-level BPE files whose pre-tokenizer is ByteLevel with use_regex.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-MEMORY = 700_000
+MEMORY = 400_000
 LONGEST = 64
 ODD = re.compile("[\x1c-\x1f]")
 TWO_SPACES = re.compile(r"\s\s")
