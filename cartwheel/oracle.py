@@ -140,71 +140,54 @@ FROM silver c LEFT JOIN stg_products p ON c.product_id = p.product_id
     "stg_products",
 )
 
+# A cart is an add-to-cart row with a product and a category. Its partners are the purchases of the same user and
+# product less than a day later, the cart's own instant included.
 cte(
-    "cart_events",
-    """
-SELECT event_id, CAST(event_timestamp AS DATE) AS analysis_date, category_id, category_name, user_id, product_id,
-       event_timestamp AS cart_at, price
-FROM enriched
-WHERE event_type = 'add_to_cart' AND product_id IS NOT NULL AND category_id IS NOT NULL
-""",
-    "enriched",
-)
-
-cte(
-    "purchase_events",
+    "cart_matches",
     """
-SELECT user_id, product_id, event_timestamp AS purchase_at
-FROM enriched WHERE event_type = 'purchase' AND product_id IS NOT NULL
+SELECT x.event_id, x.event_timestamp::DATE AS analysis_date, x.category_id, x.category_name, x.user_id, x.product_id,
+       x.event_timestamp AS cart_at, x.price,
+       count(b.event_id) AS n_purchases, min(b.event_timestamp) AS first_purchase_at
+FROM (FROM enriched WHERE event_type = 'add_to_cart' AND category_id IS NOT NULL AND product_id IS NOT NULL) x
+LEFT JOIN (FROM enriched WHERE event_type = 'purchase') b
+  ON (b.user_id, b.product_id) = (x.user_id, x.product_id)
+ AND epoch_us(b.event_timestamp) - epoch_us(x.event_timestamp) BETWEEN 0 AND 86399999999
+GROUP BY ALL
 """,
     "enriched",
 )
 
+# Everything the cart marts need in one aggregate over the matched carts. ``pairs`` counts every partner, ``bought``
+# counts a cart with partners once.
 cte(
-    "cart_to_purchase",
-    """
-SELECT c.analysis_date, c.category_id, c.category_name, c.user_id, c.product_id, c.cart_at, p.purchase_at, c.price
-FROM cart_events c JOIN purchase_events p
-  ON c.user_id = p.user_id AND c.product_id = p.product_id
- AND p.purchase_at >= c.cart_at AND p.purchase_at < c.cart_at + INTERVAL 24 HOUR
-""",
-    "cart_events",
-    "purchase_events",
-)
-
-cte(
-    "cart_matches",
+    "cart_days",
     """
-SELECT c.event_id, c.analysis_date, c.category_id, c.category_name, c.user_id, c.product_id, c.cart_at, c.price,
-       count(p.purchase_at) AS n_purchases, min(p.purchase_at) AS first_purchase_at
-FROM cart_events c LEFT JOIN purchase_events p
-  ON c.user_id = p.user_id AND c.product_id = p.product_id
- AND p.purchase_at >= c.cart_at AND p.purchase_at < c.cart_at + INTERVAL 24 HOUR
+SELECT analysis_date, category_id, category_name, count(*) AS carts, sum(amount) AS carted,
+       CAST(sum(n_purchases) AS BIGINT) AS pairs,
+       sum(amount * CAST(n_purchases AS INTEGER)) FILTER (WHERE n_purchases > 0) AS pairs_amount,
+       count(*) FILTER (WHERE n_purchases > 0) AS bought,
+       sum(amount) FILTER (WHERE n_purchases > 0) AS bought_amount
+FROM (SELECT *, CAST(price AS DECIMAL(28,9)) AS amount FROM cart_matches)
 GROUP BY ALL
 """,
-    "cart_events",
-    "purchase_events",
+    "cart_matches",
 )
 
-cte(
-    "cart_agg",
-    """
-SELECT analysis_date, category_id, category_name, count(*) AS cart_additions,
-       sum(CAST(price AS DECIMAL(28,9))) AS cart_value_d
-FROM cart_events GROUP BY analysis_date, category_id, category_name
-""",
-    "cart_events",
-)
 
-cte(
-    "purchase_agg",
-    """
-SELECT analysis_date, category_id, count(*) AS completed_purchases,
-       sum(CAST(price AS DECIMAL(28,9))) AS purchased_value_d
-FROM cart_to_purchase GROUP BY analysis_date, category_id
-""",
-    "cart_to_purchase",
-)
+def _abandonment_sql(completed: str, amount: str) -> str:
+    """Rows of the abandonment mart; purchases count for the whole category id, whatever its names."""
+    return f"""
+SELECT analysis_date, category_id, category_name, carts AS cart_additions, done AS completed_purchases,
+       carts - done AS abandoned_carts,
+       round(CAST(carted AS DOUBLE), 6) AS cart_value,
+       round(CAST(realized AS DOUBLE), 6) AS revenue_realized,
+       round(CAST(carted - realized AS DOUBLE), 6) AS revenue_lost,
+       (carts - done) / carts * 100 AS abandonment_rate,
+       TIMESTAMP '{AS_OF}' AS updated_at
+FROM (SELECT *, CAST(sum({completed}) OVER one_id AS BIGINT) AS done, coalesce(sum({amount}) OVER one_id, 0) AS realized
+      FROM cart_days WINDOW one_id AS (PARTITION BY analysis_date, category_id))
+"""
+
 
 cte(
     "fct_daily_revenue",
@@ -222,65 +205,55 @@ GROUP BY 1
     "enriched",
 )
 
+# Silver holds the four funnel steps only, so every enriched row is one of them.
 cte(
     "daily_event_counts",
     """
-SELECT CAST(event_timestamp AS DATE) AS funnel_date, event_type, count(*) AS event_count,
-       count(DISTINCT user_id) AS unique_users
-FROM enriched WHERE event_type IN ('page_view', 'view_item', 'add_to_cart', 'purchase')
-GROUP BY 1, 2
+SELECT event_timestamp::DATE AS funnel_date, event_type, count(*) AS event_count, count(DISTINCT user_id) AS unique_users
+FROM enriched GROUP BY ALL
 """,
     "enriched",
 )
 
-cte(
-    "funnel_pivot",
-    """
-SELECT funnel_date,
-  CAST(coalesce(sum(CASE WHEN event_type = 'page_view' THEN event_count END), 0) AS BIGINT) AS page_views,
-  CAST(coalesce(sum(CASE WHEN event_type = 'view_item' THEN event_count END), 0) AS BIGINT) AS view_items,
-  CAST(coalesce(sum(CASE WHEN event_type = 'add_to_cart' THEN event_count END), 0) AS BIGINT) AS add_to_carts,
-  CAST(coalesce(sum(CASE WHEN event_type = 'purchase' THEN event_count END), 0) AS BIGINT) AS purchases,
-  CAST(coalesce(sum(CASE WHEN event_type = 'page_view' THEN unique_users END), 0) AS BIGINT) AS unique_page_viewers,
-  CAST(coalesce(sum(CASE WHEN event_type = 'view_item' THEN unique_users END), 0) AS BIGINT) AS unique_viewers,
-  CAST(coalesce(sum(CASE WHEN event_type = 'add_to_cart' THEN unique_users END), 0) AS BIGINT) AS unique_cart_adders,
-  CAST(coalesce(sum(CASE WHEN event_type = 'purchase' THEN unique_users END), 0) AS BIGINT) AS unique_buyers
-FROM daily_event_counts GROUP BY funnel_date
-""",
-    "daily_event_counts",
-)
+
+def _funnel_pivot_sql() -> str:
+    """Events and users of each step, counted on the enriched rows themselves."""
+    steps = {
+        "page_view": ("page_views", "unique_page_viewers"),
+        "view_item": ("view_items", "unique_viewers"),
+        "add_to_cart": ("add_to_carts", "unique_cart_adders"),
+        "purchase": ("purchases", "unique_buyers"),
+    }
+    counted = [
+        f"{what} FILTER (WHERE event_type = '{step}') AS {name}"
+        for step, names in steps.items()
+        for what, name in zip(("count(*)", "count(DISTINCT user_id)"), names, strict=True)
+    ]
+    return "SELECT event_timestamp::DATE AS funnel_date, " + ", ".join(counted) + " FROM enriched GROUP BY ALL"
+
+
+def _rate(reached: str, base: str, name: str) -> str:
+    return f"CASE WHEN {base} > 0 THEN {reached} / {base} * 100 END AS {name}"
+
+
+cte("funnel_pivot", _funnel_pivot_sql(), "enriched")
 
 cte(
     "fct_conversion_funnel",
-    f"""
-SELECT funnel_date, page_views, view_items, add_to_carts, purchases,
-  unique_viewers / nullif(unique_page_viewers, 0) * 100 AS conversion_rate_view,
-  unique_cart_adders / nullif(unique_viewers, 0) * 100 AS conversion_rate_cart,
-  unique_buyers / nullif(unique_cart_adders, 0) * 100 AS conversion_rate_purchase,
-  unique_buyers / nullif(unique_page_viewers, 0) * 100 AS overall_conversion_rate,
-  TIMESTAMP '{AS_OF}' AS updated_at
-FROM funnel_pivot
-""",
+    "SELECT * EXCLUDE (unique_page_viewers, unique_viewers, unique_cart_adders, unique_buyers), "
+    + ", ".join(
+        [
+            _rate("unique_viewers", "unique_page_viewers", "conversion_rate_view"),
+            _rate("unique_cart_adders", "unique_viewers", "conversion_rate_cart"),
+            _rate("unique_buyers", "unique_cart_adders", "conversion_rate_purchase"),
+            _rate("unique_buyers", "unique_page_viewers", "overall_conversion_rate"),
+        ]
+    )
+    + f", TIMESTAMP '{AS_OF}' AS updated_at FROM funnel_pivot",
     "funnel_pivot",
 )
 
-cte(
-    "fct_cart_abandonment",
-    f"""
-SELECT c.analysis_date, c.category_id, c.category_name, c.cart_additions,
-  CAST(coalesce(p.completed_purchases, 0) AS BIGINT) AS completed_purchases,
-  CAST(c.cart_additions - coalesce(p.completed_purchases, 0) AS BIGINT) AS abandoned_carts,
-  round(CAST(c.cart_value_d AS DOUBLE), 6) AS cart_value,
-  round(CAST(coalesce(p.purchased_value_d, 0) AS DOUBLE), 6) AS revenue_realized,
-  round(CAST(c.cart_value_d - coalesce(p.purchased_value_d, 0) AS DOUBLE), 6) AS revenue_lost,
-  (c.cart_additions - coalesce(p.completed_purchases, 0)) / nullif(c.cart_additions, 0) * 100 AS abandonment_rate,
-  TIMESTAMP '{AS_OF}' AS updated_at
-FROM cart_agg c LEFT JOIN purchase_agg p
-  ON c.analysis_date = p.analysis_date AND c.category_id = p.category_id
-""",
-    "cart_agg",
-    "purchase_agg",
-)
+cte("fct_cart_abandonment", _abandonment_sql("pairs", "pairs_amount"), "cart_days")
 
 
 # --------------------------------------------------------------------------------------------------------
@@ -374,38 +347,22 @@ def queries() -> dict[str, str]:
     q["enriched_clickstream"] = build("SELECT * FROM enriched", "enriched")
     q["cart_to_purchase"] = build("SELECT * FROM cart_matches", "cart_matches")
     q["cart_agg"] = build(
-        """SELECT analysis_date, category_id, category_name, cart_additions,
-                  round(CAST(cart_value_d AS DOUBLE), 6) AS cart_value FROM cart_agg""",
-        "cart_agg",
+        """SELECT analysis_date, category_id, category_name, carts AS cart_additions,
+                  round(CAST(carted AS DOUBLE), 6) AS cart_value FROM cart_days""",
+        "cart_days",
     )
     q["purchase_agg"] = build(
-        """SELECT analysis_date, category_id, CAST(completed_purchases AS BIGINT) AS completed_purchases,
-                  round(CAST(purchased_value_d AS DOUBLE), 6) AS purchased_value FROM purchase_agg""",
-        "purchase_agg",
+        """SELECT analysis_date, category_id, CAST(sum(pairs) AS BIGINT) AS completed_purchases,
+                  round(CAST(sum(pairs_amount) AS DOUBLE), 6) AS purchased_value
+           FROM cart_days GROUP BY ALL HAVING sum(pairs) > 0""",
+        "cart_days",
     )
     q["fct_daily_revenue"] = build("SELECT * FROM fct_daily_revenue", "fct_daily_revenue")
     q["daily_event_counts"] = build("SELECT * FROM daily_event_counts", "daily_event_counts")
     q["funnel_pivot"] = build("SELECT * FROM funnel_pivot", "funnel_pivot")
     q["fct_conversion_funnel"] = build("SELECT * FROM fct_conversion_funnel", "fct_conversion_funnel")
     q["fct_cart_abandonment"] = build("SELECT * FROM fct_cart_abandonment", "fct_cart_abandonment")
-    q["cart_abandonment_first"] = build(
-        f"""
-SELECT c.analysis_date, c.category_id, c.category_name, c.cart_additions,
-  CAST(coalesce(p.completed, 0) AS BIGINT) AS completed_purchases,
-  CAST(c.cart_additions - coalesce(p.completed, 0) AS BIGINT) AS abandoned_carts,
-  round(CAST(c.cart_value_d AS DOUBLE), 6) AS cart_value,
-  round(CAST(coalesce(p.realized_d, 0) AS DOUBLE), 6) AS revenue_realized,
-  round(CAST(c.cart_value_d - coalesce(p.realized_d, 0) AS DOUBLE), 6) AS revenue_lost,
-  (c.cart_additions - coalesce(p.completed, 0)) / nullif(c.cart_additions, 0) * 100 AS abandonment_rate,
-  TIMESTAMP '{AS_OF}' AS updated_at
-FROM cart_agg c LEFT JOIN (
-  SELECT analysis_date, category_id, count(*) AS completed, sum(CAST(price AS DECIMAL(28,9))) AS realized_d
-  FROM cart_matches WHERE n_purchases > 0 GROUP BY 1, 2
-) p ON c.analysis_date = p.analysis_date AND c.category_id = p.category_id
-""",
-        "cart_agg",
-        "cart_matches",
-    )
+    q["cart_abandonment_first"] = build(_abandonment_sql("bought", "bought_amount"), "cart_days")
     q["lookback_window"] = build(
         f"""SELECT * FROM bronze
             WHERE event_timestamp >= TIMESTAMP '{RUN_STARTED_AT}' - INTERVAL 90 MINUTE
