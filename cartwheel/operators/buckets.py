@@ -1,103 +1,44 @@
-"""Time buckets that split hot groups, for ordered per-key work.
+"""Fixed time buckets for ordered per-key work.
 
-Gap sessions and the cart -> purchase interval match need the events of one key in time order. They run in
-partitions of (key, time bucket) and stitch the buckets together with a small per-bucket summary (a parallel
-prefix sum). A day bucket bounds an ordinary key, but one key may carry a large share of all rows on one day;
-its day would then be one task.
+Gap sessions, running values and the cart -> purchase interval match need the events of one key in time order. One
+window per key would send a hot key's whole history to one task. They run in partitions of (key, time bucket) and
+stitch the buckets together with a one-row-per-bucket summary (a parallel prefix sum).
 
-``time_buckets`` counts the rows of every (key, base bucket) group and splits each group holding more than
-``target_rows`` into ``2^L`` equal sub-buckets, ``L = ceil(log2(n / target_rows))`` (at most ``MAX_SPLIT_LEVEL``),
-so a hot key's day spreads over about ``n / target_rows`` tasks when its events spread over the day. Groups
-below the target keep the base bucket.
-
-Plan: the counts are one aggregate over the key and time columns (partial counts on the map side, so a hot
-group ships one partial count per task). Only the hot groups are kept -- at most ``total_rows / target_rows``
-of them -- and checkpointed into the shared folder. The table is broadcast after its row count is checked
-against ``max_hot_groups``; when there are more hot groups than that, the target is raised (from the stored
-counts, without another pass) until the table fits. The rows themselves are never shuffled by this step.
-The counts read the input once more, so a costly input should be a table or a checkpoint.
+The bucket's width is a fixed parameter, the same for every key and every size of input, so building a plan starts no
+job. Results are exact for any width: buckets of a key never overlap and their ordinals grow with time. A narrow
+bucket bounds what one task holds of a hot key (one key with a third of a month's rows has 1 / 13,000 of all rows in
+ten minutes); the summary has at most one row per event. Events of one key at one instant share a bucket.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
-from .joins import DEFAULT_BROADCAST_MAX_ROWS, fits_broadcast
-
-DEFAULT_TARGET_ROWS = 1_000_000
-MAX_SPLIT_LEVEL = 20  # a day splits into at most 2^20 sub-buckets of ~82 ms
-
-
-def _max_level(bucket_us: int) -> int:
-    # offset * 2^level must stay inside a signed 64-bit integer (offset < bucket_us)
-    return max(0, min(MAX_SPLIT_LEVEL, 62 - math.ceil(math.log2(max(bucket_us, 2)))))
+DEFAULT_BUCKET = "10 minutes"
 
 
-def base_bucket(t_col: str, bucket_us: int) -> Column:
-    """floor(t / bucket) in exact 64-bit integer arithmetic."""
+def time_bucket(t_col: str, bucket_us: int) -> Column:
+    """Ordinal of the bucket of epoch microseconds: floor(t / bucket) in exact integer arithmetic, before 1970 too."""
     b = int(bucket_us)
+    if b <= 0:
+        raise ValueError("a bucket needs a positive width")
     return F.expr(f"(`{t_col}` - pmod(`{t_col}`, {b}L)) div {b}L")
 
 
-def split_level(n: Column, target_rows: int, max_level: int) -> Column:
-    """Smallest L with n / 2^L <= target_rows, capped at ``max_level``."""
-    lvl = F.ceil(F.log2(n.cast("double") / F.lit(float(target_rows))))
-    return F.least(F.greatest(lvl, F.lit(0)), F.lit(max_level)).cast("int")
-
-
-def hot_groups(
-    df: DataFrame,
-    keys: list[str],
-    t_col: str,
-    bucket_us: int,
-    target_rows: int = DEFAULT_TARGET_ROWS,
-    max_hot_groups: int = DEFAULT_BROADCAST_MAX_ROWS,
-) -> DataFrame:
-    """(keys, _b0, _lvl) for every (key, base bucket) group with more than the target rows; checked small."""
-    if target_rows <= 0:
-        raise ValueError("target_rows must be positive")
-    top = _max_level(bucket_us)
-    counts = (
-        df.groupBy(*keys, base_bucket(t_col, bucket_us).alias("_b0"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > F.lit(target_rows))
-    )
-    ensure_checkpoint_dir(df.sparkSession)
-    hot = counts.checkpoint(eager=True)
-    target = target_rows
-    while not fits_broadcast(hot, max_hot_groups):
-        target *= 4  # a quarter as many groups can exceed it: the loop ends after a few rounds
-        hot = hot.where(F.col("_n") > F.lit(target))
-    return hot.select(*keys, "_b0", split_level(F.col("_n"), target, top).alias("_lvl"))
-
-
-def time_buckets(
-    df: DataFrame,
-    keys: list[str],
-    t_col: str,
-    bucket_us: int,
-    target_rows: int = DEFAULT_TARGET_ROWS,
-    out_col: str = "_b",
-    max_hot_groups: int = DEFAULT_BROADCAST_MAX_ROWS,
+def running_max(
+    df: DataFrame, keys: list[str], t_col: str, order: list[str], value: str, bucket_us: int, out: str, last: int = 0
 ) -> DataFrame:
-    """Add ``out_col``: a per-key time-bucket ordinal; hot (key, bucket) groups are split into finer buckets.
+    """Add ``out``: the greatest ``value`` of the key's rows so far in ``order``, up to the row ``last`` places on
+    (0 = the row itself, -1 = the row before); NULL where there is none. ``order`` starts with the time of ``t_col``.
 
-    ``t_col`` holds epoch microseconds (BIGINT). Buckets never overlap and their ordinals increase with time
-    within a key, so any algorithm that is exact for "partition by key and bucket, order by time" stays exact.
+    Two levels: a window inside (key, bucket), plus the greatest value of the key's earlier buckets.
     """
-    top = _max_level(bucket_us)
-    hot = hot_groups(df, keys, t_col, bucket_us, target_rows, max_hot_groups)
-    t = F.col(t_col)
-    with_base = df.withColumn("_b0", base_bucket(t_col, bucket_us))
-    joined = with_base.join(F.broadcast(hot), [*keys, "_b0"], "left")  # size checked in hot_groups
-    lvl = F.coalesce(F.col("_lvl"), F.lit(0))
-    offset = t - F.col("_b0") * F.lit(bucket_us)  # 0 <= offset < bucket_us
-    scaled = joined.withColumn("_lvl", lvl).withColumn("_x", offset * F.expr("shiftleft(1L, _lvl)"))
-    # exact integral division: 0 <= sub < 2^level; the sub-bucket start in units of bucket / 2^top
-    start = F.expr(f"shiftleft(_x div {int(bucket_us)}L, {top} - _lvl)")
-    ordinal = F.col("_b0") * F.lit(1 << top) + start
-    return scaled.withColumn(out_col, ordinal).drop("_b0", "_lvl", "_x")
+    bucketed = df.withColumn("_b", time_bucket(t_col, bucket_us))
+    inside = Window.partitionBy(*keys, "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, last)
+    earlier = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    summary = bucketed.groupBy(*keys, "_b").agg(F.max(value).alias("_top"))
+    summary = summary.select(*keys, "_b", F.max("_top").over(earlier).alias("_earlier"))
+    joined = bucketed.withColumn("_inside", F.max(value).over(inside)).join(summary, [*keys, "_b"])
+    # greatest() skips NULL
+    return joined.withColumn(out, F.greatest("_inside", "_earlier")).drop("_b", "_inside", "_earlier")

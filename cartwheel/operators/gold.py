@@ -5,7 +5,7 @@ All inputs are the enriched silver clickstream (``int_enriched_clickstream``): o
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import (
@@ -18,8 +18,7 @@ from ..functions.columns import (
     safe_divide,
 )
 from ..schemas import FUNNEL_EVENT_TYPES
-from ..session import ensure_checkpoint_dir
-from .buckets import DEFAULT_TARGET_ROWS, time_buckets
+from .buckets import DEFAULT_BUCKET, time_bucket
 from .silver import RunTime, now_or
 
 
@@ -141,32 +140,18 @@ def fct_conversion_funnel(enriched: DataFrame, as_of: RunTime | None = None, aud
 # ---------------------------------------------------------------------------------------------------------
 # O-25 / O-29 carts and their purchases
 # ---------------------------------------------------------------------------------------------------------
-def cart_events(enriched: DataFrame) -> DataFrame:
-    return enriched.where(
-        (F.col("event_type") == "add_to_cart") & F.col("product_id").isNotNull() & F.col("category_id").isNotNull()
-    ).select(
-        "event_id",
-        F.to_date("event_timestamp").alias("analysis_date"),
-        "category_id",
-        "category_name",
-        "user_id",
-        "product_id",
-        F.col("event_timestamp").alias("cart_at"),
-        "price",
-    )
+def _is_cart() -> Column:
+    return (F.col("event_type") == "add_to_cart") & F.col("product_id").isNotNull() & F.col("category_id").isNotNull()
 
 
-def purchase_events(enriched: DataFrame) -> DataFrame:
-    return enriched.where((F.col("event_type") == "purchase") & F.col("product_id").isNotNull()).select(
-        "user_id", "product_id", F.col("event_timestamp").alias("purchase_at")
-    )
+def _is_purchase() -> Column:
+    return (F.col("event_type") == "purchase") & F.col("product_id").isNotNull()
 
 
 def cart_purchase_matches(
     enriched: DataFrame,
     within: str | int = "24 hours",
-    bucket: str | int = "1 day",
-    target_rows: int = DEFAULT_TARGET_ROWS,
+    bucket: str | int = DEFAULT_BUCKET,
 ) -> DataFrame:
     """For every cart: how many purchases of the same user and product fall in ``[cart_at, cart_at + within)``,
     and the first of them.
@@ -182,18 +167,15 @@ def cart_purchase_matches(
       one-row-per-bucket summary. The first purchase at or after ``cart_at`` is a suffix minimum built the same
       way.
 
-    Buckets are a day by default; a (user, product) day holding more than ``target_rows`` rows is split into
-    finer buckets (``buckets.time_buckets``), so no task holds a hot key's whole history. The two probes of a
+    Buckets have a fixed width (``buckets.py``), so no task holds a hot key's whole history and building the plan
+    starts no job. The input is read by two branches, the probes and the summary's few columns. The two probes of a
     cart are joined up again by one aggregation on the cart (silver event ids are unique).
     """
     w_us = duration_micros(within)
     b_us = duration_micros(bucket)
     keys = ["user_id", "product_id"]
     cart_cols = ["event_id", "analysis_date", "category_id", "category_name", "user_id", "product_id", "cart_at", "price"]
-    is_cart = (
-        (F.col("event_type") == "add_to_cart") & F.col("product_id").isNotNull() & F.col("category_id").isNotNull()
-    )
-    is_purchase = (F.col("event_type") == "purchase") & F.col("product_id").isNotNull()
+    is_cart, is_purchase = _is_cart(), _is_purchase()
     # one filtered pass over the events feeds both sides (no union of two scans of the same input)
     rows = enriched.where(is_cart | is_purchase).select(
         "event_id",
@@ -212,10 +194,7 @@ def cart_purchase_matches(
     stacked = rows.withColumn("_probe", F.explode(probe)).withColumn(
         "_pt", F.col("_t") + F.when(F.col("_probe") == 1, F.lit(w_us)).otherwise(F.lit(0))
     )
-    # The stacked rows are read by the hot-group count and by the match itself: materialise them once (narrow
-    # columns, carts and purchases only) in the shared checkpoint folder.
-    ensure_checkpoint_dir(enriched.sparkSession)
-    bucketed = time_buckets(stacked.checkpoint(eager=True), keys, "_pt", b_us, target_rows)
+    bucketed = stacked.withColumn("_b", time_bucket("_pt", b_us))
     is_p = F.col("_is_p")
     p_time = F.when(is_p, F.col("_pt"))
     # time order within a key; at the same instant probes (rank 0) come before purchases (rank 1)
@@ -295,8 +274,7 @@ def fct_cart_abandonment(
     audit: bool = True,
     first_only: bool = False,
     within: str | int = "24 hours",
-    bucket: str | int = "1 day",
-    target_rows: int = DEFAULT_TARGET_ROWS,
+    bucket: str | int = DEFAULT_BUCKET,
 ) -> DataFrame:
     """Cart abandonment per day and category.
 
@@ -304,7 +282,7 @@ def fct_cart_abandonment(
     completed purchases (abandoned may go negative). ``first_only=True``: each cart converts at most once.
     Purchases are keyed by category id only and joined back to every (id, name) row of carts.
     """
-    totals = _category_day_totals(cart_purchase_matches(enriched, within, bucket, target_rows), first_only)
+    totals = _category_day_totals(cart_purchase_matches(enriched, within, bucket), first_only)
     # Purchases are keyed by (day, category id) only: every (id, name) row of that id gets the id's totals.
     # The totals are one row per (day, category, name), so a window over them replaces a re-aggregate + join.
     per_id = Window.partitionBy("analysis_date", "category_id")
@@ -335,8 +313,6 @@ __all__ = [
     "daily_event_counts",
     "funnel_pivot",
     "fct_conversion_funnel",
-    "cart_events",
-    "purchase_events",
     "cart_purchase_matches",
     "cart_agg",
     "purchase_agg",

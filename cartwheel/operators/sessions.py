@@ -7,26 +7,24 @@ Scale: a plain ``lag() over (partition by user order by ts)`` sends each user's
 which is a straggler (or a spill storm) when one user is a large share of all events. ``sessionize`` instead
 works in two levels, like a parallel prefix sum:
 
-1. partition by (user, time bucket) -- a day by default, split further for a user whose day holds more than
-   ``target_rows`` events (``buckets.time_buckets``) -- and find session starts inside each bucket;
+1. partition by (user, time bucket) of fixed width (``buckets.py``) and find session starts inside each bucket;
 2. a small per-(user, bucket) summary (first/last event, number of starts) gets a running count per user,
    which numbers the sessions across buckets, and decides whether a bucket's first event continues the
    previous bucket's last session;
-3. the summary is joined back (it is far smaller than the events) and the in-bucket running count is added.
+3. the summary is joined back (it is no longer than the events and far narrower) and the in-bucket count is added.
 
-No group is larger than one user's events in one bucket, and a hot user-day is split into sub-buckets of about
-``target_rows`` events.
+No group is larger than one user's events in one bucket. Building the plan starts no job; the input is read by two
+branches (the rows, and the summary's few columns), so pass a stored table where it is costly.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import duration_micros, epoch_micros
 from ..schemas import FUNNEL_STEP
-from ..session import ensure_checkpoint_dir
-from .buckets import DEFAULT_TARGET_ROWS, time_buckets
+from .buckets import DEFAULT_BUCKET, running_max, time_bucket
 
 DEFAULT_GAP = "30 minutes"
 
@@ -36,25 +34,16 @@ def sessionize(
     user_col: str = "user_id",
     ts_col: str = "event_timestamp",
     gap: str | int = DEFAULT_GAP,
-    bucket: str | int = "1 day",
+    bucket: str | int = DEFAULT_BUCKET,
     tiebreak_col: str = "event_id",
-    target_rows: int = DEFAULT_TARGET_ROWS,
-    materialize: bool = True,
 ) -> DataFrame:
     """Add ``session_seq`` (1, 2, ... per user, in time order) and ``is_session_start`` to every event.
 
-    Rows with a NULL user or time are left out (they belong to no session). The input is read by three
-    branches; ``materialize`` checkpoints it once into the shared folder (turn it off when the input is
-    already a stored table).
+    Rows with a NULL user or time are left out (they belong to no session).
     """
     gap_us = duration_micros(gap)
-    b_us = duration_micros(bucket)
     ev = events.where(F.col(user_col).isNotNull() & F.col(ts_col).isNotNull()).withColumn("_t", epoch_micros(ts_col))
-    if materialize:
-        # read three times (hot-group counts, the rows, the per-bucket summary): compute the input once
-        ensure_checkpoint_dir(ev.sparkSession)
-        ev = ev.checkpoint(eager=True)
-    ev = time_buckets(ev, [user_col], "_t", b_us, target_rows)
+    ev = ev.withColumn("_b", time_bucket("_t", duration_micros(bucket)))
     w_in = Window.partitionBy(user_col, "_b").orderBy("_t", tiebreak_col)
     ev = ev.withColumn("_prev_t", F.lag("_t").over(w_in))
     ev = ev.withColumn(
@@ -83,30 +72,35 @@ def sessionize(
     )
 
 
-def sessionize_simple(
-    events: DataFrame, user_col: str = "user_id", ts_col: str = "event_timestamp", gap: str | int = DEFAULT_GAP,
+def _step() -> Column:
+    """Funnel step of an event, 1 to 4; NULL outside the funnel."""
+    return F.element_at(F.create_map(*[F.lit(x) for kv in FUNNEL_STEP.items() for x in kv]), F.col("event_type"))
+
+
+def session_progress(
+    sessionized: DataFrame,
+    user_col: str = "user_id",
+    ts_col: str = "event_timestamp",
+    bucket: str | int = DEFAULT_BUCKET,
     tiebreak_col: str = "event_id",
 ) -> DataFrame:
-    """Reference form with one window per user (for tests; sends a user's history to one task)."""
-    gap_us = duration_micros(gap)
-    ev = events.where(F.col(user_col).isNotNull() & F.col(ts_col).isNotNull()).withColumn("_t", epoch_micros(ts_col))
-    w = Window.partitionBy(user_col).orderBy("_t", tiebreak_col)
-    prev = F.lag("_t").over(w)
-    ev = ev.withColumn("is_session_start", prev.isNull() | (F.col("_t") - prev >= gap_us))
-    return ev.withColumn(
-        "session_seq",
-        F.sum(F.col("is_session_start").cast("long")).over(w.rowsBetween(Window.unboundedPreceding, 0)),
-    ).drop("_t")
+    """Add ``current_step``: the deepest funnel step that the session has reached so far, this event included.
+
+    0 until a step is reached. A session without end (a bot that never pauses) is split by time like any hot key.
+    """
+    rows = sessionized.withColumn("_t", epoch_micros(ts_col)).withColumn("_step", F.coalesce(_step(), F.lit(0)))
+    keys = [user_col, "session_seq"]
+    out = running_max(rows, keys, "_t", ["_t", tiebreak_col], "_step", duration_micros(bucket), "current_step")
+    return out.drop("_t", "_step")
 
 
 def sessions(sessionized: DataFrame, user_col: str = "user_id", ts_col: str = "event_timestamp") -> DataFrame:
     """One row per session: start, end, events and funnel depth (deepest step reached, 0..4)."""
-    step = F.element_at(F.create_map(*[F.lit(x) for kv in FUNNEL_STEP.items() for x in kv]), F.col("event_type"))
     return sessionized.groupBy(user_col, "session_seq").agg(
         F.min(ts_col).alias("session_start"),
         F.max(ts_col).alias("session_end"),
         F.count(F.lit(1)).alias("events"),
-        F.coalesce(F.max(step), F.lit(0)).alias("funnel_depth"),
+        F.coalesce(F.max(_step()), F.lit(0)).alias("funnel_depth"),
     )
 
 
@@ -139,8 +133,7 @@ def session_consistency_violations(
     user_col: str = "user_id",
     session_col: str = "session_id",
     ts_col: str = "event_timestamp",
-    bucket: str | int = "1 day",
-    target_rows: int = DEFAULT_TARGET_ROWS,
+    bucket: str | int = DEFAULT_BUCKET,
 ) -> DataFrame:
     """Meaningful form of the test. Violations are:
 
@@ -163,20 +156,18 @@ def session_consistency_violations(
         .groupBy(user_col, session_col)
         .agg(F.min(ts_col).alias("_first"), F.max(ts_col).alias("_last"))
     )
-    # Running max of the ends of the sessions that started earlier, as a two-level prefix max: inside
-    # (user, start-time bucket) windows, plus the largest end of the user's earlier buckets from a per-bucket
-    # summary. A user with very many sessions is split like any hot group (``buckets.time_buckets``).
-    ensure_checkpoint_dir(df.sparkSession)
-    spans = spans.withColumn("_t", epoch_micros("_first")).checkpoint(eager=True)
-    spans = time_buckets(spans, [user_col], "_t", duration_micros(bucket), target_rows)
-    w_in = Window.partitionBy(user_col, "_b").orderBy("_first", session_col)
-    in_bucket = spans.withColumn("_prev_in", F.max("_last").over(w_in.rowsBetween(Window.unboundedPreceding, -1)))
-    per_bucket = spans.groupBy(user_col, "_b").agg(F.max("_last").alias("_bmax"))
-    w_user = Window.partitionBy(user_col).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    per_bucket = per_bucket.select(user_col, "_b", F.max("_bmax").over(w_user).alias("_prev_buckets"))
-    inter = (
-        in_bucket.join(per_bucket, [user_col, "_b"])
-        .where(F.greatest("_prev_in", "_prev_buckets") > F.col("_first"))
-        .select(user_col, session_col, F.lit("interleaved").alias("violation"))
+    # the greatest end of the sessions that started earlier; a user with very many sessions is split by start time
+    spans = running_max(
+        spans.withColumn("_t", epoch_micros("_first")),
+        [user_col],
+        "_t",
+        ["_first", session_col],
+        "_last",
+        duration_micros(bucket),
+        "_ended",
+        last=-1,
+    )
+    inter = spans.where(F.col("_ended") > F.col("_first")).select(
+        user_col, session_col, F.lit("interleaved").alias("violation")
     )
     return shared.unionByName(inter)

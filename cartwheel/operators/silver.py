@@ -16,7 +16,7 @@ from ..functions.columns import (
     ts_literal,
 )
 from ..schemas import BRONZE_COLUMNS, FUNNEL_EVENT_TYPES, PRODUCT_COLUMNS
-from .joins import DEFAULT_BROADCAST_MAX_ROWS, left_join_dimension
+from .joins import DEFAULT_BROADCAST_MAX_BYTES, left_join_dimension
 
 RunTime = str | _dt.datetime | Column
 
@@ -180,11 +180,11 @@ def stg_products(products: DataFrame, as_of: RunTime | None = None, audit: bool
 def enrich_with_products(
     clickstream: DataFrame,
     products: DataFrame,
-    broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+    broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES,
 ) -> DataFrame:
     """Left join events to the active catalogue on product_id; the event's own value wins, the catalogue fills gaps.
 
-    The catalogue is broadcast only when its row count is proven below ``broadcast_max_rows``; a larger
+    The catalogue is broadcast only when its size is proven to be at most ``broadcast_max_bytes``; a larger
     catalogue goes through a sort-merge join whose NULL product ids are spread over all tasks.
     """
     dim = products.select(
@@ -195,7 +195,7 @@ def enrich_with_products(
         F.col("price").alias("product_price"),
         F.col("currency").alias("product_currency"),
     )
-    joined = left_join_dimension(clickstream, dim, "product_id", "p_product_id", "event_id", broadcast_max_rows)
+    joined = left_join_dimension(clickstream, dim, "product_id", "p_product_id", "event_id", broadcast_max_bytes)
     out_cols = []
     for c in clickstream.columns:
         if c in ("category_id", "category_name", "brand", "price", "currency"):
@@ -209,11 +209,11 @@ def silver_and_enriched(
     bronze: DataFrame,
     products: DataFrame,
     run_started_at: RunTime | None = None,
-    broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+    broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES,
 ) -> DataFrame:
     """``int_enriched_clickstream`` from bronze and the raw catalogue."""
     return enrich_with_products(
-        stg_clickstream(bronze, run_started_at), stg_products(products), broadcast_max_rows=broadcast_max_rows
+        stg_clickstream(bronze, run_started_at), stg_products(products), broadcast_max_bytes=broadcast_max_bytes
     )
 
 

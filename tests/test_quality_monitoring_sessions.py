@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cartwheel.operators import monitoring, sessions, silver
@@ -153,6 +154,16 @@ def test_funnel_ratios_zero_base(spark):
 # --------------------------------------------------------------------------------------------------------
 # sessions
 # --------------------------------------------------------------------------------------------------------
+def sessionize_simple(events_df):
+    """The rule with one window per user, for comparison."""
+    ev = events_df.where("user_id is not null and event_timestamp is not null")
+    w = Window.partitionBy("user_id").orderBy("event_timestamp", "event_id")
+    prev = F.lag("event_timestamp").over(w)
+    gap = F.timestamp_diff("MICROSECOND", prev, F.col("event_timestamp"))
+    ev = ev.withColumn("is_session_start", prev.isNull() | (gap >= 30 * 60 * 1_000_000))
+    return ev.withColumn("session_seq", F.sum(F.col("is_session_start").cast("long")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+
+
 def test_session_gap_rule(spark):
     df = events(spark, [
         dict(event_id="1", user_id="u", event_type="page_view", event_timestamp=ts(0)),
@@ -160,7 +171,7 @@ def test_session_gap_rule(spark):
         dict(event_id="3", user_id="u", event_type="page_view", event_timestamp=ts(59, 59)),  # exactly 30:00 -> new
         dict(event_id="4", user_id="u", event_type="purchase", event_timestamp=ts(90, 0)),  # 30:01 -> new
     ])
-    for fn in (sessions.sessionize, sessions.sessionize_simple):
+    for fn in (sessions.sessionize, sessionize_simple):
         assert rows(fn(df), "event_id", "session_seq") == [("1", 1), ("2", 1), ("3", 2), ("4", 3)]
     depth = rows(sessions.session_funnel_depth(sessions.sessionize(df)), "session_seq", "funnel_depth")
     assert depth == [(1, 2), (2, 1), (3, 4)]
@@ -169,33 +180,35 @@ def test_session_gap_rule(spark):
 def test_chunked_sessionize_equals_single_window(spark):
     stg = silver.stg_clickstream(td.bronze(spark, SF01))
     cols = ["user_id", "event_id", "session_seq", "is_session_start"]
-    a = sessions.sessionize_simple(stg).select(*cols)
+    a = sessionize_simple(stg).select(*cols)
     for bucket in ("1 day", "1 hour", "10 minutes"):
         b = sessions.sessionize(stg, bucket=bucket).select(*cols)
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
-    # user-days above 3 events are split into sub-buckets: same sessions
-    c = sessions.sessionize(stg, target_rows=3).select(*cols)
-    assert a.exceptAll(c).count() == 0 and c.exceptAll(a).count() == 0
+    w = Window.partitionBy("user_id", "session_seq").orderBy("event_timestamp", "event_id")
+    step = F.expr("case event_type when 'page_view' then 1 when 'view_item' then 2 when 'add_to_cart' then 3 else 4 end")
+    want = sessionize_simple(stg).withColumn("current_step", F.max(step).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    want = want.select("event_id", "current_step")
+    for bucket in ("10 minutes", "1 second", "30 days"):
+        got = sessions.session_progress(sessions.sessionize(stg), bucket=bucket).select("event_id", "current_step")
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
 
-def test_time_buckets_split_hot_groups_in_time_order(spark):
-    from cartwheel.operators.buckets import time_buckets
+def test_time_buckets_are_in_time_order(spark):
+    from cartwheel.operators.buckets import running_max, time_bucket
 
     day = 86_400_000_000
-    data = [("hot", i * (day // 1000)) for i in range(1000)] + [("cold", 5), ("cold", day + 5)]
-    df = spark.createDataFrame(data, "k string, t long")
-    out = time_buckets(df, ["k"], "t", day, target_rows=100).collect()
-    hot = sorted((r["t"], r["_b"]) for r in out if r["k"] == "hot")
-    ordinals = [b for _, b in hot]
-    assert ordinals == sorted(ordinals)  # ordinals grow with time
-    assert len(set(ordinals)) == 16  # 1000 rows / 100 -> 2^4 sub-buckets
-    assert max(ordinals.count(b) for b in set(ordinals)) <= 100
-    cold = sorted((r["t"], r["_b"]) for r in out if r["k"] == "cold")
-    assert cold[0][1] < cold[1][1]
-    # times before 1970 floor to the earlier bucket
-    neg = spark.createDataFrame([("n", -5), ("n", 5), ("n", -day - 1)], "k string, t long")
-    got = sorted((r["t"], r["_b"]) for r in time_buckets(neg, ["k"], "t", day, target_rows=1).collect())
-    assert [b for _, b in got] == sorted(b for _, b in got) and got[0][1] < got[1][1] < got[2][1]
+    times = [-day - 1, -5, 5, day - 1, day, 3 * day + 7]  # times before 1970 floor to the earlier bucket
+    df = spark.createDataFrame([(t,) for t in times], "t long").withColumn("b", time_bucket("t", day))
+    assert [r["b"] for r in df.orderBy("t").collect()] == [-2, -1, 0, 0, 1, 3]
+    with pytest.raises(ValueError):
+        time_bucket("t", 0)
+    values = [4, None, 2, 9, 1, None]
+    vals = spark.createDataFrame(list(zip(["k"] * 6, times, values)), "k string, t long, v int")
+    for width in (1, 10, day, 100 * day):
+        got = running_max(vals, ["k"], "t", ["t"], "v", width, "m").orderBy("t").collect()
+        assert [r["m"] for r in got] == [4, 4, 4, 9, 9, 9]
+        got = running_max(vals, ["k"], "t", ["t"], "v", width, "m", last=-1).orderBy("t").collect()
+        assert [r["m"] for r in got] == [None, 4, 4, 4, 9, 9]
 
 
 def test_session_consistency_forms(spark):
@@ -209,9 +222,8 @@ def test_session_consistency_forms(spark):
     assert sessions.session_consistency_literal(df).count() == 0
     v = rows(sessions.session_consistency_violations(df), "violation", "session_id")
     assert v == [("interleaved", "b"), ("shared_session", "s1")]
-    # split into one-session buckets and across day boundaries: same answer
-    assert rows(sessions.session_consistency_violations(df, target_rows=1), "violation", "session_id") == v
-    assert rows(sessions.session_consistency_violations(df, bucket="1 minute"), "violation", "session_id") == v
+    for bucket in ("1 minute", "1 second", "30 days"):
+        assert rows(sessions.session_consistency_violations(df, bucket=bucket), "violation", "session_id") == v
 
 
 def test_scan_binds_variables(spark):

@@ -97,8 +97,8 @@ def test_enrichment_event_value_wins(spark):
         "product_id string, category_id string, category_name string, brand string, price double, currency string, "
         "is_active boolean, created_at timestamp_ntz, updated_at timestamp_ntz",
     )
-    for max_rows in (1_000_000, 0):  # broadcast path and sort-merge path
-        out = silver.enrich_with_products(ev, prods, broadcast_max_rows=max_rows)
+    for max_bytes in (1 << 20, 100, 0):  # broadcast path and sort-merge path
+        out = silver.enrich_with_products(ev, prods, broadcast_max_bytes=max_bytes)
         assert rows(out, "event_id", "price", "category_id") == [("e1", 5.0, "cat"), ("e2", 9.0, "cat"), ("e3", None, None)]
 
 
@@ -159,10 +159,23 @@ def test_empty_steps_zero_counts_null_rates(spark):
     assert f["conversion_rate_view"] is None and f["overall_conversion_rate"] is None
 
 
+def cart_events(enriched):
+    """Carts by the plain rule, for brute force."""
+    return enriched.where("event_type = 'add_to_cart' and product_id is not null and category_id is not null").select(
+        "event_id", "user_id", "product_id", F.col("event_timestamp").alias("cart_at")
+    )
+
+
+def purchase_events(enriched):
+    return enriched.where("event_type = 'purchase' and product_id is not null").select(
+        "user_id", "product_id", F.col("event_timestamp").alias("purchase_at")
+    )
+
+
 def test_matches_equal_brute_force_join(spark):
     enr = silver.silver_and_enriched(td.bronze(spark, SF01), td.products(spark, SF01))
-    carts = gold.cart_events(enr).alias("c")
-    purch = gold.purchase_events(enr).alias("p")
+    carts = cart_events(enr).alias("c")
+    purch = purchase_events(enr).alias("p")
     pairs = carts.join(
         purch,
         (F.col("c.user_id") == F.col("p.user_id")) & (F.col("c.product_id") == F.col("p.product_id"))
@@ -174,9 +187,8 @@ def test_matches_equal_brute_force_join(spark):
     assert got.exceptAll(pairs).count() == 0 and pairs.exceptAll(got).count() == 0
     hourly = gold.cart_purchase_matches(enr, bucket="1 hour").select("event_id", "n_purchases", "first_purchase_at")
     assert got.exceptAll(hourly).count() == 0
-    # every (user, product) day above 2 rows is split into sub-buckets: same answer
-    split = gold.cart_purchase_matches(enr, target_rows=2).select("event_id", "n_purchases", "first_purchase_at")
-    assert got.exceptAll(split).count() == 0 and split.exceptAll(got).count() == 0
+    daily = gold.cart_purchase_matches(enr, bucket="1 day").select("event_id", "n_purchases", "first_purchase_at")
+    assert got.exceptAll(daily).count() == 0 and daily.exceptAll(got).count() == 0
 
 
 def test_hot_key_split_matches_brute_force(spark):
@@ -194,8 +206,8 @@ def test_hot_key_split_matches_brute_force(spark):
             evs.append(_purchase(f"r{i}", "hot", "p", at + dt.timedelta(hours=23, minutes=59)))
     evs.append(_cart("cold", "u", "p", base))
     df = events(spark, evs)
-    carts = gold.cart_events(df).alias("c")
-    purch = gold.purchase_events(df).alias("p")
+    carts = cart_events(df).alias("c")
+    purch = purchase_events(df).alias("p")
     want = carts.join(
         purch,
         (F.col("c.user_id") == F.col("p.user_id")) & (F.col("c.product_id") == F.col("p.product_id"))
@@ -204,9 +216,9 @@ def test_hot_key_split_matches_brute_force(spark):
         "left",
     ).groupBy("c.event_id").agg(F.count("p.purchase_at").alias("n"), F.min("p.purchase_at").alias("f"))
     want_rows = rows(want)
-    for target in (1_000_000, 7, 1):
-        got = gold.cart_purchase_matches(df, target_rows=target)
-        assert rows(got, "event_id", "n_purchases", "first_purchase_at") == want_rows, target
+    for bucket in ("10 minutes", "30 days", "1 second"):
+        got = gold.cart_purchase_matches(df, bucket=bucket)
+        assert rows(got, "event_id", "n_purchases", "first_purchase_at") == want_rows, bucket
 
 
 def test_revenue_distinct_paths_agree(spark):
@@ -238,13 +250,29 @@ def test_plan_shapes(spark):
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz>" in scan
 
 
-def test_ordered_per_key_plans_have_no_pair_joins(spark):
+def test_ordered_per_key_plans(spark):
     from cartwheel.operators import sessions
 
     enr = silver.silver_and_enriched(td.bronze(spark, SF001), td.products(spark, SF001))
-    for df in (gold.cart_purchase_matches(enr), sessions.sessionize(silver.stg_clickstream(td.bronze(spark, SF001)))):
+    stg = silver.stg_clickstream(td.bronze(spark, SF001))
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "building plans starts no job")
+    built = {
+        "matches": gold.cart_purchase_matches(enr),
+        "abandonment": gold.fct_cart_abandonment(enr),
+        "sessions": sessions.sessionize(stg),
+        "progress": sessions.session_progress(sessions.sessionize(stg)),
+        "consistency": sessions.session_consistency_violations(stg),
+    }
+    assert len(jobs.getJobIdsForGroup("building")) == 0
+    spark.sparkContext.setJobGroup("other", "")
+    for df in built.values():
         p = df._jdf.queryExecution().sparkPlan().toString()
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
-        assert "BroadcastHashJoin" in p  # the checked hot-group table
         assert "PythonUDF" not in p and "ArrowEvalPython" not in p
-        assert "Expand" not in p
+    # on a stored table: rows and summary dealt by (key, bucket), the summary by key and back by (key, bucket)
+    stored = spark.createDataFrame(stg.rdd, stg.schema)
+    plan = sessions.sessionize(stored)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= 4
+    built = gold.cart_purchase_matches(spark.createDataFrame(enr.rdd, enr.schema))
+    assert built._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") <= 5
