@@ -46,9 +46,8 @@ def parse_events(
       type outside the funnel, empty user id, an event time or price that is present but cannot be read.
     ``strict=True`` fails the query on the first malformed record or missing key instead of dead-lettering it.
     """
-    # Stage 1: decode once. JSON is parsed a single time per record into a struct plus its key list; the
-    # projection below reads those columns (Catalyst keeps the two projections apart rather than inlining an
-    # expensive expression that is used many times).
+    # JSON is decoded once a record into a struct and its key list. Typed columns and reason come out of a generator of
+    # one row: filters on them stay above it, where a pushed-down copy would decode the text again.
     decoded = envelope.select(
         "topic",
         "partition",
@@ -63,8 +62,9 @@ def parse_events(
             F.json_array_length(F.concat(F.lit("["), F.col("raw_value"), F.lit("]"))) == 1,
             F.json_object_keys("raw_value"),
         ).alias("_keys"),
-        F.from_json("raw_value", RAW_JSON_SCHEMA).alias("_j"),
     )
+    # nothing is taken from a malformed record
+    decoded = decoded.withColumn("_j", F.when(F.col("_keys").isNotNull(), F.from_json("raw_value", RAW_JSON_SCHEMA)))
     keys = F.col("_keys")
     j = F.col("_j")
 
@@ -103,7 +103,8 @@ def parse_events(
             cols.append(j[c].try_cast("double").alias(c))
         else:
             cols.append(j[c].alias(c))
-    return decoded.select("topic", "partition", "offset", "kafka_key", "raw_value", *cols, reason.alias("reject_reason"))
+    typed = F.inline(F.array(F.struct(*cols, reason.alias("reject_reason"))))
+    return decoded.select("topic", "partition", "offset", "kafka_key", "raw_value", typed)
 
 
 def accepted(parsed: DataFrame) -> DataFrame:

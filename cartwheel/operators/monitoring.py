@@ -99,9 +99,17 @@ def bronze_freshness(bronze: DataFrame, as_of: RunTime | None = None, window: st
     The newest event is taken over all data (an empty recent hour still yields a time); no data at all is stale.
     """
     now = now_or(as_of)
+    since = now - interval(window)
+    if "event_date" in bronze.columns:
+        # Stored bronze: the recent partitions, and the older ones only if no event is in those. The scalar is a
+        # partition filter that is known before the older files are listed for reading.
+        recent = bronze.where(F.col("event_date") >= F.to_date(since))
+        found = recent.agg(F.count("event_timestamp").alias("n")).scalar() > 0
+        before = F.when(found, F.lit("0001-01-01").cast("date")).otherwise(F.to_date(since))
+        bronze = recent.unionByName(bronze.where(F.col("event_date") < before))
     agg = bronze.agg(
         F.max("event_timestamp").alias("last_event"),
-        F.count_if(F.col("event_timestamp") >= now - interval(window)).alias("events_last_hour"),
+        F.count_if(F.col("event_timestamp") >= since).alias("events_last_hour"),
     )
     return agg.select(
         "last_event",

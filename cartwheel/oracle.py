@@ -66,7 +66,8 @@ SELECT
   CASE WHEN et IN ('view', 'signup', 'purchase') AND eid % 3 <> 0 THEN 'cat_' || CAST(k % 3 AS VARCHAR) END AS category_id,
   CASE WHEN et IN ('view', 'signup', 'purchase') AND eid % 3 <> 0 THEN 'Category ' || CAST(k % 3 AS VARCHAR) END AS category_name,
   CASE WHEN et IN ('view', 'signup', 'purchase') AND eid % 4 <> 0 THEN 'EventBrand' END AS brand,
-  CASE WHEN et IN ('view', 'signup', 'purchase') AND eid % 7 <> 0 THEN value + copy END AS price,
+  CASE WHEN et IN ('view', 'signup', 'purchase') AND eid % 7 <> 0
+       THEN CASE WHEN eid % 89 = 0 THEN 0.0::DOUBLE ELSE value + copy END END AS price,
   CASE WHEN eid % 11 = 0 THEN NULL ELSE 'BRL' END AS currency,
   CASE WHEN et = 'click' THEN 'https://shop.example/p/' || CAST(k AS VARCHAR) END AS page_url,
   CASE WHEN eid % 3 = 0 THEN 'https://ref.example/' END AS referrer_url,
@@ -266,64 +267,76 @@ def _json_field(name: str, expr: str, quoted: bool = True) -> str:
 
 _ISO = "'%Y-%m-%dT%H:%M:%S.%f'"
 
-cte(
-    "envelope",
-    f"""
-SELECT user_id AS kafka_key,
-  CASE WHEN num % 101 = 0 THEN '{{bad' ELSE '{{' || concat_ws(',',
-    {_json_field('event_id', 'CASE WHEN num % 50 <> 0 THEN event_id END')},
-    {_json_field('user_id', 'user_id')},
-    {_json_field('event_type', 'event_type')},
-    {_json_field('event_timestamp', f'strftime(event_timestamp, {_ISO})')},
-    {_json_field('product_id', 'product_id')},
-    {_json_field('price', 'CAST(CAST(price AS DECIMAL(18,2)) AS VARCHAR)', quoted=False)}
-  ) || '}}' END AS raw_value,
+def _envelope_sql() -> str:
+    from .schemas import BRONZE_COLUMNS
+
+    iso = f"strftime(event_timestamp, {_ISO})"
+    made = {
+        "event_id": "CASE WHEN num % 50 <> 0 THEN event_id END",
+        "user_id": "CASE WHEN num % 139 = 0 THEN '' ELSE user_id END",
+        "event_type": "CASE WHEN num % 131 <> 0 THEN event_type END",
+        "event_timestamp": f"CASE WHEN num % 107 = 0 THEN {iso} || '-03:00' WHEN num % 109 = 0 THEN 'no time' "
+        f"WHEN num % 137 <> 0 THEN {iso} END",
+    }
+    number = "CAST(price AS VARCHAR)"
+    price = f"""CASE WHEN price IS NOT NULL THEN '"price":' || CASE WHEN num % 113 = 0 THEN '"' || {number} || '"'
+      WHEN num % 127 = 0 THEN '"free"' ELSE {number} END END"""
+    fields = [
+        price if c == "price" else _json_field(c, made.get(c, c)) for c in BRONZE_COLUMNS if c != "processing_timestamp"
+    ]
+    return (
+        "SELECT user_id AS kafka_key, CASE WHEN num % 101 = 0 THEN '{bad' ELSE '{' || concat_ws(',', "
+        + ",\n    ".join(fields)
+        + """) || '}' || CASE WHEN num % 103 = 0 THEN ' trailing' ELSE '' END END AS raw_value,
   'ecommerce-events' AS topic,
   CAST(CAST(regexp_extract(session_id, '^sess_(\\d+)_', 1) AS BIGINT) % 3 AS INTEGER) AS "partition",
   num AS "offset",
   processing_timestamp AS broker_ts
-FROM (SELECT *, CAST(regexp_extract(event_id, '(\\d+)$', 1) AS BIGINT) AS num FROM bronze)
-""",
-    "bronze",
-)
+FROM (SELECT *, CAST(regexp_extract(event_id, '(\\d+)$', 1) AS BIGINT) AS num FROM bronze)"""
+    )
+
+
+cte("envelope", _envelope_sql(), "bronze")
 
 
 def _parsed_sql() -> str:
+    """What a consumer makes of a record, in steps: the JSON object, its texts, typed values, the reason to refuse it."""
     from .schemas import BRONZE_COLUMNS
 
-    cols = []
-    for c in BRONZE_COLUMNS:
-        field = f"json_extract_string(obj, '$.{c}')"
-        if c == "event_id":
-            cols.append(
-                "CASE WHEN keys IS NULL THEN NULL WHEN list_contains(keys, 'event_id') THEN "
-                f"{field} ELSE concat_ws('-', 'kafka', topic, \"partition\", \"offset\") END AS event_id"
-            )
-        elif c == "event_timestamp":
-            cols.append(f"TRY_CAST({field} AS TIMESTAMP) AS {c}")
-        elif c == "processing_timestamp":
-            cols.append(f"broker_ts AS {c}")
-        elif c == "price":
-            cols.append(f"TRY_CAST({field} AS DOUBLE) AS {c}")
-        else:
-            cols.append(f"{field} AS {c}")
-    reason = """CASE WHEN keys IS NULL THEN 'malformed_json'
-      WHEN NOT list_contains(keys, 'user_id') THEN 'missing_user_id'
-      WHEN NOT list_contains(keys, 'event_type') THEN 'missing_event_type'
-      WHEN NOT list_contains(keys, 'event_timestamp') THEN 'missing_event_timestamp'
-      WHEN NOT coalesce(json_extract_string(obj, '$.event_type') IN ('page_view', 'view_item', 'add_to_cart', 'purchase'), false)
-        THEN 'invalid_event_type'
-      WHEN coalesce(json_extract_string(obj, '$.user_id'), '') = '' THEN 'empty_user_id' END AS reject_reason"""
-    return (
-        'SELECT topic, "partition", "offset", kafka_key, raw_value,\n  '
-        + ",\n  ".join(cols)
-        + ",\n  "
-        + reason
-        + """
-FROM (SELECT *, json_keys(obj) AS keys
-      FROM (SELECT *, CASE WHEN json_type(valid_json) = 'OBJECT' THEN valid_json END AS obj
-            FROM (SELECT *, CASE WHEN json_valid(raw_value) THEN raw_value END AS valid_json FROM envelope)))"""
+    texts = [c for c in BRONZE_COLUMNS if c != "processing_timestamp"]
+    as_text = ", ".join(f"json_extract_string(obj, '$.{c}') AS {c}_text" for c in texts)
+    typed = {
+        "event_id": "CASE WHEN obj IS NULL THEN NULL WHEN list_contains(json_keys(obj), 'event_id') THEN event_id_text "
+        "ELSE concat_ws('-', 'kafka', topic, \"partition\", \"offset\") END",
+        # a time with an offset is moved to UTC by hand
+        "event_timestamp": """CASE WHEN regexp_matches(event_timestamp_text, '[+-][0-9]{2}:[0-9]{2}$')
+      THEN TRY_CAST(left(event_timestamp_text, length(event_timestamp_text) - 6) AS TIMESTAMP)
+           - to_minutes(CAST(left(right(event_timestamp_text, 6), 1) || '1' AS BIGINT)
+                        * (60 * CAST(left(right(event_timestamp_text, 5), 2) AS BIGINT)
+                           + CAST(right(event_timestamp_text, 2) AS BIGINT)))
+      ELSE TRY_CAST(event_timestamp_text AS TIMESTAMP) END""",
+        "processing_timestamp": "broker_ts",
+        "price": "TRY_CAST(price_text AS DOUBLE)",
+    }
+    columns = ",\n  ".join(f"{typed.get(c, f'{c}_text')} AS {c}" for c in BRONZE_COLUMNS)
+    required = "\n    ".join(
+        f"WHEN NOT list_contains(json_keys(obj), '{c}') THEN 'missing_{c}'"
+        for c in ("user_id", "event_type", "event_timestamp")
     )
+    return f"""
+SELECT topic, "partition", "offset", kafka_key, raw_value, {", ".join(BRONZE_COLUMNS)},
+  CASE WHEN obj IS NULL THEN 'malformed_json'
+    {required}
+    WHEN event_type IS NULL OR event_type NOT IN ('page_view', 'view_item', 'add_to_cart', 'purchase')
+      THEN 'invalid_event_type'
+    WHEN user_id IS NULL OR user_id = '' THEN 'empty_user_id'
+    WHEN event_timestamp_text IS NOT NULL AND event_timestamp IS NULL THEN 'invalid_event_timestamp'
+    WHEN price_text IS NOT NULL AND price IS NULL THEN 'invalid_price' END AS reject_reason
+FROM (SELECT topic, "partition", "offset", kafka_key, raw_value, obj, event_timestamp_text, price_text,
+  {columns}
+FROM (SELECT *, {as_text}
+FROM (SELECT *, CASE WHEN json_valid(raw_value) THEN CASE WHEN json_type(raw_value) = 'OBJECT'
+                THEN CAST(raw_value AS JSON) END END AS obj FROM envelope)))"""
 
 
 cte("parsed", _parsed_sql(), "envelope")
@@ -719,6 +732,40 @@ SELECT 'interleaved', (SELECT count(*) FROM (
                     + "))"
                 )
     q["dq_scan"] = build("\nUNION ALL\n".join(parts), *needed)
+    # the worst outcome of each suite on silver
+    silver_checks = [c for c in K.CONTRACTS["stg_clickstream"] if isinstance(c, C.Check)]
+    q["gate_outcome"] = build(
+        "SELECT suite, CASE max(CASE outcome WHEN 'fail' THEN 2 WHEN 'warn' THEN 1 ELSE 0 END) WHEN 2 THEN 'fail' "
+        "WHEN 1 THEN 'warn' ELSE 'pass' END AS outcome, count(*) + CASE suite WHEN "
+        f"{_q(K.R)} THEN 3 ELSE 0 END AS checks FROM (\n"
+        + checks_sql(silver_checks, "silver", "stg_clickstream", AS_OF)
+        + "\n) GROUP BY suite",
+        "silver",
+    )
+    names, kinds = "(SELECT column_name FROM described)", "(SELECT column_name, column_type FROM described)"
+    described = build("SELECT * FROM silver", "silver")
+    wanted = ", ".join(f"({_q(c)})" for c in QK.SCHEMA_REQUIRED)
+    typed = ", ".join(f"({_q(c)}, {_q(QK.DUCKDB_TYPES[t])})" for c, t in QK.SCHEMA_TYPES.items())
+    barred = ", ".join(f"({_q(c)})" for c in QK.SCHEMA_FORBIDDEN)
+
+    def schema_row(check: str, found: str, outcome: str) -> str:
+        return (
+            f"SELECT 'contract' AS suite, 'stg_clickstream' AS table_name, {_q(check)} AS check_name, "
+            "string_agg(c, ',' ORDER BY c) AS column_name, CAST(count(*) AS DOUBLE) AS measured, 0.0 AS threshold, "
+            f"CASE WHEN count(*) > 0 THEN {_q(outcome)} ELSE 'pass' END AS outcome FROM ({found})"
+        )
+
+    q["dq_schema"] = f"WITH described AS (SELECT * FROM (DESCRIBE {described}))\n" + "\nUNION ALL\n".join(
+        [
+            schema_row("schema(required columns)", f"SELECT c FROM (VALUES {wanted}) w(c) WHERE c NOT IN {names}", "fail"),
+            schema_row(
+                "schema(column types)",
+                f"SELECT c FROM (VALUES {typed}) w(c, t) JOIN {kinds} ON column_name = c WHERE column_type <> t",
+                "warn",
+            ),
+            schema_row("schema(forbidden columns)", f"SELECT c FROM (VALUES {barred}) w(c) WHERE c IN {names}", "warn"),
+        ]
+    )
     # monitoring
     q["bronze_health"] = build("SELECT * FROM bronze_health", "bronze_health")
     q["bronze_health_warnings"] = build(
@@ -770,6 +817,15 @@ FROM (SELECT max(event_timestamp) AS last_event FROM bronze
     q["sessionize"] = build(
         "SELECT user_id, event_id, event_timestamp, is_session_start, session_seq FROM sessionized", "sessionized"
     )
+    q["session_progress"] = build(
+        """SELECT user_id, event_id, session_seq,
+                  max(CASE event_type WHEN 'page_view' THEN 1 WHEN 'view_item' THEN 2 WHEN 'add_to_cart' THEN 3
+                                      WHEN 'purchase' THEN 4 ELSE 0 END)
+                    OVER (PARTITION BY user_id, session_seq ORDER BY event_timestamp, event_id
+                          ROWS UNBOUNDED PRECEDING) AS current_step
+           FROM sessionized""",
+        "sessionized",
+    )
     q["session_funnel_depth"] = build(
         """SELECT user_id, session_seq, session_start, events, funnel_depth, funnel_depth >= 2 AS reached_view_item,
                   funnel_depth >= 3 AS reached_cart, funnel_depth >= 4 AS reached_purchase FROM sessions""",

@@ -92,6 +92,10 @@ def queries() -> dict[str, Query]:
         gold.fct_cart_abandonment(_enriched(s, d), as_of), "analysis_date", "abandonment_rate",
         ["category_id", "category_name"],
     )
+    q["dq_schema"] = lambda s, d: C.schema_check(
+        s, _silver(s, d), "stg_clickstream", QK.SCHEMA_REQUIRED, QK.SCHEMA_TYPES, QK.SCHEMA_FORBIDDEN
+    )
+    q["gate_outcome"] = lambda s, d: C.outcome_by_suite(K.scan(s, {"stg_clickstream": _silver(s, d)}, as_of=as_of))
     q["dq_scan"] = _scan
     # monitoring
     h_as_of = oracle.HEALTH_AS_OF
@@ -107,6 +111,9 @@ def queries() -> dict[str, Query]:
     q["sessionize"] = lambda s, d: sessions.sessionize(_silver(s, d)).select(
         "user_id", "event_id", "event_timestamp", "is_session_start", "session_seq"
     )
+    q["session_progress"] = lambda s, d: sessions.session_progress(sessions.sessionize(_silver(s, d))).select(
+        "user_id", "event_id", "session_seq", "current_step"
+    )
     q["session_funnel_depth"] = lambda s, d: sessions.session_funnel_depth(sessions.sessionize(_silver(s, d)))
     return q
 

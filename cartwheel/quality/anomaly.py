@@ -9,20 +9,17 @@ Definition (the contract gives only method=ewma, interval=day, sensitivity=3, se
 * status: ``no_residual`` | ``insufficient`` (fewer than ``min_history`` residuals) | ``anomalous``
   (``|r - mu| > sensitivity * sigma``) | ``normal``.
 
-Spark plan: the (series, day, value) input is checkpointed once; one equi-join on (series, date - 7) for the
-residual, one window per series with a bounded RANGE
-frame of 21 days; the weights are applied with the ``aggregate`` higher-order function on the (at most 21)
-collected history points. No recursion, no Python, and each series is independent, so many series (one per
-category) spread over the cluster.
+Spark plan: two aggregates by (series, day) over one read of the input; no join, window or list. Every value is sent
+to its own day and a season on, which gives the residuals; every residual is sent to its own day and, weighted, to the
+``history_days`` days after it, which gives the weighted sums. Both have partial sums on the executors, and the days
+of a series are independent, so one long series is not one task. Nothing is computed while the plan is built.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
-
 DEFAULT_SEASONALITY = 7
 DEFAULT_SENSITIVITY = 3.0
 DEFAULT_HISTORY_DAYS = 21
@@ -38,48 +35,49 @@ def ewma_anomalies(
     sensitivity: float = DEFAULT_SENSITIVITY,
     history_days: int = DEFAULT_HISTORY_DAYS,
     min_history: int = DEFAULT_MIN_HISTORY,
-    materialize: bool = True,
 ) -> DataFrame:
-    """Per (series, date): value, residual, mu, sigma, n_history, status. Input: one row per (series, date).
-
-    ``materialize`` checkpoints the (series, day, value) projection, which is read twice; turn it off when the
-    input is already a stored table or a checkpoint.
-    """
+    """Per (series, date): value, residual, mu, sigma, n_history, status. Input: one row per (series, date)."""
     keys = list(series_cols or [])
     alpha = 2.0 / (seasonality + 1)
-    x = df.select(*keys, F.col(date_col).cast("date").alias("metric_date"), F.col(value_col).cast("double").alias("value"))
-    # The series is read twice (value and value a season earlier); it holds one row per (series, day), so it is
-    # materialised once instead of computing the metric table twice.
-    if materialize:
-        ensure_checkpoint_dir(df.sparkSession)
-        x = x.checkpoint(eager=True)
-    prev = x.select(
-        *keys, F.date_add("metric_date", seasonality).alias("metric_date"), F.col("value").alias("_prev_value")
-    )
-    r = x.join(prev, keys + ["metric_date"], "left").withColumn("residual", F.col("value") - F.col("_prev_value"))
-    r = r.withColumn("_day", F.datediff("metric_date", F.lit("1970-01-01").cast("date")))
-    # A keyless series (e.g. total daily revenue) has one row per day, so its single window partition holds
-    # a few thousand rows at most; keyed series spread over tasks by series.
-    w = Window.partitionBy(*keys).orderBy("_day").rangeBetween(-history_days, -1) if keys else (
-        Window.orderBy("_day").rangeBetween(-history_days, -1)
+    x = df.select(*keys, F.col(date_col).cast("date").alias("_d"), F.col(value_col).cast("double").alias("_v"))
+    at = F.explode(F.array(F.lit(0), F.lit(seasonality))).alias("_after")
+    sent = x.where(F.col("_d").isNotNull()).select(*keys, "_d", "_v", at)
+    own = F.col("_after") == 0
+    residuals = (
+        sent.groupBy(*keys, F.date_add("_d", F.col("_after")).alias("metric_date"))
+        .agg(
+            F.max(F.when(own, F.col("_v"))).alias("value"),
+            F.max(F.when(~own, F.col("_v"))).alias("_earlier"),
+            F.max(own).alias("_here"),
+        )
+        .where("_here")
+        .select(*keys, "metric_date", "value", (F.col("value") - F.col("_earlier")).alias("residual"))
     )
-    hist = F.collect_list(F.when(F.col("residual").isNotNull(), F.struct(F.col("_day").alias("d"), F.col("residual").alias("r")))).over(w)
-    r = r.withColumn("_hist", hist)
-    day = F.col("_day")
+    # a residual reaches the days after it; a row without one is there for its own day only
+    ages = F.when(F.col("residual").isNotNull(), F.sequence(F.lit(0), F.lit(history_days))).otherwise(F.array(F.lit(0)))
+    sent = residuals.select(*keys, F.col("metric_date").alias("_d"), "value", "residual", F.explode(ages).alias("_age"))
+    own, weight = F.col("_age") == 0, F.lit(alpha) * F.pow(F.lit(1.0 - alpha), (F.col("_age") - 1).cast("double"))
 
     def weighted(power: int):
-        return F.aggregate(
-            "_hist",
-            F.lit(0.0),
-            lambda acc, e: acc
-            + F.lit(alpha) * F.pow(F.lit(1.0 - alpha), (day - e["d"] - 1).cast("double")) * F.pow(e["r"], F.lit(float(power))),
-        )
+        term = weight * F.pow(F.col("residual"), F.lit(float(power)))
+        return F.coalesce(F.sum(F.when(~own, term)), F.lit(0.0))
 
-    r = r.withColumn("_sw", weighted(0)).withColumn("_swr", weighted(1)).withColumn("_swr2", weighted(2))
-    mu = F.try_divide(F.col("_swr"), F.nullif(F.col("_sw"), F.lit(0.0)))
-    r = r.withColumn("_mu", mu)
+    r = (
+        sent.groupBy(*keys, F.date_add("_d", F.col("_age")).alias("metric_date"))
+        .agg(
+            F.max(F.when(own, F.col("value"))).alias("value"),
+            F.max(F.when(own, F.col("residual"))).alias("residual"),
+            F.max(own).alias("_here"),
+            F.count_if(~own).alias("n_history"),
+            weighted(0).alias("_sw"),
+            weighted(1).alias("_swr"),
+            weighted(2).alias("_swr2"),
+        )
+        .where("_here")
+    )
+    r = r.withColumn("_mu", F.try_divide(F.col("_swr"), F.nullif(F.col("_sw"), F.lit(0.0))))
     var = F.greatest(F.try_divide(F.col("_swr2"), F.nullif(F.col("_sw"), F.lit(0.0))) - F.col("_mu") * F.col("_mu"), F.lit(0.0))
-    r = r.withColumn("_sigma", F.sqrt(var)).withColumn("n_history", F.size("_hist").cast("long"))
+    r = r.withColumn("_sigma", F.sqrt(var))
     status = (
         F.when(F.col("residual").isNull(), F.lit("no_residual"))
         .when(F.col("n_history") < min_history, F.lit("insufficient"))

@@ -304,12 +304,22 @@ def schema_check(
     return spark.createDataFrame(rows, RESULT_SCHEMA)
 
 
+def _worst() -> Column:
+    return F.max(F.when(F.col("outcome") == "fail", 2).when(F.col("outcome") == "warn", 1).otherwise(0))
+
+
+def outcome_by_suite(results: DataFrame) -> DataFrame:
+    """suite, its worst outcome and its number of checks."""
+    return results.groupBy("suite").agg(_worst().alias("_s"), F.count("*").alias("checks")).select(
+        "suite",
+        F.when(F.col("_s") == 2, F.lit("fail")).when(F.col("_s") == 1, F.lit("warn")).otherwise(F.lit("pass")).alias("outcome"),
+        "checks",
+    )
+
+
 def overall_outcome(results: DataFrame) -> str:
     """Worst outcome of a result set (a single aggregated row reaches the driver)."""
-    sev = F.max(
-        F.when(F.col("outcome") == "fail", 2).when(F.col("outcome") == "warn", 1).otherwise(0)
-    ).alias("s")
-    row = results.agg(sev).first()
+    row = results.agg(_worst().alias("s")).first()
     s = 0 if row is None or row["s"] is None else row["s"]
     return {0: "pass", 1: "warn", 2: "fail"}[s]
 
@@ -345,6 +355,7 @@ __all__ = [
     "valid_event_type_failures",
     "positive_price_failures",
     "schema_check",
+    "outcome_by_suite",
     "overall_outcome",
     "gate",
     "ContractFailure",

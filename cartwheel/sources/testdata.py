@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import iso_text, ts_literal
-from ..schemas import BRONZE_COLUMNS, EVENTS_TOPIC, PRODUCT_COLUMNS
+from ..schemas import BRONZE_COLUMNS, EVENTS_TOPIC, PRODUCT_COLUMNS, RAW_JSON_SCHEMA
 
 # Fixed values of the binding.
 EVENT_TYPE_MAP = {
@@ -71,7 +71,9 @@ def bronze_from_events(events: DataFrame) -> DataFrame:
             "category_name"
         ),
         F.when(is_product & (eid % 4 != 0), F.lit("EventBrand")).alias("brand"),
-        F.when(is_product & (eid % 7 != 0), F.col("value") + copy).alias("price"),
+        F.when(
+            is_product & (eid % 7 != 0), F.when(eid % 89 == 0, F.lit(0.0)).otherwise(F.col("value") + copy)
+        ).alias("price"),
         F.when(eid % 11 == 0, F.lit(None).cast("string")).otherwise(F.lit("BRL")).alias("currency"),
         F.when(etype == "click", F.concat(F.lit("https://shop.example/p/"), k.cast("string"))).alias("page_url"),
         F.when(eid % 3 == 0, F.lit("https://ref.example/")).alias("referrer_url"),
@@ -111,22 +113,31 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
 def envelope_from_bronze(bronze_df: DataFrame) -> DataFrame:
     """Kafka records carrying bronze events as JSON, as a producer would publish them.
 
-    Hand-made defects: the ``event_id`` key is left out of every fiftieth event (the consumer then
-    synthesises one) and every 101st value is not JSON at all.
+    All 18 fields of an event are sent, NULL ones left out. Hand-made defects, by the number of the event (the first
+    that applies): keys left out (``event_id`` of every 50th, ``event_type`` of every 131st, ``event_timestamp`` of
+    every 137th), an empty user (139th), a time three hours behind UTC (107th) or no time at all (109th), a quoted
+    price (113th) or no number (127th), text after the JSON (103rd), no JSON (101st).
     """
     num = F.regexp_extract("event_id", r"(\d+)$", 1).cast("long")
     uid_num = F.regexp_extract("session_id", r"^sess_(\d+)_", 1).cast("long")
-    payload = F.to_json(
-        F.struct(
-            F.when(num % 50 != 0, F.col("event_id")).alias("event_id"),
-            F.col("user_id"),
-            F.col("event_type"),
-            iso_text("event_timestamp").alias("event_timestamp"),
-            F.col("product_id"),
-            F.col("price").cast("decimal(18,2)").alias("price"),
-        )
-    )
-    value = F.when(num % 101 == 0, F.lit("{bad")).otherwise(payload)
+
+    def every(n: int) -> Column:
+        return num % n == 0
+
+    time = iso_text("event_timestamp")
+    made = {
+        "event_id": F.when(~every(50), F.col("event_id")),
+        "user_id": F.when(every(139), F.lit("")).otherwise(F.col("user_id")),
+        "event_type": F.when(~every(131), F.col("event_type")),
+        "event_timestamp": F.when(every(107), F.concat(time, F.lit("-03:00")))
+        .when(every(109), F.lit("no time"))
+        .when(~every(137), time),
+    }
+    payload = F.to_json(F.struct(*[made.get(c, F.col(c)).alias(c) for c in RAW_JSON_SCHEMA.fieldNames()]))
+    price = F.when(every(113), F.lit('"price":"$1"')).when(every(127), F.lit('"price":"free"')).otherwise(F.lit('"price":$1'))
+    payload = F.regexp_replace(payload, F.lit('"price":([^,}]+)'), price)
+    payload = F.concat(payload, F.when(every(103), F.lit(" trailing")).otherwise(F.lit("")))
+    value = F.when(every(101), F.lit("{bad")).otherwise(payload)
     return bronze_df.select(
         F.col("user_id").cast("binary").alias("key"),
         value.cast("binary").alias("value"),

@@ -4,14 +4,14 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from cartwheel.operators import ingest
+from cartwheel.operators import ingest, monitoring
 from cartwheel.schemas import ENVELOPE_SCHEMA
 from cartwheel.sources import seeds
 from cartwheel.sources.bronze import read_bronze, write_bronze
 from cartwheel.sources.kafka import kafka_source_options
 from cartwheel.sources import testdata as td
 
-from conftest import SF001
+from conftest import SF001, SF01
 
 BROKER_TS = dt.datetime(2024, 1, 15, 12, 0, 0)
 
@@ -97,6 +97,44 @@ def test_offsets_trailing_text_and_unreadable_values(spark):
     assert reasons == ["malformed_json", "malformed_json", "invalid_event_timestamp", "invalid_price"]
 
 
+def test_json_is_decoded_once_a_record(spark):
+    parsed = ingest.parse_events(td.envelope(spark, SF001))
+    for df in (parsed, ingest.accepted(parsed), ingest.dead_letter(parsed), ingest.missing_required(parsed)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json(") <= 1 and plan.count("jsonObjectKeys(") == 1, plan
+
+
+def test_envelope_of_the_fixture_holds_every_defect(spark):
+    parsed = ingest.parse_events(td.envelope(spark, SF01))
+    counts = {r["reject_reason"]: r["count"] for r in parsed.groupBy("reject_reason").count().collect()}
+    assert all(counts.get(reason, 0) > 0 for reason in (
+        None, "malformed_json", "missing_user_id", "missing_event_type", "missing_event_timestamp",
+        "invalid_event_type", "empty_user_id", "invalid_event_timestamp", "invalid_price",
+    )), counts
+
+
+def test_freshness_opens_old_partitions_only_without_recent_events(spark, tmp_dir):
+    rows = [("new", "2024-01-15 11:50:00"), ("old", "2024-01-10 00:00:00")]
+    b = spark.createDataFrame(rows, "event_id string, t string").select(
+        "event_id", F.col("t").cast("timestamp_ntz").alias("event_timestamp")
+    )
+    path = os.path.join(tmp_dir, "bronze")
+    write_bronze(b.unionByName(td.bronze(spark, SF001).limit(0), allowMissingColumns=True), path)
+    at = "2024-01-15 12:00:00"
+    late = monitoring.bronze_freshness(read_bronze(spark, path), "2024-01-20 12:00:00").first()
+    assert str(late["last_event"]) == "2024-01-15 11:50:00" and late["is_stale"] and late["events_last_hour"] == 0
+    # an unreadable file in an old partition shows whether it is opened
+    with open(os.path.join(path, "event_date=2024-01-10", "part-bad.parquet"), "wb") as f:
+        f.write(b"no parquet")
+    got = monitoring.bronze_freshness(read_bronze(spark, path), at).first()
+    assert str(got["last_event"]) == "2024-01-15 11:50:00" and got["events_last_hour"] == 1 and not got["is_stale"]
+    with pytest.raises(Exception):
+        monitoring.bronze_freshness(read_bronze(spark, path), "2024-01-20 12:00:00").collect()
+    for df in (monitoring.bronze_health(read_bronze(spark, path), at), monitoring.new_data_since(read_bronze(spark, path), None, at)):
+        assert "PartitionFilters: [isnotnull(event_date" in df._jdf.queryExecution().executedPlan().toString()
+        assert df.first() is not None
+
+
 def test_kafka_options():
     o = kafka_source_options("broker:9092", max_offsets_per_trigger=1000)
     assert o["subscribe"] == "ecommerce-events" and o["startingOffsets"] == "latest"

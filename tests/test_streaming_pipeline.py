@@ -143,7 +143,7 @@ def test_incremental_transform_matches_batch_and_is_idempotent(spark, tmp_dir):
     products = silver.stg_products(td.products(spark, SF01))
     runs = ["2024-01-15 12:00:00", "2024-01-15 13:00:00", "2024-01-16 00:30:00"]
     for i, r in enumerate(runs):
-        out = pipeline.run_transform(spark, bronze_path, wh, r, f"run-{i}", products=products)
+        out = pipeline.run_transform(spark, bronze_path, wh, r, f"run-{i}", products=products, gate_suite=K.T)
         assert out["gate"] == "pass"
     stg = spark.read.parquet(wh.path("stg_clickstream"))
     first = stg.select("event_id", "processing_timestamp", "price")
@@ -156,7 +156,7 @@ def test_incremental_transform_matches_batch_and_is_idempotent(spark, tmp_dir):
     want = silver.stg_clickstream(covered.drop("event_date")).select("event_id", "processing_timestamp", "price")
     assert first.exceptAll(want).count() == 0 and want.exceptAll(first).count() == 0
     # rerunning a window changes nothing
-    pipeline.run_transform(spark, bronze_path, wh, runs[0], "rerun", products=products)
+    pipeline.run_transform(spark, bronze_path, wh, runs[0], "rerun", products=products, gate_suite=K.T)
     again = spark.read.parquet(wh.path("stg_clickstream")).select("event_id", "processing_timestamp", "price")
     assert again.exceptAll(want).count() == 0 and want.exceptAll(again).count() == 0
     rev = spark.read.parquet(wh.path("fct_daily_revenue"))
@@ -173,7 +173,7 @@ def test_adjacent_hours_keep_both_slices_on_a_uri_root(spark, tmp_dir):
     products = silver.stg_products(td.products(spark, SF01))
     runs = ["2024-01-15 11:00:00", "2024-01-15 12:00:00"]
     for i, r in enumerate(runs):
-        pipeline.run_transform(spark, bronze_path, wh, r, f"run-{i}", products=products)
+        pipeline.run_transform(spark, bronze_path, wh, r, f"run-{i}", products=products, gate_suite=K.T)
     b = read_bronze(spark, bronze_path)
     covered = silver.lookback_window(b, runs[0]).unionByName(silver.lookback_window(b, runs[1]))
     want = silver.stg_clickstream(covered.drop("event_date")).select("event_id")
@@ -192,7 +192,7 @@ def test_gate_blocks_gold(spark, tmp_dir):
     # the runtime suite asks for more than 100 rows per slice: an hourly slice of sf0.001 fails it
     with pytest.raises(C.ContractFailure):
         pipeline.run_transform(spark, bronze_path, wh, "2024-01-15 12:00:00", "r", products=products,
-                               lookback_start="3 hours", gate_suite=K.R)
+                               lookback_start="3 hours")
     assert not wh.exists(spark, "fct_daily_revenue")
 
 
@@ -203,7 +203,7 @@ def test_run_all_seed_transform_scan_monitoring(spark, tmp_dir):
     (td.products(spark, SF001).coalesce(1).write.option("header", "true")
      .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(seed))
     wh = pipeline.Warehouse(os.path.join(tmp_dir, "wh"))
-    out = pipeline.run_all(spark, seed, bronze_path, wh, "2024-01-15 12:00:00", "run-all")
+    out = pipeline.run_all(spark, seed, bronze_path, wh, "2024-01-15 12:00:00", "run-all", gate_suite=K.T)
     assert out["gate"] == "pass" and out["seed_rejects"] == 0
     assert {r["table_name"] for r in out["scan"]} >= {"stg_clickstream", "stg_products", "fct_daily_revenue"}
     assert out["scan_outcome"] in ("warn", "fail")  # an hourly slice is below the volume contract
