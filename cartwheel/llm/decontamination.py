@@ -1,13 +1,11 @@
 """Benchmark decontamination: short test items found inside long documents.
 
-Items are partitioned by size: class u (a power of two) holds items of u/2 to u five-word shingles. For each class a
-document is read as windows of 2u shingles, u apart, so any passage as long as an item of the class lies whole
-inside one window however long the document is, and the item's Jaccard similarity with that window is at least 0.19
-when the window holds 0.8 of its shingles. A window and an item that share a least value under any of ``PERMUTATIONS``
-permutations are a candidate; at 0.19 all 64 differ with a chance of about 1e-6. Least values are taken once for the
-smallest class and joined pairwise for the larger ones. Candidates are verified: a hit means that
-``CONTAINED`` percent of the item's distinct shingles are in the window, counted exactly. Items of one to four words
-are one shingle of that width and are looked up among the document's runs of the same width.
+A hit means that ``CONTAINED`` percent of the item's distinct five-word shingles are among the shingles of the whole
+document, counted exactly: where in the document they stand, and what is written between them, plays no part. An item of
+n shingles of which m must be found has one of any n - m + 1 of them in every document that it hits, so only its
+n - m + 1 shingles that are rarest among the items are looked up, in every document and for every size of item. An item that
+shares one of these is a candidate and its whole set is counted; no hit can be missed. Items of one to
+four words are one shingle of that width and are looked up among the document's runs of the same width.
 
 Words are runs of letters and digits after lower-casing (any character outside ASCII counts as a letter), so
 case and punctuation don't hide a passage. Items are sent to the tasks in blocks of at most ``BLOCK_BYTES`` of distinct
@@ -28,11 +26,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import by_bytes, map_arrow
-from .shingles import PIECE_BYTES, WIDTH, block_minima, mix, permutations, shingle_hashes, window_hashes, word_hashes
+from .shingles import PIECE_BYTES, WIDTH, shingle_hashes, window_hashes, word_hashes
 
 CONTAINED = 80
-PERMUTATIONS = 64
-SMALLEST = 8
 BLOCK_BYTES = 16 << 20
 SIEVE = 1 << 20
 
@@ -43,11 +39,14 @@ def normalise(text: str | None) -> bytes:
     return b" ".join((text or "").lower().encode("utf-8", "surrogatepass").translate(_KEEP).split())
 
 
-def size_class(n: int) -> int:
-    u = SMALLEST
-    while u < n:
-        u *= 2
-    return u
+@dataclass
+class Lookup:
+    """Shingles of one width that nominate items: sorted ``keys``, and ``items[starts[k] : starts[k + 1]]`` for key k."""
+
+    sieve: np.ndarray
+    keys: np.ndarray
+    starts: np.ndarray
+    items: np.ndarray
 
 
 @dataclass
@@ -56,75 +55,54 @@ class ItemIndex:
 
     names: list[str] = field(default_factory=list)
     sets: list[np.ndarray] = field(default_factory=list)
-    classes: dict[int, dict[int, list[int]]] = field(default_factory=dict)  # class -> band key -> items
-    short: dict[int, dict[int, list[int]]] = field(default_factory=dict)  # width -> hash -> items
-
-    def __post_init__(self):
-        self.keys, self.factors = permutations(PERMUTATIONS, 7)
-        self.salt = mix(np.arange(1, PERMUTATIONS + 1, dtype=np.uint64))
-
-    def band_keys(self, minima: np.ndarray) -> np.ndarray:
-        """One 64-bit key for each least value and its permutation."""
-        return (minima.astype(np.uint64) ^ self.salt) * np.uint64(0x9E3779B97F4A7C15)
+    widths: list[int] = field(default_factory=list)
+    lookups: dict[int, Lookup] = field(default_factory=dict)  # by width
 
     def add(self, name: str, text: str | None) -> None:
         data = normalise(text)
         words = word_hashes([data])[0] if data else np.empty(0, np.uint64)
         if not len(words):
             return
-        ordered = shingle_hashes(words)
-        item = len(self.names)
         self.names.append(name)
-        self.sets.append(np.unique(ordered))
-        if len(words) < WIDTH:
-            self.short.setdefault(len(words), {}).setdefault(int(ordered[0]), []).append(item)
-            return
-        keys = self.classes.setdefault(size_class(len(ordered)), {})
-        minima = block_minima(ordered, self.keys, self.factors, len(ordered))
-        for key in self.band_keys(minima)[0].tolist():
-            keys.setdefault(key, []).append(item)
+        self.sets.append(np.unique(shingle_hashes(words)))
+        self.widths.append(min(len(words), WIDTH))
 
     def prepare(self) -> None:
-        """A sieve for each class: a flag for the upper bits of every band key."""
-        self.sieves = {}
-        for u, keys in self.classes.items():
+        """For each width, the rarest shingles of every item, and a sieve of their upper bits."""
+        for width in sorted(set(self.widths)):
+            numbers = np.array([i for i, w in enumerate(self.widths) if w == width])
+            sizes = np.array([len(self.sets[i]) for i in numbers])
+            values = np.concatenate([self.sets[i] for i in numbers])
+            owner = np.repeat(np.arange(len(numbers)), sizes)
+            _, kind, often = np.unique(values, return_inverse=True, return_counts=True)
+            order = np.lexsort((values, often[kind], owner))
+            rank = np.arange(len(values)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            needed = -(-CONTAINED * sizes // 100)
+            order = order[rank < np.repeat(sizes - needed + 1, sizes)]
+            order = order[np.argsort(values[order], kind="stable")]
+            keys, starts = np.unique(values[order], return_index=True)
             sieve = np.zeros(SIEVE, bool)
-            sieve[np.fromiter(keys, np.uint64, len(keys)) >> np.uint64(44)] = True
-            self.sieves[u] = sieve
+            sieve[keys >> np.uint64(44)] = True
+            self.lookups[width] = Lookup(sieve, keys, np.append(starts, len(order)), numbers[owner[order]])
 
     def search(self, words: np.ndarray) -> dict[int, tuple[int, int]]:
-        """item -> (shingles found in its best window, first word of that window)."""
+        """item -> (distinct shingles found, first word of the first one)."""
         found: dict[int, tuple[int, int]] = {}
-        for width, known in self.short.items():
+        for width, known in self.lookups.items():
             runs = window_hashes(words, width)
-            for at in np.flatnonzero(np.isin(runs, np.fromiter(known, np.uint64, len(known)))):
-                for item in known[int(runs[at])]:
-                    found.setdefault(item, (1, int(at)))
-        if not self.classes or len(words) < WIDTH:
-            return found
-        ordered = window_hashes(words, WIDTH)
-        blocks, size = block_minima(ordered, self.keys, self.factors, SMALLEST), SMALLEST
-        for u in range(max(self.classes).bit_length()):
-            u = 1 << u
-            if u > size:
-                if u > SMALLEST:
-                    odd = blocks[-1:] if len(blocks) % 2 else blocks[:0]
-                    pairs = np.minimum(blocks[0 : len(blocks) - len(odd) : 2], blocks[1::2])
-                    blocks, size = np.concatenate((pairs, odd)), u
-            if u != size or u not in self.classes:
+            likely = runs[known.sieve[runs >> np.uint64(44)]]
+            at = np.minimum(np.searchsorted(known.keys, likely), len(known.keys) - 1)
+            at = np.unique(at[known.keys[at] == likely])
+            if not len(at):
                 continue
-            windows = np.minimum(blocks, np.concatenate((blocks[1:], blocks[-1:])))
-            keys = self.band_keys(windows)
-            at, which = np.nonzero(self.sieves[u][keys >> np.uint64(44)])
-            pairs_seen: set[tuple[int, int]] = set()
-            for w, key in zip(at.tolist(), keys[at, which].tolist(), strict=True):
-                for item in self.classes[u].get(key, ()):
-                    pairs_seen.add((item, w))
-            for item, w in sorted(pairs_seen):
-                window = ordered[w * u : (w + 2) * u]
-                n = int(np.isin(self.sets[item], window).sum())
-                if 100 * n >= CONTAINED * len(self.sets[item]) and n > found.get(item, (0, 0))[0]:
-                    found[item] = (n, w * u)
+            nominated = np.unique(np.concatenate([known.items[known.starts[k] : known.starts[k + 1]] for k in at]))
+            distinct, first = np.unique(runs, return_index=True)
+            for item in nominated.tolist():
+                own = self.sets[item]
+                place = np.minimum(np.searchsorted(distinct, own), len(distinct) - 1)
+                place = place[distinct[place] == own]
+                if 100 * len(place) >= CONTAINED * len(own):
+                    found[item] = (len(place), int(first[place].min()))
         return found
 
 

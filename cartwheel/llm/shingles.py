@@ -114,17 +114,6 @@ def min_max(shingles: np.ndarray, keys: np.ndarray, factors: np.ndarray) -> tupl
     return low, high
 
 
-def block_minima(shingles: np.ndarray, keys: np.ndarray, factors: np.ndarray, block: int) -> np.ndarray:
-    """Least value under each permutation in every run of ``block`` shingles (the last run may be shorter)."""
-    upper = (shingles >> np.uint64(32)).astype(np.uint32)
-    step = block * max(1, 2048 // block)
-    parts = []
-    for i in range(0, len(upper), step):
-        values = (upper[i : i + step, None] ^ keys) * factors
-        parts.append(np.minimum.reduceat(values, np.arange(0, len(values), block), axis=0))
-    return np.concatenate(parts) if parts else np.empty((0, len(keys)), np.uint32)
-
-
 def permutations(n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.default_rng(seed)
     return rng.integers(0, 2**32, n, dtype=np.uint32), rng.integers(0, 2**32, n, dtype=np.uint32) | np.uint32(1)

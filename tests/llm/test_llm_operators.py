@@ -409,6 +409,58 @@ def test_decontamination_equals_brute_force(spark, make_docs):
     assert decontamination.find(table, bench.limit(0)).count() == 0 and decontamination.clean(table, bench.limit(0)).count() == 9
 
 
+def plain_hits(docs, items):
+    """(doc, item) pairs of places: 80 percent of the item's shingles are anywhere in the document."""
+
+    def words(text):
+        return re.findall("[a-z0-9\u0080-\U0010ffff]+", (text or "").lower())
+
+    def runs(w, width):
+        return {tuple(w[k : k + width]) for k in range(len(w) - width + 1)}
+
+    found = set()
+    for d, text in enumerate(docs):
+        w = words(text)
+        held = {width: runs(w, width) for width in range(1, 6)}
+        for i, item in enumerate(items):
+            v = words(item)
+            if v:
+                own = runs(v, min(len(v), 5))
+                if 100 * len(own & held[min(len(v), 5)]) >= 80 * len(own):
+                    found.add((d, i))
+    return found
+
+
+def found_hits(docs, items):
+    index = decontamination.ItemIndex()
+    for i, item in enumerate(items):
+        index.add(i, item)
+    index.prepare()
+    return {(d, index.names[k]) for d, hits in enumerate(decontamination._searched(index, docs)) for k in hits}
+
+
+def test_passages_with_insertions_are_found_at_every_offset():
+    import random
+
+    pick = random.Random(11)
+    item, other = prose(36, 200).split(), prose(10, 201).split()
+    split = " ".join([*item[:18], *other, *item[18:]])
+    docs = [" ".join([*prose(300, 300 + k).split()[: 100 + k], split, prose(90, 400 + k)]) for k in range(64)]
+    assert found_hits(docs, [" ".join(item)]) == {(d, 0) for d in range(64)}
+
+    items = [prose(n, 500 + n) for n in [*range(1, 60), 100, 150, 260, 700]]
+    items += [" ".join([*items[60].split()[:60], *prose(50, 900 + k).split()]) for k in range(8)]  # share a passage
+    docs = []
+    for k in range(300):
+        passage = pick.choice(items).split()
+        for _ in range(pick.randrange(4)):
+            at = pick.randrange(len(passage) + 1)
+            passage[at : at + pick.randrange(2)] = prose(pick.randrange(1, 200), k).split()
+        before = prose(600, 1000 + k).split()[: pick.randrange(600)]
+        docs.append(" ".join([*before, *passage, prose(pick.randrange(1, 300), 2000 + k)]))
+    assert found_hits(docs, items) == plain_hits(docs, items)
+
+
 # ------------------------------------------------------------------------------------------------ pipeline
 def test_pipeline_on_the_smallest_table(spark):
     import corpus_pipeline
