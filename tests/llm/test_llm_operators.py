@@ -461,6 +461,12 @@ def test_passages_with_insertions_are_found_at_every_offset():
     assert found_hits(docs, items) == plain_hits(docs, items)
 
 
+def test_verbatim_short_items_are_found_at_every_offset():
+    items = [prose(n, 3000 + 10 * k + n) for k in range(200) for n in range(1, 9)]
+    docs = [" ".join([*prose(40, 9000 + k).split()[: k % 17], item, prose(40, 19000 + k)]) for k, item in enumerate(items)]
+    assert {(k, k) for k in range(len(items))} <= found_hits(docs, items)
+
+
 # ------------------------------------------------------------------------------------------------ pipeline
 def test_pipeline_on_the_smallest_table(spark):
     import corpus_pipeline
