@@ -5,7 +5,7 @@ greatest, so ``bands * rows`` values cost half as many hash evaluations. Both ki
 with a chance equal to their Jaccard similarity, and a pair of them varies less than two least values do.
 
 1. One pass over the texts gives each document a 128-bit digest of its word sequence, its set size and its band
-   keys. Documents with one digest are one vertex, the smallest doc_id among them.
+   keys. Each digest is a vertex, numbered once, whatever doc_ids its documents have.
 2. Vertices that share a band key are candidates. No pairs within a bucket are written out: every vertex of a
    bucket is held against the bucket's smallest vertex, on full shingle sets.
 3. What a star can miss, a link between two vertices of a bucket that do not link to its smallest one, is left
@@ -17,7 +17,8 @@ With 26 bands of 5 rows, a pair at similarity 0.85 shares no band with a chance
 4 rows, at 0.8, about 5e-8. Every candidate is confirmed, so no false link is made.
 
 Null or empty texts have an empty set and link with nothing. Rows whose doc_id is null link with nothing, have a
-null component and are kept. Rows that repeat a doc_id are one vertex: a link of any of its texts counts.
+null component and are kept. The texts of rows that repeat a doc_id are linked: a link of any of them counts for all.
+``one_of_each`` goes by the texts alone: a row is dropped only if its own text has a link to that of a row that stays.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import by_bytes, map_arrow, ship, stored
@@ -48,7 +49,7 @@ class NearDup:
     seed: int = 1
 
 
-FEATURES = "doc_id long, hi long, lo long, n_shingles long, bands array<long>"
+FEATURES = "doc_id long, raw long, hi long, lo long, n_shingles long, bands array<long>"
 
 
 def _signer(conf: NearDup):
@@ -69,20 +70,21 @@ def _features(conf: NearDup):
         bands = _signer(conf)
         for batch in batches:
             ids = batch.column(0).to_pylist()
-            rows = zip(ids, map(normalise, batch.column(1).to_pylist()), strict=True)
+            raws = batch.column(2).to_pylist()
+            rows = zip(ids, map(normalise, batch.column(1).to_pylist()), raws, strict=True)
             for part in by_bytes(rows, lambda r: len(r[1]) + 64, PIECE_BYTES):
                 out: list[tuple] = []
-                for (doc_id, text), words in zip(part, word_hashes([t for _, t in part]), strict=True):
+                for (doc_id, text, raw), words in zip(part, word_hashes([t for _, t, _ in part]), strict=True):
                     distinct = np.unique(shingle_hashes(words))
                     digest = hashlib.md5(text, usedforsecurity=False).digest()
                     hi, lo = (int.from_bytes(digest[i : i + 8], "little", signed=True) for i in (0, 8))
                     signed = bands(distinct) if len(distinct) and doc_id is not None else None
-                    out.append((doc_id, hi, lo, len(distinct), signed))
+                    out.append((doc_id, raw, hi, lo, len(distinct), signed))
                 cols = list(zip(*out, strict=True))
-                types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
+                types = (*[pa.int64()] * 5, pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(cols, types, strict=True)],
-                    ["doc_id", "hi", "lo", "n_shingles", "bands"],
+                    ["doc_id", "raw", "hi", "lo", "n_shingles", "bands"],
                 )
 
     return run
@@ -187,27 +189,33 @@ def _missed_links(multi: DataFrame, components: DataFrame, sets: DataFrame, vert
     return blocks.groupBy("key", "outer", "inner").applyInArrow(_block_links(conf.percent), "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, conf: NearDup = NearDup()) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept (doc_id = component_id) for every row of ``docs``."""
+def _grouped(docs: DataFrame, conf: NearDup, by_id: bool) -> DataFrame:
+    """doc_id, raw (hash of the text as it is), n_shingles, group and first_id (its least doc_id) of every row.
+
+    The group of a row without words or without a doc_id is null. ``by_id`` links texts that share a doc_id.
+    """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = texts.withColumn("raw", F.xxhash64("text"))
     features = stored(map_arrow(texts, _features(conf), FEATURES), "features")
     full = features.where("n_shingles > 0 and doc_id is not null")
-    reps = full.groupBy("hi", "lo").agg(F.min("doc_id").alias("id"))
-    vertices = full.withColumnRenamed("doc_id", "id").join(reps, ["hi", "lo", "id"]).dropDuplicates(["id"])
+    reps = full.groupBy("hi", "lo").agg(F.min("doc_id").alias("doc_id"))
+    reps = stored(reps.withColumn("id", F.monotonically_increasing_id()), "vertices")
+    vertices = full.join(reps, ["hi", "lo", "doc_id"]).dropDuplicates(["id"])
 
     members = vertices.select("id", F.explode("bands").alias("key"))
     buckets = members.groupBy("key").agg(F.min("id").alias("leader"), F.count("*").alias("n")).where("n > 1")
     multi = stored(members.join(buckets.drop("n"), "key"), "buckets")
-    needed = multi.select("id").distinct()
-    sets = texts.withColumnRenamed("doc_id", "id").join(needed, "id", "left_semi")
+    needed = vertices.select("id", "doc_id", "raw").join(multi.select("id").distinct(), "id", "left_semi")
+    sets = texts.join(needed, ["doc_id", "raw"]).dropDuplicates(["doc_id", "raw"]).select("id", "text")
     sets = stored(map_arrow(sets, _sets, "id long, shingles array<long>"), "sets")
     stars = multi.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
     links = stored(_confirmed(stars, sets, conf.percent), "links")
 
-    row_ids = full.select("doc_id", "hi", "lo").join(reps, ["hi", "lo"])
-    repeated = row_ids.groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("last")).where("a <> last")
-    same_id = row_ids.join(repeated, "doc_id").select("a", F.col("id").alias("b"))
-    links = stored(links.union(same_id), "links")
+    if by_id:
+        row_ids = full.select("doc_id", "hi", "lo").join(reps.drop("doc_id"), ["hi", "lo"])
+        repeated = row_ids.groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("last")).where("a <> last")
+        same_id = row_ids.join(repeated, "doc_id").select("a", F.col("id").alias("b"))
+        links = stored(links.union(same_id), "links")
     components = connected_components(links)
     missed = _missed_links(multi, components, sets, vertices, conf)
     if missed is not None:
@@ -215,11 +223,26 @@ def near_duplicates(docs: DataFrame, conf: NearDup = NearDup()) -> DataFrame:
         if not missed.isEmpty():
             components = connected_components(links.union(missed))
 
-    out = features.select("doc_id", "hi", "lo", "n_shingles").join(reps, ["hi", "lo"], "left")
-    out = out.join(components, "id", "left")
-    linked = F.when(F.col("n_shingles") > 0, F.coalesce("component", "id"))
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce(linked, "doc_id"))
-    return out.select(
+    least = components.join(reps.select("id", "doc_id"), "id").groupBy("component").agg(F.min("doc_id").alias("least"))
+    groups = reps.join(components.join(least, "component"), "id", "left").select(
+        "hi",
+        "lo",
+        F.coalesce("component", "id").alias("group"),
+        F.coalesce("least", "doc_id").alias("first_id"),
+    )
+    # rows without a doc_id may hold the text of a group; they are in none
+    own = F.when(F.col("doc_id").isNotNull(), F.col("group"))
+    return (
+        features.select("doc_id", "raw", "hi", "lo", "n_shingles")
+        .join(groups, ["hi", "lo"], "left")
+        .select("doc_id", "raw", "n_shingles", own.alias("group"), "first_id")
+    )
+
+
+def near_duplicates(docs: DataFrame, conf: NearDup = NearDup()) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept (doc_id = component_id) for every row of ``docs``."""
+    component = F.when(F.col("group").isNotNull(), F.col("first_id")).otherwise(F.col("doc_id"))
+    return _grouped(docs, conf, True).select(
         "doc_id",
         "n_shingles",
         component.alias("component_id"),
@@ -228,7 +251,16 @@ def near_duplicates(docs: DataFrame, conf: NearDup = NearDup()) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, conf: NearDup = NearDup()) -> DataFrame:
-    """``docs`` with one row of each group, the one of smallest doc_id; all rows without a doc_id stay."""
-    keep = near_duplicates(docs, conf).where("kept and doc_id is not null").select("doc_id").distinct()
-    kept = docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.select(docs.columns).union(docs.where("doc_id is null"))
+    """``docs`` with one row of each group of linked texts, the one of smallest doc_id; rows without a doc_id or
+    without words stay. Among rows with one doc_id the least hash of the text decides, then the other columns."""
+    key = F.col("doc_id").cast("long")
+    has_words = F.coalesce(F.col("text").cast("string").rlike("[^\\x20\\x09-\\x0D]"), F.lit(False))
+    linked = F.col("doc_id").isNotNull() & has_words
+    first = _grouped(docs, conf, False).where("group is not null and doc_id = first_id")
+    first = first.groupBy("group", F.col("doc_id").alias("_id")).agg(F.min("raw").alias("_raw"))
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    order = Window.partitionBy("_id", "_raw").orderBy(F.to_json(F.struct(*others)) if others else F.lit(0))
+    rows = docs.where(linked).withColumns({"_id": key, "_raw": F.xxhash64(F.col("text").cast("string"))})
+    rows = rows.join(first.select("_id", "_raw"), ["_id", "_raw"], "left_semi")
+    kept = rows.withColumn("_place", F.row_number().over(order)).where("_place = 1")
+    return kept.select(docs.columns).union(docs.where(~linked))

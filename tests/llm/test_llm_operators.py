@@ -98,6 +98,21 @@ def test_one_of_each_and_empty_table(make_docs, odd_rows):
     assert near_dedup.near_duplicates(make_docs([])).count() == 0
 
 
+def test_each_text_of_a_repeated_doc_id_counts(make_docs):
+    def near(words, k):
+        return " ".join([*words[:90], f"new{k}", *words[91:]])
+
+    texts = [prose(200, 800 + k).split() for k in range(12)]
+    rows = [(5, " ".join(t)) for t in texts] + [(10 + k, near(t, k)) for k, t in enumerate(texts)]
+    rows += [(7, prose(100, 820)), (7, prose(100, 821)), (8, prose(100, 821).upper()), (8, ""), (8, None)]
+    docs = make_docs(rows)
+    got = near_dedup.near_duplicates(docs).collect()
+    want = plain_components(rows, 80)
+    assert len(got) == len(rows) and all(r.component_id == (want[r.doc_id] if r.n_shingles else 8) for r in got)
+    kept = sorted((r.doc_id, r.text or "") for r in near_dedup.one_of_each(docs).collect())
+    assert kept == sorted([*rows[:12], *rows[24:26], (8, ""), (8, "")])
+
+
 def test_components_of_a_path_and_a_star(spark):
     path = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 50)] + [(7, 7)]
     got = {r.id: r.component for r in connected_components(spark.createDataFrame(path, "a long, b long")).collect()}
