@@ -182,14 +182,14 @@ def thresholds(histogram: dict[tuple[int, bool, int], int]) -> list[float]:
 
 
 def scan_text(text: str | None, least_p: list[float]) -> tuple[list[Span], list[Span]]:
-    """(base spans, all spans): a random span is added where no base span overlaps it."""
+    """(base spans, all spans): a random span is added unless one base span holds it whole."""
     if not text:
         return [], []
     base = base_spans(text)
     added = [
         ("random", a, b)
         for a, b, k, is_word, p in candidates(text)
-        if not is_word and p >= least_p[k] and not any(s < b and a < e for _, s, e in base)
+        if not is_word and p >= least_p[k] and not any(s <= a and b <= e for _, s, e in base)
     ]
     return base, sorted([*base, *added], key=lambda s: (s[1], KINDS.index(s[0])))
 

@@ -320,6 +320,24 @@ def test_random_strings_are_told_from_words(make_docs):
     assert secret_scan.fit(make_docs([])) and secret_scan.scan(make_docs([]), least).count() == 0
 
 
+def test_a_base_span_inside_a_random_string_leaves_none_of_it():
+    import base64
+    import random
+
+    pick, least, found = random.Random(21), [0.001] * len(secret_scan.LENGTHS), 0
+    for _ in range(40):
+        a, b = (base64.b64encode(pick.randbytes(18)).decode()[:22] for _ in range(2))
+        key = f"{a}Z{pick.getrandbits(64):016x}Z{b}"
+        base, spans = secret_scan.scan_text(f"see {key} there", least)
+        assert any(k == "hex" for k, _, _ in base)
+        if ("random", 4, 4 + len(key)) in spans:
+            found += 1
+            assert secret_scan.redacted_text(f"see {key} there", spans, "[S]") == "see [S] there"
+    assert found >= 20
+    text = "token = " + base64.b64encode(pick.randbytes(33)).decode()
+    assert [k for k, _, _ in secret_scan.scan_text(text, least)[1]] == ["assign"]
+
+
 # ------------------------------------------------------------------------------------------------- packing
 def least_padding(histogram, most):
     lengths = sorted(histogram)
