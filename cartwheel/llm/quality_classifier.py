@@ -6,7 +6,8 @@ each chunk overlapping the next by half, and the chunks' values are combined by
 logistic probability. Filters and combination are trained together by Adam on the cross-entropy.
 
 Training takes at most ``Training.rows_a_class`` labelled documents of each class, the first in hash order, and
-at most ``Training.bytes_a_class`` bytes of them: a bounded, documented sample. Scoring reads every text whole, in stretches of
+at most ``Training.bytes_a_class`` bytes of them: a bounded, documented sample. A text that does not fit into what is left
+of the bytes is passed over, and one over the whole bound never reaches the driver. Scoring reads every text whole, in stretches of
 bounded size whose chunks are those of the whole text.
 
 A null text counts as empty; an empty text is one chunk of padding. If labelled rows of a class are missing, the model
@@ -159,15 +160,16 @@ def learn(docs: DataFrame, labels: DataFrame, conf: Training = Training()) -> Ne
     for y in (0, 1):
         chosen = marked.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(conf.rows_a_class)
         # at most rows_a_class pairs of integers
-        sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+        text = F.col("text").cast("string")
+        fits = F.coalesce(F.octet_length(text), F.lit(0)) <= conf.bytes_a_class
+        sample = docs.select("doc_id", text.alias("text")).where(fits).join(F.broadcast(chosen), "doc_id")
         sample = sample.dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").limit(conf.rows_a_class)
         total = 0
         for r in sample.toLocalIterator():
             data = (r["text"] or "").encode("utf-8", "surrogatepass")
-            total += len(data)
-            if total > conf.bytes_a_class and examples:
-                break
-            examples.append((data, y))
+            if total + len(data) <= conf.bytes_a_class:
+                total += len(data)
+                examples.append((data, y))
     return train(examples, conf)
 
 

@@ -422,6 +422,16 @@ def test_classifier_learns_and_covers_whole_texts(spark, make_docs):
     assert quality_classifier.learn(docs, labels.limit(0)).score("x") == 0.5
 
 
+def test_a_text_that_does_not_fit_costs_no_other_row(spark, make_docs, monkeypatch):
+    monkeypatch.setattr(quality_classifier, "train", lambda examples, conf: examples)
+    rows = [(i, prose(30, i)) for i in range(40)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    conf = quality_classifier.Training(bytes_a_class=10_000)
+    texts = dict(rows) | {i: prose(2000, i) for i in range(8)}
+    got = quality_classifier.learn(make_docs(list(texts.items())), labels, conf)
+    assert sorted(got) == sorted((t.encode(), i % 2) for i, t in texts.items() if i >= 8)
+
+
 # ----------------------------------------------------------------------------------------- decontamination
 def test_decontamination_equals_brute_force(spark, make_docs):
     items = [(1, prose(15, 50)), (2, prose(40, 51)), (3, prose(90, 52)), (4, "Two words"), (5, None), (6, ""), (1, prose(15, 50)), (None, prose(20, 53))]
