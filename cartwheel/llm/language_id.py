@@ -4,8 +4,8 @@ For each language a raw-content zstandard dictionary is cut from labelled texts.
 ``PIECE`` bytes, every piece is compressed with every dictionary, and the language with the smallest total
 wins. The score sets the winner against the runner-up; an operator caller may reject narrow margins.
 
-Learning takes at most ``DICTIONARY`` bytes a language, ``SNIPPET`` bytes from each of the first texts in hash
-order: a bounded sample, the same at every size of the table. The dictionaries are the only data sent to the
+Learning takes at most ``DICTIONARY`` bytes a language, ``SNIPPET`` characters from each of the first texts in hash
+order, at a place that a hash of the text chooses: a bounded sample, the same at every size of the table. The dictionaries are the only data sent to the
 tasks, ``MOST_LANGUAGES * DICTIONARY`` bytes at most.
 
 A text that is null or has no letter is ``und`` with score 0. With no learned language every text is ``und``.
@@ -40,11 +40,13 @@ def letters(text: str) -> bytes:
 
 def learn(rows: DataFrame) -> dict[str, bytes]:
     """Dictionary content of each language from rows (doc_id, text, lang)."""
-    head = F.substring(F.col("text").cast("string"), 1, SNIPPET)
+    text = F.col("text").cast("string")
+    starts = F.greatest(F.char_length(text) - SNIPPET + 1, F.lit(1))
+    snippet = F.substring(text, F.pmod(F.xxhash64(text), starts).cast("int") + 1, F.lit(SNIPPET))
     usable = rows.where("lang is not null and text is not null and char_length(text) > 0")
     order = Window.partitionBy("lang").orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id", "_snippet")
     sample = (
-        usable.select("lang", "doc_id", head.alias("_snippet"))
+        usable.select("lang", "doc_id", snippet.alias("_snippet"))
         .withColumn("_n", F.row_number().over(order))
         .where(F.col("_n") <= 4 * DICTIONARY // SNIPPET)
     )

@@ -270,6 +270,13 @@ def test_language_id(spark, make_docs):
     assert classify("tie")[0] == "a" and classify("tie")[2] == 0.0
 
 
+def test_a_shared_header_does_not_fill_the_dictionary(spark):
+    header = "shared license words " * 60
+    rows = [(i, header + prose(2000, i).translate(str.maketrans("aeiou", "äëïöü")), "xx") for i in range(10)]
+    learned = language_id.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert learned["xx"].count("ä".encode()) > 100
+
+
 # --------------------------------------------------------------------------------------------- secret scan
 def plain_base(text):
     found = []
