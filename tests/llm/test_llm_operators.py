@@ -544,3 +544,34 @@ def test_pipeline_on_the_smallest_table(spark):
             assert not any(b in decontamination.normalise(t) for b in bench for t in after.values())
         else:
             assert set(after) == set(before) and not any(plain_base(t) for t in after.values())
+
+
+def test_rules_and_decontamination_stages_keep_exactly_the_plain_rows(spark):
+    import corpus_pipeline
+
+    from cartwheel.llm.common import stored, table
+
+    sf = "/root/testdata/sf0.001"
+    docs = table(spark, sf, "documents")
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+
+    def kept(text):
+        m = plain_measures(text)
+        n, lines = m["n_words"], [x for x in text.split("\n") if SPACE.search(x)]
+        return not (
+            n < 10
+            or 100 * m["n_repeat_words"] > 20 * n
+            or 100 * m["n_symbols"] > 30 * n
+            or 100 * m["n_dup_lines"] > 50 * len(lines)
+            or not 2 * n <= m["word_chars"] <= 25 * n
+            or 100 * len(re.findall("[A-Z]", text)) > 60 * m["word_chars"]
+        )
+
+    few = [i for i, t in texts.items() if len(t.split()) < 1500]  # plain_measures counts windows by brute force
+    rows = stored(corpus_pipeline.reject_by_rules(spark, docs.where(docs.doc_id.isin(few)), sf), "rules")
+    assert {r.doc_id for r in rows.collect()} == {i for i in few if kept(texts[i])}
+    items = [r.text for r in table(spark, sf, "benchmark").collect()]
+    hit = plain_hits(list(texts.values()), items)
+    dirty = {i for d, i in enumerate(texts) if any(e == d for e, _ in hit)}
+    clean = {r.doc_id for r in corpus_pipeline.drop_contaminated(spark, docs, sf).collect()}
+    assert dirty and clean == set(texts) - dirty
