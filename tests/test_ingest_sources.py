@@ -11,7 +11,7 @@ from cartwheel.sources.bronze import read_bronze, write_bronze
 from cartwheel.sources.kafka import kafka_source_options
 from cartwheel.sources import testdata as td
 
-from conftest import SF001, SF01
+from helpers import SF001, SF01
 
 BROKER_TS = dt.datetime(2024, 1, 15, 12, 0, 0)
 

@@ -9,9 +9,8 @@ from cartwheel.quality import checks as C
 from cartwheel.quality import contracts as K
 from cartwheel.quality.anomaly import ewma_anomalies
 from cartwheel.sources import testdata as td
-from helpers import T0, events, rows, ts
+from helpers import SF01, T0, events, rows, ts
 
-from conftest import SF01
 
 
 # --------------------------------------------------------------------------------------------------------

@@ -4,9 +4,8 @@ from pyspark.sql import functions as F
 
 from cartwheel.operators import gold, silver
 from cartwheel.sources import testdata as td
-from helpers import T0, events, rows, ts
+from helpers import SF001, SF01, T0, events, rows, ts
 
-from conftest import SF001, SF01
 
 
 def _cart(eid, user, prod, at, price=10.0, cat="c1", name="Cat 1"):

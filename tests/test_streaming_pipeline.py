@@ -16,7 +16,7 @@ from cartwheel.sources.kafka import read_envelope_stream
 from cartwheel.streaming import aggregates as SA
 from cartwheel.streaming import ingest as SI
 
-from conftest import SF001, SF01
+from helpers import SF001, SF01
 
 SENTINEL_TS = dt.datetime(2030, 1, 1)
 
