@@ -63,5 +63,118 @@ from p left join f on p.payload_digest = f.payload_digest
 """
 
 
+OP11 = r"""
+with v as (
+    select row_number() over () as rid, vec_id,
+        list_transform(embedding, lambda x: floor(64 * x::double)::bigint::double) as x
+    from embeddings
+    where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), s as (
+    select q.rid as qid, q.vec_id as query_id, c.vec_id, c.rid, list_inner_product(q.x, c.x)::bigint as score
+    from v q join v c on q.vec_id % 20 = 0 and q.rid <> c.rid
+)
+select query_id, vec_id, score,
+    row_number() over (partition by qid order by score desc, vec_id nulls last, rid)::int as rank
+from s qualify rank <= 20
+"""
+
+
+def _grams(n: int) -> str:
+    """Runs of n words inside pieces, with their number of occurrences in a language."""
+    words = " || ' ' || ".join(["word", *[f"lead(word, {k}) over o" for k in range(1, n)]])
+    return f"""g{n} as (
+    select lang, phrase, {n} as size, count(*)::hugeint as f from (
+        select lang, {words} as phrase from w window o as (partition by rid, piece order by pos)
+    ) where phrase is not null group by lang, phrase having count(*) >= 100
+)"""
+
+
+OP12 = rf"""
+with p as (
+    select lang, rid, unnest(pieces) as words, unnest(range(len(pieces))) as piece from (
+        select coalesce(lang, 'und') as lang, row_number() over () as rid,
+            regexp_split_to_array(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[.,;:!?\x0A-\x0D]') as pieces
+        from documents)
+), w as (
+    select lang, rid, piece, unnest(tokens) as word, unnest(range(len(tokens))) as pos from (
+        select lang, rid, piece, list_filter(regexp_split_to_array(words, '[\x20\x09]+'), lambda x: x <> '') as tokens
+        from p)
+), total as (
+    select lang, count(*)::hugeint as n from w group by lang
+), {", ".join(_grams(n) for n in range(1, 6))}, g as (
+    {" union all ".join(f"select * from g{n}" for n in range(1, 6))}
+), cuts as (
+    select lang, phrase, size, f, unnest(range(1, size)) as k, string_split(phrase, ' ') as words from g where size > 1
+), scored as (
+    select c.lang, c.phrase, c.f as a, x.f as l, y.f as r, k, (1000 * c.f * n) // (x.f * y.f) as score, n
+    from cuts c join total using (lang)
+    join g x on x.lang = c.lang and x.phrase = array_to_string(words[1:k], ' ')
+    join g y on y.lang = c.lang and y.phrase = array_to_string(words[k + 1:], ' ')
+), cut as (
+    select * from scored qualify row_number() over (partition by lang, phrase order by score, k) = 1
+), parts as (
+    select lang, array_to_string(words[i:i + m - 1], ' ') as phrase, max(f) as longer from (
+        select distinct lang, f, string_split(phrase, ' ') as words, m, unnest(range(1, size - m + 2)) as i
+        from g, (select unnest(range(2, 5)) as m) where size > m
+    ) group by all
+)
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase,
+    a::bigint as a, l::bigint as l, r::bigint as r, n::bigint as n, score::bigint as score
+from cut left join parts using (lang, phrase) where longer is null or 100 * longer < 100 * a
+qualify rank <= 2000
+"""
+
+
+def _assigned(r: int) -> str:
+    """Nearest entry and its distance of every part under the codebook of round r."""
+    return f"""a{r} as materialized (
+    select rid, p, min_by(k, d * 16 + k) as k, min(d) as d from (
+        select rid, p, k, list_sum(list_transform(list_zip(v.y, c.y), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::hugeint as d
+        from parts v join c{r} c using (p)
+    ) group by rid, p
+)"""
+
+
+def _moved(r: int) -> str:
+    """The codebook after round r."""
+    return f"""c{r + 1} as materialized (
+    select p, k, list(coalesce(z, old) order by i) as y from (
+        select p, k, unnest(y) as old, unnest(range(len(y))) as i from c{r}
+    ) left join (
+        select p, k, i, (sum(x) - (sum(x) % count(*) + count(*)) % count(*)) // count(*) as z from (
+            select p, k, unnest(y) as x, unnest(range(len(y))) as i from a{r} join parts using (rid, p)
+        ) group by p, k, i
+    ) using (p, k, i) group by p, k
+)"""
+
+
+OP13 = f"""
+with v as (
+    select row_number() over () as rid, vec_id, label,
+        list_transform(embedding, lambda x: floor(4096 * x::double)::bigint) as x
+    from embeddings
+    where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), parts as materialized (
+    select rid, p, x[p * (len(x) // 8) + 1:(p + 1) * (len(x) // 8)] as y from v, (select unnest(range(8)) as p)
+), c0 as (
+    select p, k, y from parts join (select rid, row_number() over (order by vec_id) - 1 as k from v) using (rid) where k < 16
+), {", ".join(_assigned(r) + ", " + _moved(r) for r in range(6))}, {_assigned(6)}, book as (
+    select sha256(string_agg(array_to_string(y, ','), ',' order by p, k)) as codebooks_sha256 from c6
+), coded as (
+    select rid, string_agg(format('{{:02x}}', k), '' order by p) as code, sum(d)::bigint as error from a6 group by rid
+)
+select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error, codebooks_sha256
+from coded join v using (rid), book
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op8_quality_rules": OP8, "op10_warc": OP10}
+    return {
+        "op8_quality_rules": OP8,
+        "op10_warc": OP10,
+        "op11_pivot_search": OP11,
+        "op12_collocations": OP12,
+        "op13_vector_codes": OP13,
+    }

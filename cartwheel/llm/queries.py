@@ -8,15 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
+    collocations,
     decontamination,
     language_id,
     near_dedup,
     packing,
+    pivot_search,
     quality_classifier,
     quality_rules,
     secret_scan,
     token_counts,
     token_files,
+    vector_codes,
     warc,
 )
 from .common import crc32_mod, table
@@ -93,6 +96,33 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_pivot_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivot_search.search(table(spark, sf_dir, "embeddings"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    return coded.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_quality_classifier, op2_decontamination, op3_near_dedup, op4_token_counts, op5_token_files, op6_language_id, op7_secret_scan, op8_quality_rules, op9_packing, op10_warc,)
+    found = (
+        op1_quality_classifier,
+        op2_decontamination,
+        op3_near_dedup,
+        op4_token_counts,
+        op5_token_files,
+        op6_language_id,
+        op7_secret_scan,
+        op8_quality_rules,
+        op9_packing,
+        op10_warc,
+        op11_pivot_search,
+        op12_collocations,
+        op13_vector_codes,
+    )
     return {f.__name__: f for f in found}
