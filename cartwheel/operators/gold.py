@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import (
-    MICROS_PER_DAY,
     duration_micros,
     epoch_micros,
     from_epoch_micros,
@@ -317,5 +316,4 @@ __all__ = [
     "cart_agg",
     "purchase_agg",
     "fct_cart_abandonment",
-    "MICROS_PER_DAY",
 ]

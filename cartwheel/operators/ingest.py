@@ -1,7 +1,7 @@
 """Stream-ingest transforms: one set of column expressions shared by batch and Structured Streaming.
 
 Kafka record (key, value, topic, partition, offset, timestamp) -> typed bronze row + ``reject_reason``.
-Nothing here leaves the JVM: JSON is parsed with ``from_json`` / ``json_object_keys``, not Python.
+Nothing here leaves the JVM: JSON is parsed with ``from_json``, not Python.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.columns import iso_text, ts_literal, to_ntz
-from ..schemas import BRONZE_COLUMNS, EVENTS_TOPIC, FUNNEL_EVENT_TYPES, RAW_JSON_SCHEMA, REQUIRED_EVENT_FIELDS
+from ..schemas import BRONZE_COLUMNS, EVENTS_TOPIC, FUNNEL_EVENT_TYPES, REQUIRED_EVENT_FIELDS
 
 # Reject reasons, in the order they are tested.
 MALFORMED = "malformed_json"
@@ -20,6 +20,9 @@ EMPTY_USER = "empty_user_id"
 INVALID_TIME = "invalid_event_timestamp"
 INVALID_PRICE = "invalid_price"
 
+END_MARK = "~end of record"
+STRICT_JSON = {"allowSingleQuotes": "false"}
+
 
 def _processing_time(envelope: DataFrame, processing_time: str | Column | None) -> Column:
     if processing_time is None:
@@ -46,8 +49,8 @@ def parse_events(
       type outside the funnel, empty user id, an event time or price that is present but cannot be read.
     ``strict=True`` fails the query on the first malformed record or missing key instead of dead-lettering it.
     """
-    # JSON is decoded once a record into a struct and its key list. Typed columns and reason come out of a generator of
-    # one row: filters on them stay above it, where a pushed-down copy would decode the text again.
+    # A record is decoded once, into its keys and values. Typed columns and reason come out of a generator of one row:
+    # filters on them stay above it, where a pushed-down copy would decode the text again.
     decoded = envelope.select(
         "topic",
         "partition",
@@ -55,18 +58,18 @@ def parse_events(
         F.col("key").cast("string").alias("kafka_key"),
         F.col("value").cast("string").alias("raw_value"),
         _processing_time(envelope, processing_time).alias("_processing_ts"),
-    ).select(
-        "*",
-        # one value and nothing after it: json_object_keys alone would accept trailing text
-        F.when(
-            F.json_array_length(F.concat(F.lit("["), F.col("raw_value"), F.lit("]"))) == 1,
-            F.json_object_keys("raw_value"),
-        ).alias("_keys"),
     )
-    # nothing is taken from a malformed record
-    decoded = decoded.withColumn("_j", F.when(F.col("_keys").isNotNull(), F.from_json("raw_value", RAW_JSON_SCHEMA)))
+    # one object and nothing after it: the end mark that follows the text must come out as the second of two
+    marked = F.concat(F.lit("["), F.col("raw_value"), F.lit(f',{{"{END_MARK}":""}}]'))
+    decoded = decoded.withColumn("_found", F.from_json(marked, "array<map<string,string>>", STRICT_JSON))
+    whole = (F.size("_found") == 2) & F.map_contains_key(F.get("_found", F.lit(1)), END_MARK)
+    decoded = decoded.withColumn("_record", F.when(whole, F.get("_found", F.lit(0))))
+    # of a repeated key the last value counts
+    decoded = decoded.withColumns(
+        {"_keys": F.reverse(F.map_keys("_record")), "_values": F.reverse(F.map_values("_record"))}
+    )
     keys = F.col("_keys")
-    j = F.col("_j")
+    j = {c: F.get("_values", F.array_position(keys, c).cast("int") - 1) for c in BRONZE_COLUMNS}
 
     def has(k: str) -> Column:
         return F.coalesce(F.array_contains(keys, k), F.lit(False))
@@ -186,8 +189,8 @@ def sink_row_prep(bronze: DataFrame) -> DataFrame:
 def publish_envelope(events: DataFrame, topic: str = EVENTS_TOPIC) -> DataFrame:
     """Events as keyed Kafka records: key = user_id (keeps a user's events in one partition), value = JSON.
 
-    NULL fields are left out of the JSON; timestamps are ISO text and the price is written as it is. Write the
-    result with ``df.write.format("kafka")`` and ``kafka_producer_options``.
+    NULL fields are left out of the JSON; timestamps are ISO text and the price is written as it is. ``publish`` and
+    ``publish_stream`` write the result.
     """
     fields = []
     for c in BRONZE_COLUMNS:
@@ -210,3 +213,38 @@ def kafka_producer_options(bootstrap_servers: str, topic: str = EVENTS_TOPIC) ->
         "kafka.acks": "all",
         "kafka.compression.type": "snappy",
     }
+
+
+def publish(
+    events: DataFrame,
+    bootstrap_servers: str,
+    topic: str = EVENTS_TOPIC,
+    sink: str = "kafka",
+    options: dict[str, str] | None = None,
+) -> None:
+    """Write a batch of events to the topic, one keyed record each.
+
+    ``options`` are added to ``kafka_producer_options`` and win over them; ``sink`` names another data source.
+    """
+    records = publish_envelope(events, topic)
+    every = {**kafka_producer_options(bootstrap_servers, topic), **(options or {})}
+    records.write.format(sink).options(**every).mode("append").save()
+
+
+def publish_stream(
+    events: DataFrame,
+    bootstrap_servers: str,
+    checkpoint_path: str,
+    topic: str = EVENTS_TOPIC,
+    trigger: dict | None = None,
+    sink: str = "kafka",
+    options: dict[str, str] | None = None,
+    query_name: str = "publish_events",
+):
+    """Start a query that writes a stream of events to the topic; it goes on from its checkpoint after a failure.
+
+    A batch that is written again after a failure repeats its records: event ids let readers drop them.
+    """
+    every = {**kafka_producer_options(bootstrap_servers, topic), **(options or {})}
+    writer = publish_envelope(events, topic).writeStream.format(sink).queryName(query_name).outputMode("append")
+    return writer.options(**every).option("checkpointLocation", checkpoint_path).trigger(**(trigger or {"availableNow": True})).start()

@@ -7,14 +7,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import (
-    col_,
-    duration_micros,
-    in_half_open,
-    interval,
-    to_ntz,
-    ts_literal,
-)
+from ..functions.columns import in_half_open, interval, to_ntz, ts_literal
 from ..schemas import BRONZE_COLUMNS, FUNNEL_EVENT_TYPES, PRODUCT_COLUMNS
 from .joins import DEFAULT_BROADCAST_MAX_BYTES, left_join_dimension
 
@@ -152,10 +145,30 @@ def stg_clickstream(
     ``run_started_at=None`` processes the whole input (backfill). Validation runs *after* dedup: when the
     newest copy of an event is invalid the event is dropped, as in the warehouse model.
     """
+    copies = newest_copies(
+        bronze, run_started_at, lookback_start, lookback_end, as_of, invocation_id, audit, date_partition_col
+    )
+    return validate_silver(copies)
+
+
+def newest_copies(
+    bronze: DataFrame,
+    run_started_at: RunTime | None = None,
+    lookback_start: str | int = "1 hour 30 minutes",
+    lookback_end: str | int = "30 minutes",
+    as_of: RunTime | None = None,
+    invocation_id: str | None = None,
+    audit: bool = False,
+    date_partition_col: str | None = None,
+) -> DataFrame:
+    """``stg_clickstream`` before validation: the newest copy of each event, be it valid or not.
+
+    A run that merges a slice into stored rows compares copies first and validates what is left.
+    """
     df = bronze
     if run_started_at is not None:
         df = lookback_window(df, run_started_at, lookback_start, lookback_end, date_partition_col=date_partition_col)
-    df = validate_silver(dedup_latest(typed_projection(df)))
+    df = dedup_latest(typed_projection(df))
     if audit:
         df = add_audit_columns(df, as_of if as_of is not None else run_started_at, invocation_id)
     return df
@@ -187,22 +200,13 @@ def enrich_with_products(
     The catalogue is broadcast only when its size is proven to be at most ``broadcast_max_bytes``; a larger
     catalogue goes through a sort-merge join whose NULL product ids are spread over all tasks.
     """
-    dim = products.select(
-        F.col("product_id").alias("p_product_id"),
-        F.col("category_id").alias("product_category_id"),
-        F.col("category_name").alias("product_category_name"),
-        F.col("brand").alias("product_brand"),
-        F.col("price").alias("product_price"),
-        F.col("currency").alias("product_currency"),
+    filled = ("category_id", "category_name", "brand", "price", "currency")
+    catalogue = products.select(F.col("product_id").alias("_key"), F.struct(*filled).alias("_known"))
+    joined = left_join_dimension(clickstream, catalogue, "product_id", "_key", "event_id", broadcast_max_bytes)
+    known = F.col("_known")
+    return joined.select(
+        *[F.coalesce(c, known[c]).alias(c) if c in filled else F.col(c) for c in clickstream.columns]
     )
-    joined = left_join_dimension(clickstream, dim, "product_id", "p_product_id", "event_id", broadcast_max_bytes)
-    out_cols = []
-    for c in clickstream.columns:
-        if c in ("category_id", "category_name", "brand", "price", "currency"):
-            out_cols.append(F.coalesce(F.col(c), F.col(f"product_{c}")).alias(c))
-        else:
-            out_cols.append(F.col(c))
-    return joined.select(*out_cols)
 
 
 def silver_and_enriched(
@@ -225,9 +229,8 @@ __all__ = [
     "dedup_latest",
     "validate_silver",
     "stg_clickstream",
+    "newest_copies",
     "stg_products",
     "enrich_with_products",
     "silver_and_enriched",
-    "duration_micros",
-    "col_",
 ]

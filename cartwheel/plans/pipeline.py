@@ -4,12 +4,13 @@ Incremental transform (one run per hour, rerunnable):
 
 1. read the bronze slice ``[run - 90 min, run - 30 min)`` (date partitions pruned);
 2. silver rows of the touched dates = (existing silver of those dates) UNION (new slice), deduplicated again
-   (latest copy per event_id wins) and validated; the merged rows are checkpointed into the shared checkpoint
-   folder first, so overwriting those date partitions never reads the files it replaces;
+   (latest copy per event_id wins) and only then validated, so an invalid newest copy removes its event as in the batch
+   form; the merged rows are checkpointed into the shared checkpoint folder first, so overwriting those date
+   partitions never reads the files it replaces;
 3. the runtime contract of the new silver rows gates promotion: a failing check stops the run before silver and
    gold are touched;
-4. gold of the touched dates (and the day before, because a cart waits 24 h for its purchase) is recomputed
-   from all silver of those dates and overwrites just those partitions.
+4. gold of every touched date and the day before it (a cart waits 24 h for its purchase) is recomputed from all silver
+   of those dates and the days after them, and overwrites just those partitions.
 
 Rerunning the same window gives the same tables. Executor loss at any point is covered by Spark task retry
 (all inputs are files) and, for a lost driver, by rerunning the window.
@@ -84,6 +85,15 @@ def _dates(df: DataFrame, col: str) -> list[_dt.date]:
     return sorted(r[0] for r in df.select(F.to_date(col).alias("d")).distinct().collect() if r[0] is not None)
 
 
+def affected_dates(touched: list[_dt.date]) -> tuple[list[_dt.date], list[_dt.date]]:
+    """(dates whose marts change, dates to read for them) when the events of ``touched`` dates change: a cart sees the
+    purchases of 24 hours, so each touched date changes its own marts and those of the day before, and the marts of a date
+    need the day after it."""
+    day = _dt.timedelta(days=1)
+    change = {d - k * day for d in touched for k in (0, 1)}
+    return sorted(change), sorted({d + k * day for d in change for k in (0, 1)})
+
+
 def run_transform(
     spark: SparkSession,
     bronze_path: str,
@@ -101,7 +111,7 @@ def run_transform(
     """
     ensure_checkpoint_dir(spark)
     bronze = read_bronze(spark, bronze_path)
-    fresh = silver.stg_clickstream(
+    fresh = silver.newest_copies(
         bronze, run_started_at, lookback_start, lookback_end, as_of=run_started_at, invocation_id=invocation_id,
         audit=True, date_partition_col="event_date",
     ).withColumn("event_date", F.to_date("event_timestamp"))
@@ -113,21 +123,26 @@ def run_transform(
 
     # 2. merge with the silver rows already stored for those dates, then cut lineage before overwriting
     merged = fresh
-    if wh.exists(spark, "stg_clickstream"):
-        old = spark.read.parquet(wh.path("stg_clickstream")).where(F.col("event_date").isin(touched))
-        merged = old.unionByName(fresh)
+    stored = wh.read(spark, "stg_clickstream")
+    if stored is not None:
+        merged = stored.where(F.col("event_date").isin(touched)).unionByName(fresh)
     merged = silver.validate_silver(silver.dedup_latest(merged)).checkpoint(eager=True)
 
     # 3. promotion gate on the new silver rows
     outcome = C.gate(K.scan(spark, {"stg_clickstream": merged}, as_of=run_started_at, suites=(gate_suite,)))
 
     part, cluster = LAYOUT["stg_clickstream"]
-    materialize(merged, "stg_clickstream", path=wh.path("stg_clickstream"), partition_by=part, cluster_by=cluster)
-
-    # 4. gold for the touched dates and the day before (abandonment looks 24 h ahead)
-    gold_dates = sorted(set(touched) | {touched[0] - _dt.timedelta(days=1)})
-    read_dates = gold_dates + [gold_dates[-1] + _dt.timedelta(days=1)]
-    stg = spark.read.parquet(wh.path("stg_clickstream")).where(F.col("event_date").isin(read_dates))
+    kind = materialize(
+        merged, "stg_clickstream", path=wh.path("stg_clickstream"), partition_by=part, cluster_by=cluster
+    ).schema
+    kept = set(_dates(merged, "event_timestamp"))
+    for date in (d for d in touched if d not in kept):
+        for model in ("stg_clickstream", "int_enriched_clickstream"):
+            wh.drop_partition(spark, model, part, date)
+
+    # 4. gold for every touched date and the day before it (abandonment looks 24 h ahead)
+    gold_dates, read_dates = affected_dates(touched)
+    stg = spark.read.schema(kind).parquet(wh.path("stg_clickstream")).where(F.col("event_date").isin(read_dates))
     if products is None:
         products = spark.read.parquet(wh.path("stg_products"))
     part, cluster = LAYOUT["int_enriched_clickstream"]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -16,13 +17,15 @@ def materialize(
     partition_by: str | None = None,
     cluster_by: Sequence[str] = (),
     mode: str = "overwrite",
+    spread_by: str = "event_id",
 ) -> DataFrame:
     """Make a model available under ``name``.
 
     * ``view``: a temporary view over the plan (recomputed by each reader).
     * ``table``: written to ``path`` as Parquet, one directory per ``partition_by`` value, rows sorted by
       ``cluster_by`` inside each file so Parquet min/max statistics skip row groups. Rows are range-partitioned
-      on (partition, cluster keys): a large day is split over many tasks and each task writes few files.
+      on (partition, cluster keys, hash of ``spread_by`` where the table has that column): a large day is split over
+      many tasks and each task writes few files, and rows that share all cluster keys can still be parted.
       With ``mode="overwrite"`` only the partitions present in ``df`` are replaced (dynamic overwrite), so
       re-running a window rewrites just the days it touched. The table is read back and registered, which
       also cuts the lineage for downstream models.
@@ -37,7 +40,8 @@ def materialize(
     keys = ([partition_by] if partition_by else []) + list(cluster_by)
     out = df
     if keys:
-        out = out.repartitionByRange(*keys).sortWithinPartitions(*keys)
+        spread = [F.xxhash64(spread_by)] if spread_by in df.columns else []
+        out = out.repartitionByRange(*keys, *spread).sortWithinPartitions(*keys)
     writer = out.write.mode(mode).option("partitionOverwriteMode", "dynamic")
     if partition_by:
         writer = writer.partitionBy(partition_by)

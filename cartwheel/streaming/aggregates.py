@@ -178,3 +178,43 @@ def cart_outcomes_stream(
         "append",
         GroupStateTimeout.EventTimeTimeout,
     )
+
+
+# ---------------------------------------------------------------------------------------------------------
+# The same match as a stream-stream join
+# ---------------------------------------------------------------------------------------------------------
+def cart_purchase_pairs_stream(enriched_events: DataFrame, within: str = "24 hours", delay: str = LATE_HOLD) -> DataFrame:
+    """Every cart with each purchase of the same user and product in ``[cart_at, cart_at + within)``; a cart without one
+    comes once, with a null ``purchase_at``, when the watermark shows that none can come any more.
+
+    A left outer interval join of two watermarked streams. Its state lives in the JVM, and the interval lets Spark
+    drop carts ``within`` after and purchases right after the watermark has passed them.
+    """
+    e = with_late_data_bound(enriched_events, delay)
+    carts = e.where(
+        (F.col("event_type") == "add_to_cart") & F.col("product_id").isNotNull() & F.col("category_id").isNotNull()
+    ).select(
+        "event_id", "user_id", "product_id", "category_id", "category_name", "price", F.col("event_timestamp").alias("cart_at")
+    )
+    purchases = e.where((F.col("event_type") == "purchase") & F.col("product_id").isNotNull()).select(
+        F.col("user_id").alias("_buyer"), F.col("product_id").alias("_product"), F.col("event_timestamp").alias("purchase_at")
+    )
+    end = F.col("cart_at") + F.expr(f"INTERVAL '{duration_micros(within) / 1e6:.6f}' SECOND")
+    same = (F.col("_buyer") == F.col("user_id")) & (F.col("_product") == F.col("product_id"))
+    inside = (F.col("purchase_at") >= F.col("cart_at")) & (F.col("purchase_at") < end)
+    return carts.join(purchases, same & inside, "leftOuter").drop("_buyer", "_product")
+
+
+def cart_outcomes_join_stream(enriched_events: DataFrame, within: str = "24 hours", delay: str = LATE_HOLD) -> DataFrame:
+    """The columns of ``cart_outcomes_stream``, from the pairs of ``cart_purchase_pairs_stream`` added up by cart.
+
+    No Python runs. The aggregate's state holds a row a cart and is dropped with the watermark; a cart's outcome comes
+    once, when no pair of it can follow. Pairs of one cart exist only between the two operators of a micro-batch. Use the
+    stateful form where single carts have very many purchases; here the load of a hot (user, product) is its pairs.
+    """
+    pairs = cart_purchase_pairs_stream(enriched_events, within, delay)
+    cart = ["event_id", "user_id", "product_id", "category_id", "category_name", "cart_at", "price"]
+    per_cart = pairs.groupBy(*cart).agg(
+        F.count("purchase_at").alias("n_purchases"), F.min("purchase_at").alias("first_purchase_at")
+    )
+    return per_cart.select(*cart, "n_purchases", "first_purchase_at")

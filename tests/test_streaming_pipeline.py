@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cartwheel.operators import gold, ingest, silver
-from cartwheel.plans import pipeline
+from cartwheel.plans import pipeline, tables
 from cartwheel.quality import checks as C
 from cartwheel.quality import contracts as K
 from cartwheel.schemas import BRONZE_COLUMNS
@@ -16,7 +16,7 @@ from cartwheel.sources.kafka import read_envelope_stream
 from cartwheel.streaming import aggregates as SA
 from cartwheel.streaming import ingest as SI
 
-from helpers import SF001, SF01
+from helpers import SF001, SF01, events
 
 SENTINEL_TS = dt.datetime(2030, 1, 1)
 
@@ -106,6 +106,35 @@ def test_streaming_aggregates_match_batch(spark, tmp_dir):
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
 
+def test_cart_outcomes_by_stream_join(spark, tmp_dir):
+    enr = silver.silver_and_enriched(td.bronze(spark, SF001), td.products(spark, SF001))
+    path = os.path.join(tmp_dir, "enriched")
+    # files in order of event time, as a stream delivers them; the last one is far ahead and drains all state
+    days = [r[0] for r in enr.select(F.to_date("event_timestamp").alias("d")).distinct().orderBy("d").collect()]
+    schema = "event_id string, user_id string, event_type string, event_timestamp timestamp_ntz, product_id string, price double"
+    for k, ahead in enumerate((0, 1)):
+        sentinel = [(f"sentinel{k}", "u_sentinel", "purchase", SENTINEL_TS + dt.timedelta(days=90 * ahead), "p_sentinel", 1.0)]
+        rows = spark.createDataFrame(sentinel, schema)
+        if not k:
+            for d in days:
+                enr.where(F.to_date("event_timestamp") == d).coalesce(1).write.mode("append").parquet(path)
+                time.sleep(1.1)
+        enr.limit(0).unionByName(rows, allowMissingColumns=True).write.mode("append").parquet(path)
+        time.sleep(1.1)
+    stream = spark.readStream.schema(enr.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    outcomes = SA.cart_outcomes_join_stream(stream)
+    plan = outcomes._jdf.queryExecution().analyzed().toString()
+    assert "LeftOuter" in plan and "Python" not in plan and "InPandas" not in plan
+    q = _run_available_now(outcomes, "cart_join", os.path.join(tmp_dir, "ckpt"))
+    got = spark.table("cart_join").select("event_id", "n_purchases", F.col("first_purchase_at").cast("timestamp_ntz"))
+    want = gold.cart_purchase_matches(enr).select("event_id", "n_purchases", "first_purchase_at")
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0 and got.count() > 0
+    # state is evicted: it never holds more than the rows of two days, and next to none after the drain
+    held = [sum(o["numRowsTotal"] for o in p["stateOperators"]) for p in q.recentProgress if p["stateOperators"]]
+    daily = [r["count"] for r in enr.groupBy(F.to_date("event_timestamp")).count().collect()]
+    assert max(held) <= 3 * max(daily) and held[-1] <= 4, held
+
+
 def test_late_and_duplicate_events(spark, tmp_dir):
     base = dt.datetime(2024, 1, 15, 12, 0)
     schema = "event_id string, user_id string, event_type string, event_timestamp timestamp_ntz, price double"
@@ -166,6 +195,74 @@ def test_incremental_transform_matches_batch_and_is_idempotent(spark, tmp_dir):
     assert got_rev.exceptAll(want_rev).count() == 0 and want_rev.exceptAll(got_rev).count() == 0
 
 
+def _equal(a, b):
+    return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def _event(eid, kind, at, processed=None, **kw):
+    return dict(event_id=eid, user_id="u", session_id="s", event_type=kind, event_timestamp=at,
+                processing_timestamp=processed or at, product_id="p", category_id="c", category_name="C", price=5.0) | kw
+
+
+def test_transform_over_dates_with_a_gap_equals_batch(spark, tmp_dir):
+    """A late event of day 1 and one of day 3 come in one run: day 2 must be read, for the carts of day 1."""
+    t = dt.datetime(2024, 1, 1, 20)
+    h = dt.timedelta(hours=1)
+    first = [_event("cart1", "add_to_cart", t), _event("buy2", "purchase", t + 20 * h), _event("cart2", "add_to_cart", t + 21 * h),
+             _event("buy3", "purchase", t + 40 * h), _event("cart0", "add_to_cart", t - 22 * h)]
+    second = [_event("late1", "purchase", t + 1 * h), _event("late3", "purchase", t + 41 * h)]
+    products = silver.stg_products(td.products(spark, SF001))
+    wh = pipeline.Warehouse(os.path.join(tmp_dir, "wh"))
+    for k, rows in enumerate((first, second)):
+        path = os.path.join(tmp_dir, f"bronze{k}")
+        write_bronze(events(spark, rows), path)
+        out = pipeline.run_transform(spark, path, wh, "2024-01-05 00:00:00", f"r{k}", products=products, gate_suite=K.T,
+                                     lookback_start="200 hours")
+    assert out["touched_dates"] == [dt.date(2024, 1, 1), dt.date(2024, 1, 3)]
+    assert out["gold_dates"] == [dt.date(2023, 12, 31), dt.date(2024, 1, 1), dt.date(2024, 1, 2), dt.date(2024, 1, 3)]
+    enriched = silver.enrich_with_products(silver.stg_clickstream(events(spark, first + second)), products)
+    for name in ("fct_daily_revenue", "fct_conversion_funnel", "fct_cart_abandonment"):
+        want = getattr(gold, name)(enriched, audit=False)
+        assert _equal(spark.read.parquet(wh.path(name)).select(*want.columns), want), name
+
+
+def test_an_invalid_newest_copy_drops_its_event(spark, tmp_dir):
+    t = dt.datetime(2024, 1, 1, 12)
+    old = [_event("a", "purchase", t), _event("b", "purchase", t)]
+    new = [_event("a", "purchase", t, t + dt.timedelta(hours=1), user_id=None)]  # newest copy without a user
+    products = silver.stg_products(td.products(spark, SF001))
+    wh = pipeline.Warehouse(os.path.join(tmp_dir, "wh"))
+    path = os.path.join(tmp_dir, "bronze")
+    for k, rows in enumerate((old, new)):
+        write_bronze(events(spark, rows), path)
+        pipeline.run_transform(spark, path, wh, "2024-01-01 13:00:00", f"r{k}", products=products, gate_suite=K.T)
+    pipeline.run_transform(spark, path, wh, "2024-01-01 13:00:00", "again", products=products, gate_suite=K.T)
+    want = silver.stg_clickstream(events(spark, old + new)).select("event_id")
+    assert [r[0] for r in want.collect()] == ["b"]
+    assert _equal(spark.read.parquet(wh.path("stg_clickstream")).select("event_id"), want)
+    # the last valid event of a day goes: so does the day
+    write_bronze(events(spark, [_event("b", "none", t, t + dt.timedelta(hours=2))]), path)
+    pipeline.run_transform(spark, path, wh, "2024-01-01 13:00:00", "last", products=products, gate_suite=K.T)
+    assert spark.read.schema("event_id string").parquet(wh.path("stg_clickstream")).count() == 0
+    assert spark.read.schema("gross_revenue double").parquet(wh.path("fct_daily_revenue")).count() == 0
+
+
+def test_a_hot_user_and_type_fills_several_files(spark, tmp_dir):
+    t = dt.datetime(2024, 1, 1, 12)
+    hot = spark.range(40_000).select(
+        F.concat(F.lit("e"), "id").alias("event_id"), F.lit("u").alias("user_id"), F.lit("page_view").alias("event_type"),
+        F.lit(t).cast("timestamp_ntz").alias("event_timestamp"), F.lit(t.date()).alias("event_date"),
+    )
+    path = os.path.join(tmp_dir, "hot")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tables.materialize(hot, "hot_table", path=path, partition_by="event_date", cluster_by=("user_id", "event_type"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    per_file = [r["count"] for r in spark.read.parquet(path).groupBy(F.input_file_name()).count().collect()]
+    assert len(per_file) >= 6 and max(per_file) <= 2 * 40_000 / len(per_file) and sum(per_file) == 40_000
+
+
 def test_adjacent_hours_keep_both_slices_on_a_uri_root(spark, tmp_dir):
     bronze_path = os.path.join(tmp_dir, "bronze")
     write_bronze(td.bronze(spark, SF01), bronze_path)
