@@ -38,7 +38,7 @@ from .common import map_arrow, ship, stored
 from .shingles import window_hashes, word_hashes
 
 UNKNOWN = "und"
-CHUNK = 8 << 20
+CHUNK = 12 << 20
 SIEVE_BITS = 1 << 29
 RANGE_ROWS = 50_000
 MOST_RANGES = 4096
@@ -67,12 +67,12 @@ def folded(text: str | None) -> bytes:
     return b" ".join(data.replace(b"\n", b" . ").split())
 
 
-def phrase_counts(data: bytes, n: int, sieve: np.ndarray | None) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """(phrases, their hashes, their counts) of the runs of ``n`` words in folded text whose parts pass the sieve."""
+def phrase_counts(data: bytes, n: int, sieve: np.ndarray | None) -> tuple[list[bytes], np.ndarray]:
+    """(phrases, their counts) of the runs of ``n`` words in folded text whose parts pass the sieve."""
     words = word_hashes([data])[0]
     hashes = window_hashes(words, n)
     if not len(hashes):
-        return [], hashes, np.empty(0, np.int64)
+        return [], np.empty(0, np.int64)
     stops = np.concatenate(([0], np.cumsum(words == _STOP_HASH)))
     wanted = stops[n:] == stops[:-n]
     if sieve is not None:
@@ -86,7 +86,7 @@ def phrase_counts(data: bytes, n: int, sieve: np.ndarray | None) -> tuple[list[b
     spaces = np.flatnonzero(np.frombuffer(data, np.uint8) == 32)
     begins = np.concatenate(([0], spaces + 1))[at[first]].tolist()
     ends = np.concatenate((spaces, [len(data)]))[at[first] + n - 1].tolist()
-    return [data[a:b] for a, b in zip(begins, ends, strict=True)], found[first], counts
+    return [data[a:b] for a, b in zip(begins, ends, strict=True)], counts
 
 
 def passes(sieve: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -95,14 +95,14 @@ def passes(sieve: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 
 def _counter(n: int, sieve: np.ndarray | None):
-    names = ["lang", "phrase", "hash", "f"]
+    size = 1 << 17
 
     def rows(lang: str, texts: list[bytes]) -> Iterator[pa.RecordBatch]:
-        phrases, hashes, counts = phrase_counts(b" . ".join(texts), n, sieve)
-        for i in range(0, len(phrases), 1 << 17):
-            part = pa.array(phrases[i : i + (1 << 17)], pa.binary()).cast(pa.string())
-            own = hashes[i : i + (1 << 17)].view(np.int64), counts[i : i + (1 << 17)].astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(lang, pa.string()), len(part)), part, *map(pa.array, own)], names)
+        phrases, counts = phrase_counts(b" . ".join(texts), n, sieve)
+        for i in range(0, len(phrases), size):
+            part = pa.array(phrases[i : i + size], pa.binary()).cast(pa.string())
+            own = pa.repeat(pa.scalar(lang, pa.string()), len(part)), part, pa.array(counts[i : i + size].astype(np.int64))
+            yield pa.RecordBatch.from_arrays(list(own), ["lang", "phrase", "f"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list[bytes]] = {}
@@ -123,13 +123,26 @@ def _counter(n: int, sieve: np.ndarray | None):
     return run
 
 
-def _sieve_of(phrases: DataFrame, n: int) -> np.ndarray:
-    """Bits of the phrases' hashes, put together by Spark; at most ``SIEVE_BITS`` of them reach the driver."""
-    bits = min(SIEVE_BITS, 1 << max(15, (16 * n - 1).bit_length()))
+def _hashes_of(n: int):
+    """The hash of every phrase of ``n`` words, as ``phrase_counts`` takes it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = word_hashes([b" ".join(batch.column(0).cast(pa.binary()).to_pylist())])[0]
+            yield pa.RecordBatch.from_arrays([pa.array(window_hashes(words, n)[::n].view(np.int64))], ["hash"])
+
+    return run
+
+
+def _sieve_of(phrases: DataFrame, n: int, count: int) -> np.ndarray:
+    """Bits of the hashes of ``count`` phrases, put together by Spark; at most ``SIEVE_BITS`` of them reach the driver."""
+    bits = min(SIEVE_BITS, 1 << max(15, (16 * count - 1).bit_length()))
     place = F.shiftrightunsigned("hash", 65 - bits.bit_length())
-    rows = phrases.select(place.alias("place")).groupBy(F.shiftright("place", 15).alias("part"))
+    rows = phrases.select("phrase").mapInArrow(_hashes_of(n), "hash long").select(place.alias("place"))
     # the position of a number is counted from 1
-    rows = rows.agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("place") + 1)).alias("bits"))
+    rows = rows.groupBy(F.shiftright("place", 15).alias("part")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(F.col("place") + 1)).alias("bits")
+    )
     sieve = np.zeros(bits // 8, np.uint8)
     for r in rows.collect():
         sieve[r["part"] << 12 : (r["part"] + 1) << 12] |= np.frombuffer(r["bits"], np.uint8)
@@ -139,11 +152,11 @@ def _sieve_of(phrases: DataFrame, n: int) -> np.ndarray:
 def count_streams(docs: DataFrame, conf: Mining) -> tuple[DataFrame, DataFrame]:
     """(lang, words, f) of the frequent phrases of 1 to ``longest`` words, and (lang, total) of all words."""
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)), F.col("text").cast("string"))
-    kinds = "lang string, phrase string, hash long, f long"
+    kinds = "lang string, phrase string, f long"
     streams, totals, sieve = [], None, None
     for n in range(1, conf.longest + 1):
         counted = map_arrow(rows, _counter(n, sieve), kinds)
-        counted = counted.groupBy("lang", "phrase").agg(F.sum("f").alias("f"), F.min("hash").alias("hash"))
+        counted = counted.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
         if n == 1:
             counted = stored(counted, "words")
             totals = counted.groupBy("lang").agg(F.sum("f").alias("total"))
@@ -152,7 +165,7 @@ def count_streams(docs: DataFrame, conf: Mining) -> tuple[DataFrame, DataFrame]:
         found = frequent.count()
         if not found:
             break
-        sieve = _sieve_of(frequent, found)
+        sieve = _sieve_of(frequent, n, found)
     stream = streams[0]
     for part in streams[1:]:
         stream = stream.union(part)
