@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import contextvars
 import os
 import tempfile
 import uuid
 import zipfile
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from typing import TypeVar
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 T = TypeVar("T")
@@ -35,9 +37,44 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+_scratch: contextvars.ContextVar[str | None] = contextvars.ContextVar("scratch", default=None)
+
+
 def shared_folder(spark: SparkSession, label: str) -> str:
-    """A new folder path under the shared folder; nothing is created yet."""
-    return f"{shared_dir(spark)}/cartwheel-{label}-{uuid.uuid4().hex}"
+    """A new folder path under the open ``scratch`` folder or else the shared folder; nothing is created yet."""
+    return f"{_scratch.get() or shared_dir(spark)}/cartwheel-{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """A folder for all that operators store meanwhile, removed at the end.
+
+    Its owner is whoever opens it: results are read lazily, so write them elsewhere before it closes. Without one, stored
+    tables and files stay in the shared folder until whoever runs the application empties that.
+    """
+    folder = shared_folder(spark, "scratch")
+    held = _scratch.set(folder)
+    try:
+        yield folder
+    finally:
+        _scratch.reset(held)
+        at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def column(name: str) -> Column:
+    """The column of just this name, be there dots in it."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def whole_row(docs: DataFrame, label: str) -> Column:
+    """All columns of ``docs`` in one struct column."""
+    return F.struct(*[column(c).alias(c) for c in docs.columns]).alias(label)
+
+
+def unfolded(rows: DataFrame, label: str, names: list[str]) -> DataFrame:
+    """The columns ``names`` out of the struct column ``label`` and nothing else."""
+    return rows.select(*[F.col(label).getField(c).alias(c) for c in names])
 
 
 _shipped: set[str] = set()
@@ -70,6 +107,12 @@ def map_arrow(df: DataFrame, run, schema) -> DataFrame:
     return df.mapInArrow(sliced, schema)
 
 
+def map_same(df: DataFrame, run) -> DataFrame:
+    """``map_arrow`` with a function that returns the columns it is given, whatever their names: it sees them by place."""
+    plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    return map_arrow(plain, run, plain.schema).toDF(*df.columns)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it again: lineage ends there."""
     path = shared_folder(df.sparkSession, label)

@@ -16,6 +16,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import column, unfolded, whole_row
+
 SPACES = "\t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
@@ -149,13 +151,24 @@ def ablation(rows: DataFrame, policy: Policy) -> DataFrame:
 
 
 def judged(docs: DataFrame, policy: Policy = WEB) -> DataFrame:
-    """The ledger with ``base_failed`` and ``kept``: false if the base rules fail, else the policy's verdict."""
-    rows = ledger(docs)
-    return rows.withColumns({"base_failed": ~passes(BASE), "kept": passes(BASE) & passes(policy)})
+    """The ledger with ``base_failed``, ``kept`` (false if the base rules fail, else the policy's verdict), and the name and
+    version of the policy."""
+    return verdicts(ledger(docs), policy)
+
+
+def verdicts(rows: DataFrame, policy: Policy) -> DataFrame:
+    """A policy applied to a ledger, stored or not: nothing is measured again, whatever version of a policy comes."""
+    return rows.withColumns(
+        {
+            "base_failed": ~passes(BASE),
+            "kept": passes(BASE) & passes(policy),
+            "policy": F.lit(policy.name),
+            "version": F.lit(policy.version),
+        }
+    )
 
 
 def kept_documents(docs: DataFrame, policy: Policy = WEB) -> DataFrame:
     """The rows of ``docs`` that the policy keeps, with their own columns only."""
-    own = [F.col("_doc").getField(c).alias(c) for c in docs.columns]
-    rows = docs.select(F.struct(*docs.columns).alias("_doc"), "text")
-    return ledger(rows, ("_doc",)).where(passes(BASE) & passes(policy)).select(*own)
+    rows = docs.select(whole_row(docs, "_doc"), column("text"))
+    return unfolded(ledger(rows, ("_doc",)).where(passes(BASE) & passes(policy)), "_doc", docs.columns)
