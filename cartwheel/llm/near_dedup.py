@@ -7,10 +7,12 @@ with a chance equal to their Jaccard similarity, and a pair of them varies less
 1. One pass over the texts gives each document a 128-bit digest of its word sequence, its set size and its band
    keys. Each digest is a vertex, numbered once, whatever doc_ids its documents have.
 2. Vertices that share a band key are candidates. No pairs within a bucket are written out: every vertex of a
-   bucket is held against the bucket's smallest vertex, on full shingle sets.
+   bucket is held against the bucket's smallest vertex, on full shingle sets. The leader of a large bucket is sent to a
+   place for every ``STAR`` of its vertices.
 3. What a star can miss, a link between two vertices of a bucket that do not link to its smallest one, is left
    only in buckets that still hold several components. There, the vertices outside the bucket's largest
-   component are compared with all its vertices of other components, in blocks of bounded size inside tasks.
+   component meet the bucket's vertices of other components, in blocks of bounded size inside tasks: those that share one of
+   their rarest shingles are compared, and only links that put components together are given.
 4. Connected components of the confirmed links.
 
 With 26 bands of 5 rows, a pair at similarity 0.85 shares no band with a chance of about 2e-7; with 32 bands of
@@ -32,11 +34,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import by_bytes, map_arrow, ship, stored
+from .common import by_bytes, column, map_arrow, ship, stored, unfolded, whole_row
 from .components import connected_components
 from .shingles import PIECE_BYTES, min_max, mix, normalise, permutations, shingle_hashes, word_hashes
 
 BLOCK = 512
+STAR = 1024
 
 
 @dataclass(frozen=True)
@@ -100,19 +103,22 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) that link on their full sets."""
-    left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
+def _confirmed(stars: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of ``stars`` (leader, id, parts) that link on their full sets.
+
+    A leader of many vertices is sent to ``parts`` places, and each vertex to one of them.
+    """
+    pairs = stars.groupBy(F.col("leader").alias("a"), F.col("id").alias("b")).agg(F.max("parts").alias("parts"))
+    pairs = pairs.withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts")))
+    leaders = pairs.select("a", "parts").distinct()
+    leaders = leaders.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    left = leaders.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a")
+    right = pairs.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b")
     both = F.size(F.array_intersect("sa", "sb"))
-    near = F.lit(100) * F.least(F.size("sa"), F.size("sb")) >= F.lit(percent) * F.greatest(F.size("sa"), F.size("sb"))
     return (
-        pairs.join(left, "a")
-        .join(right, "b")
-        .where(near)
+        right.join(left, ["a", "parts", "part"])
         .where(F.lit(100) * both >= F.lit(percent) * (F.size("sa") + F.size("sb") - both))
         .select("a", "b")
-        .distinct()
     )
 
 
@@ -123,29 +129,59 @@ def _lists(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return flat.values.to_numpy()[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def _rarest(values: np.ndarray, ends: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(shingle, set) of the rarest shingles of every set, as many as a set that links with it can't all lack.
+
+    Two sets that link share ``percent`` of the larger one, so they share one of the n - percent * n + 1 shingles that come first
+    in any order that both keep; here the rarest come first.
+    """
+    sizes = np.diff(ends)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    _, kind, often = np.unique(values, return_inverse=True, return_counts=True)
+    order = np.lexsort((values, often[kind], owner))
+    rank = np.arange(len(values)) - np.repeat(ends[:-1], sizes)
+    first = rank < np.repeat(sizes - -(-percent * sizes // 100) + 1, sizes)
+    return values[order][first], owner[order][first]
+
+
 def _block_links(percent: int):
-    """Links between the ``outer`` and the ``inner`` vertices of one block, by their full sets."""
+    """Links between the ``outer`` and the ``inner`` vertices of one block that put components together.
+
+    Vertices meet by their rarest shingles only, and those that are connected by now are not compared again.
+    """
 
     def run(rows: pa.Table) -> pa.Table:
-        key = rows.column("key")[0].as_py()
         ids, components = (rows.column(c).to_numpy() for c in ("id", "component"))
         is_outer = rows.column("is_outer").to_numpy()
         values, ends = _lists(rows.column("shingles"))
-        bands, band_ends = _lists(rows.column("bands"))
         sizes = np.diff(ends)
-        inner = np.flatnonzero(~is_outer)
-        found: set[tuple[int, int]] = set()
-        for i in np.flatnonzero(is_outer):
+        shingles, owner = _rarest(values, ends, percent)
+        inner = ~is_outer[owner]
+        order = np.argsort(shingles[inner], kind="stable")
+        keys, holders = shingles[inner][order], owner[inner][order]
+        up: dict[int, int] = {}
+
+        def top(c: int) -> int:
+            while up.get(c, c) != c:
+                up[c] = c = up.get(up[c], up[c])
+            return c
+
+        found: list[tuple[int, int]] = []
+        bounds = np.searchsorted(owner, np.arange(len(sizes) + 1))
+        for i in np.flatnonzero(is_outer).tolist():
+            own = shingles[bounds[i] : bounds[i + 1]]
+            low, high = np.searchsorted(keys, own), np.searchsorted(keys, own, "right")
+            met = np.unique(np.concatenate([holders[a:b] for a, b in zip(low, high, strict=True)] or [holders[:0]]))
             n = sizes[i]
-            least, most = np.minimum(n, sizes[inner]), np.maximum(n, sizes[inner])
-            near = inner[(components[inner] != components[i]) & (100 * least >= percent * most)]
-            own, own_bands = values[ends[i] : ends[i + 1]], bands[band_ends[i] : band_ends[i + 1]]
-            for j in near:
-                if np.intersect1d(own_bands, bands[band_ends[j] : band_ends[j + 1]])[0] != key:
-                    continue  # compared in the first of its common buckets
-                both = len(np.intersect1d(own, values[ends[j] : ends[j + 1]], assume_unique=True))
+            near = 100 * np.minimum(n, sizes[met]) >= percent * np.maximum(n, sizes[met])
+            for j in met[near].tolist():
+                a, b = top(int(components[i])), top(int(components[j]))
+                if a == b:
+                    continue
+                both = len(np.intersect1d(values[ends[i] : ends[i + 1]], values[ends[j] : ends[j + 1]], assume_unique=True))
                 if 100 * both >= percent * (n + sizes[j] - both):
-                    found.add((int(ids[i]), int(ids[j])))
+                    up[max(a, b)] = min(a, b)
+                    found.append((int(ids[i]), int(ids[j])))
         return pa.table(
             {"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())}
         )
@@ -153,7 +189,7 @@ def _block_links(percent: int):
     return run
 
 
-def _missed_links(multi: DataFrame, components: DataFrame, sets: DataFrame, vertices: DataFrame, conf: NearDup):
+def _missed_links(multi: DataFrame, components: DataFrame, sets: DataFrame, conf: NearDup):
     """Links inside buckets that the star over their smallest vertex leaves in several components."""
     rest = multi.where("id <> leader").join(components, "id", "left")
     rest = stored(rest.select("key", "id", F.coalesce("component", "id").alias("component")).distinct(), "rest")
@@ -169,7 +205,8 @@ def _missed_links(multi: DataFrame, components: DataFrame, sets: DataFrame, vert
             F.ceil(F.col("n") / BLOCK).alias("inner_blocks"),
         )
     )
-    rows = stored(rest.join(open_buckets, "key"), "open")
+    # stored first, so that the join has two plain shuffles and AQE can part a hot key
+    rows = stored(rest.join(stored(open_buckets, "open-buckets"), "key"), "open")
     if rows.isEmpty():
         return None
 
@@ -184,7 +221,7 @@ def _missed_links(multi: DataFrame, components: DataFrame, sets: DataFrame, vert
         )
 
     blocks = spread("outer", "inner", True).unionByName(spread("inner", "outer", False))
-    blocks = blocks.join(vertices.select("id", "bands"), "id").join(sets, "id")
+    blocks = blocks.join(sets, "id")
     ship(blocks.sparkSession)
     return blocks.groupBy("key", "outer", "inner").applyInArrow(_block_links(conf.percent), "a long, b long").distinct()
 
@@ -194,7 +231,7 @@ def _grouped(docs: DataFrame, conf: NearDup, by_id: bool) -> DataFrame:
 
     The group of a row without words or without a doc_id is null. ``by_id`` links texts that share a doc_id.
     """
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = docs.select(column("doc_id").cast("long").alias("doc_id"), column("text").cast("string").alias("text"))
     texts = texts.withColumn("raw", F.xxhash64("text"))
     features = stored(map_arrow(texts, _features(conf), FEATURES), "features")
     full = features.where("n_shingles > 0 and doc_id is not null")
@@ -202,13 +239,19 @@ def _grouped(docs: DataFrame, conf: NearDup, by_id: bool) -> DataFrame:
     reps = stored(reps.withColumn("id", F.monotonically_increasing_id()), "vertices")
     vertices = full.join(reps, ["hi", "lo", "doc_id"]).dropDuplicates(["id"])
 
-    members = vertices.select("id", F.explode("bands").alias("key"))
-    buckets = members.groupBy("key").agg(F.min("id").alias("leader"), F.count("*").alias("n")).where("n > 1")
-    multi = stored(members.join(buckets.drop("n"), "key"), "buckets")
+    members = vertices.select("id", "n_shingles", F.explode("bands").alias("key"))
+    buckets = members.groupBy("key").agg(F.min(F.struct("id", "n_shingles")).alias("first"), F.count("*").alias("n"))
+    parts = F.floor(F.col("n") / STAR).cast("long") + 1
+    buckets = buckets.where("n > 1").select(
+        "key", F.col("first.id").alias("leader"), F.col("first.n_shingles").alias("most"), parts.alias("parts")
+    )
+    # stored first, so that the join has two plain shuffles and AQE can part a hot key
+    multi = stored(members.join(stored(buckets, "leaders"), "key"), "buckets")
     needed = vertices.select("id", "doc_id", "raw").join(multi.select("id").distinct(), "id", "left_semi")
     sets = texts.join(needed, ["doc_id", "raw"]).dropDuplicates(["doc_id", "raw"]).select("id", "text")
     sets = stored(map_arrow(sets, _sets, "id long, shingles array<long>"), "sets")
-    stars = multi.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
+    least, most = F.least("n_shingles", "most"), F.greatest("n_shingles", "most")
+    stars = multi.where((F.col("id") != F.col("leader")) & (F.lit(100) * least >= F.lit(conf.percent) * most))
     links = stored(_confirmed(stars, sets, conf.percent), "links")
 
     if by_id:
@@ -217,7 +260,7 @@ def _grouped(docs: DataFrame, conf: NearDup, by_id: bool) -> DataFrame:
         same_id = row_ids.join(repeated, "doc_id").select("a", F.col("id").alias("b"))
         links = stored(links.union(same_id), "links")
     components = connected_components(links)
-    missed = _missed_links(multi, components, sets, vertices, conf)
+    missed = _missed_links(multi, components, sets, conf)
     if missed is not None:
         missed = stored(missed, "missed")
         if not missed.isEmpty():
@@ -253,14 +296,16 @@ def near_duplicates(docs: DataFrame, conf: NearDup = NearDup()) -> DataFrame:
 def one_of_each(docs: DataFrame, conf: NearDup = NearDup()) -> DataFrame:
     """``docs`` with one row of each group of linked texts, the one of smallest doc_id; rows without a doc_id or
     without words stay. Among rows with one doc_id the least hash of the text decides, then the other columns."""
-    key = F.col("doc_id").cast("long")
-    has_words = F.coalesce(F.col("text").cast("string").rlike("[^\\x20\\x09-\\x0D]"), F.lit(False))
-    linked = F.col("doc_id").isNotNull() & has_words
+    has_words = F.coalesce(column("text").cast("string").rlike("[^\\x20\\x09-\\x0D]"), F.lit(False))
+    rows = docs.select(
+        whole_row(docs, "row"),
+        column("doc_id").cast("long").alias("id"),
+        F.xxhash64(column("text").cast("string")).alias("raw"),
+        (column("doc_id").isNotNull() & has_words).alias("linked"),
+    )
     first = _grouped(docs, conf, False).where("group is not null and doc_id = first_id")
-    first = first.groupBy("group", F.col("doc_id").alias("_id")).agg(F.min("raw").alias("_raw"))
-    others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    order = Window.partitionBy("_id", "_raw").orderBy(F.to_json(F.struct(*others)) if others else F.lit(0))
-    rows = docs.where(linked).withColumns({"_id": key, "_raw": F.xxhash64(F.col("text").cast("string"))})
-    rows = rows.join(first.select("_id", "_raw"), ["_id", "_raw"], "left_semi")
-    kept = rows.withColumn("_place", F.row_number().over(order)).where("_place = 1")
-    return kept.select(docs.columns).union(docs.where(~linked))
+    first = first.groupBy("group", F.col("doc_id").alias("id")).agg(F.min("raw").alias("raw"))
+    order = Window.partitionBy("id", "raw").orderBy(F.to_json("row"))
+    firsts = rows.where("linked").join(first.select("id", "raw"), ["id", "raw"], "left_semi")
+    firsts = firsts.withColumn("place", F.row_number().over(order)).where("place = 1").select("row")
+    return unfolded(firsts.union(rows.where("not linked").select("row")), "row", docs.columns)
