@@ -1,7 +1,8 @@
 """Token-id files: bit-plane shuffled, compressed blocks with a chunk index.
 
-``write`` sorts documents by (doc_id, text), encodes every whole text, appends the end id, and writes one file for
-each sorted partition into a shared folder. ``read`` gives the documents back from the files.
+``write`` sorts documents by (doc_id, text), encodes every whole text, appends the end id, and writes each sorted
+partition into a shared folder, a new file after every ``ROLL_IDS`` ids or ``ROLL_DOCS`` documents. ``read`` gives the documents
+back from the files.
 
 File layout (little-endian)::
 
@@ -16,11 +17,13 @@ id; each plane is compressed by itself, so the high planes, all but constant, ta
 any id range by the index.
 
 A file is written under a name of its own attempt and is part of the result only if the table of files, which Spark
-commits, names it: a task that is repeated on another executor leaves at most an unnamed file. Ranges are cut by
-doc_id, so a partition is bounded by rows, and tasks hold one chunk and one batch of texts at a time.
+commits, names it: a task that is repeated on another executor leaves at most an unnamed file. The number of ranges goes by the bytes of the texts
+(``PART_BYTES`` each; above ``MANY_PARTS`` of them they grow, to ``LARGE_PART_BYTES``). Ranges are cut by doc_id, the
+first ``PREFIX`` characters of the text and the row's number, so rows that share a doc_id, or have none, are parted too. A task
+holds one chunk, one batch of texts, and the ids and counts of the documents of one file.
 
 A null text counts as empty and gives the end id alone. Rows that repeat a doc_id are documents of their own, in
-order of text; a null doc_id comes first. An empty table gives no documents.
+order of text (where they are cut over partitions, of its first ``PREFIX`` characters); a null doc_id comes first. An empty table gives no documents.
 """
 
 from __future__ import annotations
@@ -40,12 +43,19 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_arrow, open_fs, shared_folder, stored
+from .common import column, map_arrow, open_fs, shared_folder, stored
 from .token_counts import Memory, byte_alphabet
 
 MAGIC = b"CWTOK1\0\0"
 FOOTER = struct.Struct("<8Q")
 BLOCK = 1 << 16
+PART_BYTES = 32 << 20
+MANY_PARTS = 4096
+LARGE_PART_BYTES = 512 << 20
+PREFIX = 32
+ROLL_IDS = 1 << 28
+ROLL_DOCS = 1 << 20
+ROWS = 8192
 ODD = re.compile("[\x1c-\x1f]")
 #: The normalizer and pre-tokenizer that lets words be encoded apart.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -54,7 +64,7 @@ WORD_NORMALIZERS = [
     {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
     {"type": "Lowercase"},
 ]
-FILES = "path string, number int, n_ids long, n_docs long"
+FILES = "path string, number long, n_ids long, n_docs long"
 
 
 class WordEncoder:
@@ -178,6 +188,7 @@ class FileWriter:
         self.squeeze = zstandard.ZstdCompressor(level=level).compress
         self.at = 0
         self.held = bytearray()
+        self.n_ids = 0
         self.index: list[tuple] = []
         self.doc_ids: list[int | None] = []
         self.counts: list[int] = []
@@ -196,6 +207,7 @@ class FileWriter:
     def add(self, doc_id: int | None, ids: bytes) -> None:
         self.doc_ids.append(doc_id)
         self.counts.append(len(ids) // 4)
+        self.n_ids += len(ids) // 4
         self.held += ids
         while len(self.held) >= 4 * BLOCK:
             self._chunk(bytes(self.held[: 4 * BLOCK]))
@@ -274,7 +286,15 @@ class TokenFiles:
 
 
 def write(
-    docs: DataFrame, path: str, end_id: int, folder: str | None = None, bits: bool = False, level: int = 3
+    docs: DataFrame,
+    path: str,
+    end_id: int,
+    folder: str | None = None,
+    bits: bool = False,
+    level: int = 3,
+    roll_ids: int = ROLL_IDS,
+    roll_docs: int = ROLL_DOCS,
+    partitions: int | None = None,
 ) -> TokenFiles:
     """Encode and write ``docs`` (doc_id, text) in ascending doc_id order; ``path``: the tokenizer file."""
     spark = docs.sparkSession
@@ -284,27 +304,38 @@ def write(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        number = TaskContext.get().partitionId()
+        number = TaskContext.get().partitionId() << 32
+        kinds = pa.schema({"path": pa.string(), "number": pa.int64(), "n_ids": pa.int64(), "n_docs": pa.int64()})
         writer, name, encode = None, "", encoder(path).encode
+
+        def closed() -> pa.RecordBatch:
+            total = writer.close()
+            row = {"path": f"{folder}/{name}", "number": number, "n_ids": total, "n_docs": len(writer.counts)}
+            return pa.RecordBatch.from_pylist([row], kinds)
+
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if writer is None:
                     files, inside = open_fs(folder)
                     files.create_dir(inside, recursive=True)
-                    name = f"tokens-{number:06d}-{uuid.uuid4().hex}.bin"
+                    name = f"tokens-{number >> 32:06d}-{uuid.uuid4().hex}.bin"
                     writer = FileWriter(files.open_output_stream(f"{inside}/{name}"), bits, level)
                 writer.add(doc_id, encode(text) + end)
+                if writer.n_ids >= roll_ids or len(writer.counts) >= roll_docs:
+                    yield closed()
+                    writer, number = None, number + 1
         if writer is not None:
-            total = writer.close()
-            row = {"path": f"{folder}/{name}", "number": number, "n_ids": total, "n_docs": len(writer.counts)}
-            kinds = {"path": pa.string(), "number": pa.int32(), "n_ids": pa.int64(), "n_docs": pa.int64()}
-            yield pa.RecordBatch.from_pylist([row], pa.schema(kinds))
-
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = rows.repartitionByRange(shuffles, "doc_id").sortWithinPartitions("doc_id", "text")
+            yield closed()
+
+    rows = docs.select(column("doc_id").cast("long").alias("doc_id"), column("text").cast("string").alias("text"))
+    if partitions is None:
+        size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+        partitions = 1 + max(min(size // PART_BYTES, MANY_PARTS), size // LARGE_PART_BYTES)
+    rows = rows.withColumn("row", F.monotonically_increasing_id())
+    ordered = rows.repartitionByRange(partitions, "doc_id", F.substring("text", 1, PREFIX), "row")
+    ordered = ordered.sortWithinPartitions("doc_id", "text").select("doc_id", "text")
     files = stored(map_arrow(ordered, run, FILES), "token-index")
-    # a row a file: as many as shuffle partitions at most
+    # a row a file: no more than the ranges, and one for every ROLL_IDS ids or ROLL_DOCS documents
     starts, total = [], 0
     for f in sorted(files.collect(), key=lambda f: f["number"]):
         starts.append((f["path"], f["number"], f["n_ids"], f["n_docs"], total))
@@ -322,18 +353,20 @@ def read(spark: SparkSession, written: TokenFiles) -> DataFrame:
                 files, inside = open_fs(path)
                 with files.open_input_file(inside) as source:
                     reader = FileReader(source)
-                    at, crcs, starts = 0, [], []
-                    for n in map(int, reader.counts):
-                        crc = 0
-                        for piece in reader.ids(at, at + n):
-                            crc = zlib.crc32(piece.astype("<u4").tobytes(), crc)
-                        crcs.append(crc)
-                        starts.append(start + at)
-                        at += n
-                    columns = (reader.doc_ids, starts, reader.counts.astype(np.int64), crcs)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, pa.int64()) for c in columns], ["doc_id", "start", "n_tokens", "ids_crc32"]
-                    )
+                    at = 0
+                    for k in range(0, len(reader.counts), ROWS):
+                        counts, crcs, starts = reader.counts[k : k + ROWS], [], []
+                        for n in map(int, counts):
+                            crc = 0
+                            for piece in reader.ids(at, at + n):
+                                crc = zlib.crc32(piece.astype("<u4").tobytes(), crc)
+                            crcs.append(crc)
+                            starts.append(start + at)
+                            at += n
+                        columns = (reader.doc_ids[k : k + ROWS], starts, counts.astype(np.int64), crcs)
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(c, pa.int64()) for c in columns], ["doc_id", "start", "n_tokens", "ids_crc32"]
+                        )
 
     files = written.files.select("path", "start")
     n = max(1, written.files.count())
