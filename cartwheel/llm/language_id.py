@@ -4,32 +4,33 @@ For each language a raw-content zstandard dictionary is cut from labelled texts.
 ``PIECE`` bytes, every piece is compressed with every dictionary, and the language with the smallest total
 wins. The score sets the winner against the runner-up; an operator caller may reject narrow margins.
 
-Learning takes at most ``DICTIONARY`` bytes a language, ``SNIPPET`` characters from each of the first texts in hash
-order, at a place that a hash of the text chooses: a bounded sample, the same at every size of the table. The dictionaries are the only data sent to the
-tasks, ``MOST_LANGUAGES * DICTIONARY`` bytes at most.
+Learning considers every piece of ``SNIPPET`` characters of every labelled text. A language's dictionary is made of its distinct
+pieces of least hash, ``DICTIONARY`` bytes of them: a place in a long text counts like any other, and copies count
+once. Only the dictionaries reach the driver and the tasks: ``ALL_DICTIONARIES`` bytes at most, shared out if there are
+more languages than fit at full size, and ``MOST_LANGUAGES`` of them (those with most text; a dirty column has many rare values).
 
-A text that is null or has no letter is ``und`` with score 0. With no learned language every text is ``und``.
+A text that is null or has no letter (a character of a Unicode letter category) is ``und`` with score 0. With no learned language every text is ``und``.
 Equal sizes go to the language first in alphabetical order. Rows are independent of each other.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_arrow
+from .common import column, map_arrow
 
 DICTIONARY = 96 * 1024
 SNIPPET = 1024
 PIECE = 4096
 LEVEL = 6
-MOST_LANGUAGES = 200
+ALL_DICTIONARIES = 200 * DICTIONARY
+MOST_LANGUAGES = 2000
+SPARE = 8  # pieces looked at for one that is taken
 UNKNOWN = "und"
-LETTER = re.compile(r"[^\W\d_]")
 _KEEP = bytes(b if chr(b).isalpha() or b > 127 else 32 for b in range(256))
 
 
@@ -38,24 +39,35 @@ def letters(text: str) -> bytes:
     return b" ".join(text.lower().encode("utf-8", "surrogatepass").translate(_KEEP).split())
 
 
+def has_letter(text: str | None) -> bool:
+    return text is not None and any(map(str.isalpha, text))
+
+
 def learn(rows: DataFrame) -> dict[str, bytes]:
-    """Dictionary content of each language from rows (doc_id, text, lang)."""
-    text = F.col("text").cast("string")
-    starts = F.greatest(F.char_length(text) - SNIPPET + 1, F.lit(1))
-    snippet = F.substring(text, F.pmod(F.xxhash64(text), starts).cast("int") + 1, F.lit(SNIPPET))
-    usable = rows.where("lang is not null and text is not null and char_length(text) > 0")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id", "_snippet")
-    sample = (
-        usable.select("lang", "doc_id", snippet.alias("_snippet"))
-        .withColumn("_n", F.row_number().over(order))
-        .where(F.col("_n") <= 4 * DICTIONARY // SNIPPET)
-    )
-    texts: dict[str, list[bytes]] = {}
-    for r in sample.select("lang", "_n", "_snippet").toLocalIterator():
-        texts.setdefault(r["lang"], []).append((r["_n"], letters(r["_snippet"])))
-        if len(texts) > MOST_LANGUAGES:
-            raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    return {k: b" ".join(t for _, t in sorted(v))[:DICTIONARY] for k, v in sorted(texts.items())}
+    """Dictionary content of each language from rows (text, lang)."""
+    text = column("text").cast("string")
+    usable = rows.select(column("lang").cast("string").alias("lang"), text.alias("text"))
+    usable = usable.where("lang is not null and char_length(text) > 0")
+    cut = F.regexp_extract_all("text", F.lit(f"(?s).{{1,{SNIPPET}}}"), F.lit(0))
+    pieces = usable.select("lang", F.explode(cut).alias("piece")).withColumn("hash", F.xxhash64("piece"))
+    share = F.approx_count_distinct("hash")
+    known = pieces.groupBy("lang").agg(share.alias("n"), F.sum(F.char_length("piece")).alias("size"))
+    known = known.orderBy(F.desc("size"), "lang").limit(MOST_LANGUAGES).collect()
+    if not known:
+        return {}
+    limit = min(DICTIONARY, ALL_DICTIONARIES // len(known))
+    wanted = -(-limit // SNIPPET) * 4  # letters may be few in a piece
+    # least hashes: a bound on the hash leaves enough pieces of every language, whatever its size
+    bounds = {r["lang"]: min(1.0, SPARE * wanted / max(1, r["n"])) for r in known}
+    table = rows.sparkSession.createDataFrame(list(bounds.items()), "lang string, share double")
+    level = (F.col("hash").cast("double") / 2.0**64) + 0.5
+    near = pieces.join(F.broadcast(table), "lang").where(level <= F.col("share")).drop("share")
+    order = Window.partitionBy("lang").orderBy("hash", "piece")
+    sample = near.distinct().withColumn("n", F.row_number().over(order)).where(F.col("n") <= wanted)
+    texts: dict[str, list[tuple[int, bytes]]] = {}
+    for r in sample.select("lang", "n", "piece").toLocalIterator():
+        texts.setdefault(r["lang"], []).append((r["n"], letters(r["piece"])))
+    return {k: b" ".join(t for _, t in sorted(v) if t)[:limit] for k, v in sorted(texts.items())}
 
 
 class Classifier:
@@ -75,7 +87,7 @@ class Classifier:
 
     def classify(self, text: str | None) -> tuple[str, float, float]:
         """(language, score, margin): score is the runner-up's share of the two best sizes, margin their gap."""
-        if text is None or not self.languages or not LETTER.search(text):
+        if not self.languages or not has_letter(text):
             return UNKNOWN, 0.0, 0.0
         data = letters(text)
         pieces = [data[i : i + PIECE] for i in range(0, len(data), PIECE)]
@@ -96,7 +108,7 @@ def identify(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classify = Classifier(dictionaries).classify
         for batch in batches:
-            found = [classify(t) for t in batch.column("_text").to_pylist()]
+            found = [classify(t) for t in batch.column(len(keep)).to_pylist()]
             columns = [
                 pa.array([f[0] for f in found], pa.string()),
                 pa.array([f[1] for f in found], pa.float64()),
@@ -108,6 +120,6 @@ def identify(
                 [*keep, "lang_pred", "score", "margin", "rejected"],
             )
 
-    rows = docs.select(*keep, F.col("text").cast("string").alias("_text"))
+    rows = docs.select(*[column(c) for c in keep], column("text").cast("string").alias("_text"))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
     return map_arrow(rows, run, f"{kinds}, lang_pred string, score double, margin double, rejected boolean")
