@@ -2,14 +2,17 @@
 
 The base patterns give the spans ``assign``, ``access`` and ``hex``. The method adds ``random`` spans: strings of
 ``CANDIDATE`` characters that look drawn at random from their alphabet. A string's encoding is inferred (hex, base32 or
-base64) and three tests are run on its places in that alphabet: chi-squared for uniform use of it, runs above and
-below the median, and serial correlation. Their p-values are joined by Fisher's rule into one: small for strings with
-the structure of language, spread evenly for random ones.
-
-Short strings carry little evidence, so the threshold depends on length. In each class of length, words (strings
-of letters in one case, capitalised or not) are the known false cases: the threshold is the least p-value at which the share
-of words that pass, times the candidates, is at most ``FALSE_DISCOVERY`` of the candidates that pass. The histograms
-behind it count every document. It is never under ``LEAST_P``.
+base64) and three tests are run under draws at random from it: chi-squared for uniform use of the alphabet, whose cells part the
+cases, digits, and letters that are common or rare in writing; the number of runs of one kind of character; and serial
+correlation, how often vowels and consonants alternate. Fisher's rule joins their p-values into one: tiny for strings that
+are written, spread evenly for random ones.
+
+False discoveries are controlled in each class of length, as short strings carry little evidence. The known false cases are
+``NULL_DRAWS`` structured strings a class, drawn from ``NULL_WORDS`` by fixed rules: slugs, paths, identifiers in several styles, run-on words,
+with numbers here and there. At a threshold t, the share of these that pass, times the candidates of the class, bounds the false
+ones among them; the threshold is the least t at which this is at most ``FALSE_DISCOVERY`` of the candidates that pass. A class
+with too little evidence is pooled with its neighbours, and if no threshold will do, nothing is added there. The histograms behind it
+count every document.
 
 A null or empty text has no spans. Spans are in code points, end exclusive. Rows are independent of each other.
 """
@@ -18,16 +21,18 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random
 import re
 from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow
+from .common import column, map_arrow, map_same
 
 ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII
@@ -40,17 +45,33 @@ KINDS = ("assign", "access", "hex", "random")
 LEAST_LENGTH = 20
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}")
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
-ALPHABETS = {
-    "hex": "0123456789abcdef",
-    "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
-    "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
+#: Letters by how often they are written in the languages of western Europe, and the vowels.
+COMMON, MIDDLE, RARE = "etaoinsr", "hldcumfpg", "wybvkxjqz"
+VOWELS = "aeiou"
+#: Cells of equal draws, and kinds of character whose runs are counted, by encoding.
+CELLS = {
+    "hex": ("01234", "56789", "ae", "bcdf"),
+    "base32": (COMMON.upper(), MIDDLE.upper(), RARE.upper(), "234567"),
+    "base64": (COMMON, MIDDLE, RARE, COMMON.upper(), MIDDLE.upper(), RARE.upper(), "0123456789+/"),
 }
-PLACES = {name: {c: i for i, c in enumerate(chars)} for name, chars in ALPHABETS.items()}
+LETTERS = {"hex": ("0123456789", "abcdef"), "base32": ("234567", (COMMON + MIDDLE + RARE).upper())}
+LETTERS["base64"] = ("0123456789+/", COMMON + MIDDLE + RARE, (COMMON + MIDDLE + RARE).upper())
+CELL_OF = {name: {c: k for k, cell in enumerate(cells) for c in cell} for name, cells in CELLS.items()}
+KIND_OF = {name: {c: k for k, kind in enumerate(kinds) for c in kind} for name, kinds in LETTERS.items()}
 LENGTHS = (20, 24, 32, 48, 64, 128)
-LEAST_P = 0.001
 FALSE_DISCOVERY = 0.01
-BINS = 48
-BINS_A_DECADE = 4
+BINS = 96
+BINS_A_DECADE = 16
+NULL_DRAWS = 4000
+NULL_SEED = 7
+#: What structured strings are made of; any written words will do.
+NULL_WORDS = (
+    "server client request response user account session data model train test index value config build deploy cache queue "
+    "stream table report update create delete search result image header content message handler manager service factory "
+    "quarterly analysis introduction weather mountain children government development international communication "
+    "strasse freundschaft entwicklung gesellschaft wirtschaft maison travail semaine toujours bibliotheque "
+    "ciudad trabajo historia desarrollo siempre universidad www com org html php main src lib usr bin home docs api"
+).split()
 
 Span = tuple[str, int, int]
 
@@ -69,12 +90,12 @@ def base_spans(text: str) -> list[Span]:
 
 def encoding(string: str) -> str | None:
     """The smallest alphabet that holds the string; None for plain numbers."""
-    bare = string.rstrip("=")
-    if bare.isdigit():
+    bare = set(string.rstrip("="))
+    if bare <= set("0123456789"):
         return None
-    if set(bare) <= PLACES["hex"].keys() or set(bare) <= set("0123456789ABCDEF"):
+    if bare <= KIND_OF["hex"].keys() or bare <= set("0123456789ABCDEF"):
         return "hex"
-    if set(bare) <= PLACES["base32"].keys():
+    if bare <= KIND_OF["base32"].keys():
         return "base32"
     return "base64"
 
@@ -93,58 +114,90 @@ def _chi_squared_tail(x: float, k: int) -> float:
     return 0.5 * math.erfc(z / math.sqrt(2))
 
 
+def _pairs_p(hits: int, pairs: int, chance: float, both: float) -> float:
+    """Two-sided p-value of ``hits`` among ``pairs`` neighbours; ``both``: the chance that two pairs with a common character hit."""
+    if pairs < 2:
+        return 1.0
+    spread = pairs * chance * (1 - chance) + 2 * (pairs - 1) * (both - chance * chance)
+    return _normal_two_sided((hits - pairs * chance) / math.sqrt(max(spread, 1e-9)))
+
+
 def randomness(string: str, name: str) -> float:
     """Joint p-value of the three tests, under draws at random from the alphabet ``name``."""
-    places = PLACES[name]
     bare = string.rstrip("=").replace("-", "+").replace("_", "/")
-    at = [places[c] for c in (bare.lower() if name == "hex" else bare) if c in places]
-    n, size = len(at), len(places)
+    bare = bare.lower() if name == "hex" else bare
+    cell_of, kind_of = CELL_OF[name], KIND_OF[name]
+    chars = [c for c in bare if c in cell_of]
+    n, size = len(chars), len(cell_of)
     if n < 8:
         return 0.0
-    cells = max(2, min(size, n // 5))
-    counts = Counter(a * cells // size for a in at)
-    widths = Counter(a * cells // size for a in range(size))
-    chi = sum((counts[c] - n * w / size) ** 2 / (n * w / size) for c, w in widths.items())
-    uniform = _chi_squared_tail(chi, cells - 1) if cells > 2 else _normal_two_sided(math.sqrt(chi))
-    high = [a >= size // 2 for a in at]
-    n1 = sum(high)
-    n0 = n - n1
-    if not n0 or not n1:
-        runs = 2.0 ** (1 - n)
-    else:
-        expected = 1 + 2 * n0 * n1 / n
-        spread = math.sqrt(max(1e-9, (expected - 1) * (expected - 2) / (n - 1)))
-        runs = _normal_two_sided((1 + sum(a != b for a, b in zip(high, high[1:], strict=False)) - expected) / spread)
-    mean = sum(at) / n
-    total = sum((a - mean) ** 2 for a in at)
-    if not total:
-        serial = 0.0
-    else:
-        r = sum((a - mean) * (b - mean) for a, b in zip(at, at[1:], strict=False)) / total
-        serial = _normal_two_sided((r + 1 / n) * math.sqrt(n))
-    fisher = -2 * sum(math.log(max(p, 1e-300)) for p in (uniform, runs, serial))
-    half = fisher / 2
+    counts = Counter(map(cell_of.__getitem__, chars))
+    wanted = [n * len(cell) / size for cell in CELLS[name]]
+    chi = sum((counts[k] - w) ** 2 / w for k, w in enumerate(wanted))
+    uniform = _chi_squared_tail(chi, len(wanted) - 1)
+    shares = [len(kind) / size for kind in LETTERS[name]]
+    kinds = [kind_of[c] for c in chars]
+    same = sum(p * p for p in shares)
+    alike = sum(a == b for a, b in zip(kinds, kinds[1:], strict=False))
+    runs = _pairs_p(alike, n - 1, same, sum(p**3 for p in shares))
+    # vowels and consonants, where two letters follow each other
+    vowel = [None if kind == 0 else c.lower() in VOWELS for c, kind in zip(chars, kinds, strict=True)]
+    pairs = [(a, b) for a, b in zip(vowel, vowel[1:], strict=False) if a is not None and b is not None]
+    v = 2 / 6 if name == "hex" else 5 / 26
+    serial = _pairs_p(sum(a != b for a, b in pairs), len(pairs), 2 * v * (1 - v), v * (1 - v))
+    half = -sum(math.log(max(p, 1e-300)) for p in (uniform, runs, serial))
     return math.exp(-half) * (1 + half + half * half / 2)
 
 
-def candidates(text: str) -> Iterator[tuple[int, int, int, bool, float]]:
-    """(start, end, length class, is a word, p-value) of each candidate string."""
+def candidates(text: str) -> Iterator[tuple[int, int, int, float]]:
+    """(start, end, length class, p-value) of each candidate string; words and plain numbers are none."""
     if not any(len(w) >= LEAST_LENGTH for w in text.split()):
         return
     for m in CANDIDATE.finditer(text):
         string = m.group()
         name = encoding(string)
-        if name is None:
-            continue
-        is_word = WORD.fullmatch(string) is not None
-        p = randomness(string, "base64" if is_word else name)
-        yield (*m.span(), bisect_right(LENGTHS, len(string)) - 1, is_word, p)
+        if name is not None and not WORD.fullmatch(string):
+            yield (*m.span(), bisect_right(LENGTHS, len(string)) - 1, randomness(string, name))
 
 
 def p_bin(p: float) -> int:
     return min(BINS - 1, int(-BINS_A_DECADE * math.log10(max(p, 1e-300))))
 
 
+def structured(pick: random.Random, length: int) -> str:
+    """A string of ``length`` characters as people and programs write them."""
+    style = pick.choice(("slug", "snake", "path", "camel", "Camel", "CONST", "flat", "query"))
+    joint = {"slug": "-", "snake": "_", "path": "/", "CONST": "_", "query": pick.choice("=-_/+")}.get(style, "")
+    parts: list[str] = ["", ""] if style == "path" and pick.random() < 0.5 else []
+    while sum(map(len, parts)) + len(joint) * len(parts) < length + 1:
+        if parts and pick.random() < 0.12:
+            part = str(pick.choice((pick.randrange(10), pick.randrange(100), pick.randrange(1990, 2030), pick.randrange(10**6))))
+        else:
+            part = pick.choice(NULL_WORDS)
+        if style == "CONST":
+            part = part.upper()
+        elif style == "Camel" or style == "camel" and parts:
+            part = part.capitalize()
+        parts.append(part)
+    return joint.join(parts)[:length]
+
+
+@lru_cache(maxsize=1)
+def null_histograms() -> list[Counter]:
+    """Counts of p-value bins of structured strings, by length class."""
+    pick, found = random.Random(NULL_SEED), []
+    for k, least in enumerate(LENGTHS):
+        most = LENGTHS[k + 1] if k + 1 < len(LENGTHS) else 2 * least
+        seen: Counter = Counter()
+        while seen.total() < NULL_DRAWS:
+            string = structured(pick, pick.randrange(least, most))
+            name = encoding(string)
+            if name is not None and not WORD.fullmatch(string) and CANDIDATE.fullmatch(string):
+                seen[p_bin(randomness(string, name))] += 1
+        found.append(seen)
+    return found
+
+
 def fit(docs: DataFrame) -> list[float]:
     """The p-value threshold of each length class, from counts over all documents (bounded histograms)."""
 
@@ -152,32 +205,42 @@ def fit(docs: DataFrame) -> list[float]:
         seen: Counter = Counter()
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                seen.update((c, w, p_bin(p)) for _, _, c, w, p in candidates(text or ""))
+                seen.update((k, p_bin(p)) for _, _, k, p in candidates(text or ""))
         rows = sorted(seen.items())
-        columns = [[k[0] for k, _ in rows], [k[1] for k, _ in rows], [k[2] for k, _ in rows], [n for _, n in rows]]
-        kinds = (pa.int32(), pa.bool_(), pa.int32(), pa.int64())
+        columns = [[k[0] for k, _ in rows], [k[1] for k, _ in rows], [n for _, n in rows]]
+        kinds = (pa.int32(), pa.int32(), pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["class", "is_word", "bin", "n"]
+            [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["class", "bin", "n"]
         )
 
-    counted = map_arrow(docs.select(F.col("text").cast("string")), run, "class int, is_word boolean, bin int, n long")
-    rows = counted.groupBy("class", "is_word", "bin").agg(F.sum("n").alias("n")).collect()
-    return thresholds({(r["class"], r["is_word"], r["bin"]): r["n"] for r in rows})
+    counted = map_arrow(docs.select(column("text").cast("string")), run, "class int, bin int, n long")
+    rows = counted.groupBy("class", "bin").agg(F.sum("n").alias("n")).collect()
+    return thresholds({(r["class"], r["bin"]): r["n"] for r in rows})
 
 
-def thresholds(histogram: dict[tuple[int, bool, int], int]) -> list[float]:
-    """The least p-value of each class at which the estimated share of false discoveries is small enough."""
-    out = []
-    for k in range(len(LENGTHS)):
-        words = [histogram.get((k, True, b), 0) for b in range(BINS)]
-        others = [histogram.get((k, False, b), 0) for b in range(BINS)]
-        best = math.inf
+def thresholds(histogram: dict[tuple[int, int], int], null: list[Counter] | None = None) -> list[float]:
+    """The least p-value of each class that keeps the bound on false discoveries; infinite where none does."""
+    null = null or null_histograms()
+
+    def least(classes: range) -> float:
+        seen, known, best = Counter(), Counter(), math.inf
+        for k in classes:
+            seen.update({b: histogram.get((k, b), 0) for b in range(BINS)})
+            known.update(null[k])
+        passed = false = 0
         for b in range(BINS):
-            passed = sum(others[: b + 1])
-            false = (sum(words[: b + 1]) + 1) / (sum(words) + 1) * sum(others) if sum(words) else 0.0
-            if passed and sum(words) and sum(words[: b + 1]) == 0 or passed and false <= FALSE_DISCOVERY * passed:
+            passed, false = passed + seen[b], false + known[b]
+            if passed and (false + 1) / (known.total() + 1) * seen.total() <= FALSE_DISCOVERY * passed:
                 best = 10 ** (-(b + 1) / BINS_A_DECADE)
-        out.append(max(LEAST_P, best))
+        return best
+
+    out = []
+    for k in range(len(LENGTHS)):
+        reach, best = 0, least(range(k, k + 1))
+        while math.isinf(best) and reach < len(LENGTHS):
+            reach += 1
+            best = least(range(max(0, k - reach), min(len(LENGTHS), k + reach + 1)))
+        out.append(best)
     return out
 
 
@@ -188,8 +251,8 @@ def scan_text(text: str | None, least_p: list[float]) -> tuple[list[Span], list[
     base = base_spans(text)
     added = [
         ("random", a, b)
-        for a, b, k, is_word, p in candidates(text)
-        if not is_word and p >= least_p[k] and not any(s <= a and b <= e for _, s, e in base)
+        for a, b, k, p in candidates(text)
+        if p >= least_p[k] and not any(s <= a and b <= e for _, s, e in base)
     ]
     return base, sorted([*base, *added], key=lambda s: (s[1], KINDS.index(s[0])))
 
@@ -215,7 +278,7 @@ def scan(docs: DataFrame, least_p: list[float]) -> DataFrame:
                 [batch.column(0), *arrays], ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"]
             )
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = docs.select(column("doc_id").cast("long").alias("doc_id"), column("text").cast("string").alias("text"))
     kinds = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string"
     return map_arrow(rows, run, kinds)
 
@@ -244,8 +307,8 @@ def redact(docs: DataFrame, least_p: list[float], mark: str = "[SECRET]") -> Dat
             columns[place] = pa.array(texts, batch.schema.field(place).type)
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
-    done = map_arrow(docs, run, docs.schema)
+    done = map_same(docs, run)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        done = done.withColumn("n_chars", F.char_length("text").cast(kind))
+        done = done.withColumn("n_chars", F.char_length(column("text")).cast(kind))
     return done
