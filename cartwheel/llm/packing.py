@@ -5,7 +5,8 @@ Documents are cut into segments of at most ``context`` tokens, so the histogram
 least padding in all. Inside a bucket, segments in a fixed order fill batches of ``token_budget`` padded tokens.
 
 The place of a segment in its bucket is a global rank made in two levels, places within hash chunks of about
-``CHUNK`` segments plus the sizes of the chunks before, so that a bucket with a third of all rows is spread over tasks.
+``CHUNK`` segments plus the sizes of the chunks before. Chunks go by the segment's number in the stored table, so a bucket, a
+doc_id or null ids with a third of all rows are spread over tasks.
 
 Documents without tokens (null or empty texts) take part with one row of length 0 and no bucket or batch. Rows that
 repeat a doc_id are packed each for itself; a null doc_id is packed like any other.
@@ -91,7 +92,8 @@ def segments(lengths: DataFrame, context: int) -> DataFrame:
 
 def pack(lengths: DataFrame, conf: Packing = Packing()) -> DataFrame:
     """doc_id, segment, start, length, bucket_length, batch and place of every segment of rows (doc_id, n_tokens)."""
-    cut = stored(segments(lengths, conf.context), "segments")
+    # numbered before they are stored, so rows that share a doc_id can be parted and a repeated task deals them alike
+    cut = stored(segments(lengths, conf.context).withColumn("_row", F.monotonically_increasing_id()), "segments")
     full = cut.where("length > 0")
     histogram = {r["length"]: r["n"] for r in full.groupBy("length").agg(F.count("*").alias("n")).collect()}
     bounds = boundaries(histogram, conf.buckets)
@@ -102,12 +104,12 @@ def pack(lengths: DataFrame, conf: Packing = Packing()) -> DataFrame:
     rows = full.select(
         "*",
         bucket.alias("bucket_length"),
-        F.pmod(F.xxhash64("doc_id", "segment"), F.lit(chunks)).alias("_chunk"),
+        F.pmod(F.xxhash64("_row"), F.lit(chunks)).alias("_chunk"),
     )
     sizes = rows.groupBy("bucket_length", "_chunk").agg(F.count("*").alias("_n"))
     earlier = Window.partitionBy("bucket_length").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.select("bucket_length", "_chunk", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    within = Window.partitionBy("bucket_length", "_chunk").orderBy("doc_id", "segment", "length")
+    within = Window.partitionBy("bucket_length", "_chunk").orderBy("doc_id", "segment", "length", "_row")
     ranked = rows.withColumn("_rank", F.row_number().over(within) - 1).join(sizes, ["bucket_length", "_chunk"])
     place = F.col("_rank") + F.col("_before")
     rows_a_batch = F.greatest(F.lit(1), F.floor(F.lit(conf.token_budget) / F.col("bucket_length")))
