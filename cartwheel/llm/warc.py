@@ -1,7 +1,9 @@
 """WARC archives in which a repeated payload is stored once: later records revisit the first.
 
-Only headers (digest, page_id) are grouped to find the first record of each payload; the pages are joined to it on the
-digest, each record gets fresh headers, and each partition is written as one archive of gzip members, one a record.
+Which record revisits which is decided on headers alone (page_id, digest, size): the headers are shuffled by digest to their
+original, and the few columns of the revisits found are joined to the pages on (page_id, digest), so copies of one page are
+spread by their ids. Pages that can't revisit, those that are small or have no page_id, are not shuffled at all. Each record gets fresh
+headers; a partition is written as archives of gzip members, one a record, a new one after every ``ROLL_BYTES``.
 Reading an archive back streams its members and checks every stored payload against its digest.
 
 A payload is the html in UTF-8; null html is an empty payload. Of records with equal payloads of at least
@@ -24,41 +26,49 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_arrow, open_fs, shared_folder, stored
+from .common import column, map_arrow, open_fs, shared_folder, stored
 
 LEAST_BYTES = 100
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 NAMESPACE = uuid.UUID("6f1c1a62-7a0f-4c57-9d55-0c2a6f5f1b11")
 READ = 1 << 20
+ROLL_BYTES = 1 << 30
+ROWS = 8192
 END = b"\r\n\r\n"
 
 
 def decided(pages: DataFrame) -> DataFrame:
     """page_id, url, html, payload_digest, payload_bytes, record_type and refers_to of every page."""
-    payload = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
+    payload = F.coalesce(column("html").cast("string"), F.lit("")).cast("binary")
     rows = pages.select(
-        F.col("page_id").cast("long").alias("page_id"),
-        F.col("url").cast("string").alias("url"),
+        column("page_id").cast("long").alias("page_id"),
+        column("url").cast("string").alias("url"),
         payload.alias("payload"),
     )
     rows = rows.withColumns({"payload_digest": F.sha2("payload", 256), "payload_bytes": F.octet_length("payload")})
+    can_repeat = (F.col("payload_bytes") >= LEAST_BYTES) & F.col("page_id").isNotNull()
+    headers = stored(rows.where(can_repeat).select("page_id", "payload_digest"), "headers")
     first = (
-        rows.where((F.col("payload_bytes") >= LEAST_BYTES) & F.col("page_id").isNotNull())
-        .groupBy("payload_digest")
+        headers.groupBy("payload_digest")
         .agg(F.min("page_id").alias("first_id"), F.max("page_id").alias("last_id"))
         .where("first_id < last_id")
         .select("payload_digest", "first_id")
     )
-    is_revisit = F.coalesce(F.col("page_id") > F.col("first_id"), F.lit(False))
-    return rows.join(first, "payload_digest", "left").select(
+    # each side of a join is stored, so that it has two plain shuffles and AQE can part a hot key
+    revisits = headers.join(stored(first, "originals"), "payload_digest").where("page_id > first_id").distinct()
+    revisits = stored(revisits, "revisits")
+    able = rows.where(can_repeat).join(revisits, ["page_id", "payload_digest"], "left")
+    every = able.unionByName(rows.where(~can_repeat).withColumn("first_id", F.lit(None).cast("long")))
+    is_revisit = F.col("first_id").isNotNull()
+    return every.select(
         "page_id",
         "url",
         # a revisit carries no payload
         F.when(~is_revisit, F.col("payload")).alias("payload"),
         "payload_digest",
         F.when(is_revisit, F.lit("revisit")).otherwise(F.lit("response")).alias("record_type"),
-        F.when(is_revisit, F.col("first_id")).alias("refers_to"),
+        F.col("first_id").alias("refers_to"),
     )
 
 
@@ -131,14 +141,15 @@ def parsed(data: bytes) -> tuple[dict[str, str], bytes]:
     return headers, payload
 
 
-def write(pages: DataFrame, folder: str | None = None, date: str = DATE) -> DataFrame:
+def write(pages: DataFrame, folder: str | None = None, date: str = DATE, roll_bytes: int = ROLL_BYTES) -> DataFrame:
     """Write the archives; one row (path, n_records) a file, stored in the shared folder."""
     folder = folder or shared_folder(pages.sparkSession, "warc")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        sink, path, n = None, "", 0
+        kinds = pa.schema({"path": pa.string(), "n_records": pa.int64()})
+        sink, path, n, size = None, "", 0, 0
         for batch in batches:
             columns = [batch.column(i) for i in range(5)]
             for row in range(batch.num_rows):
@@ -147,11 +158,15 @@ def write(pages: DataFrame, folder: str | None = None, date: str = DATE) -> Data
                     files.create_dir(inside, recursive=True)
                     name = f"pages-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.warc.gz"
                     path, sink = f"{folder}/{name}", files.open_output_stream(f"{inside}/{name}", compression=None)
-                sink.write(gzip_member(record(*(c[row].as_py() for c in columns), date)))
-                n += 1
+                member = gzip_member(record(*(c[row].as_py() for c in columns), date))
+                sink.write(member)
+                n, size = n + 1, size + len(member)
+                if size >= roll_bytes:
+                    sink.close()
+                    yield pa.RecordBatch.from_pylist([{"path": path, "n_records": n}], kinds)
+                    sink, n, size = None, 0, 0
         if sink is not None:
             sink.close()
-            kinds = pa.schema({"path": pa.string(), "n_records": pa.int64()})
             yield pa.RecordBatch.from_pylist([{"path": path, "n_records": n}], kinds)
 
     rows = decided(pages).select("page_id", "url", "payload", "payload_digest", "refers_to")
@@ -167,6 +182,11 @@ def read(spark: SparkSession, files: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
         kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64())
+
+        def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+            columns = zip(*rows, strict=True)
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+
         for batch in batches:
             for path in batch.column(0).to_pylist():
                 files, inside = open_fs(path)
@@ -178,8 +198,11 @@ def read(spark: SparkSession, files: DataFrame) -> DataFrame:
                         page_id, refers_to = (int(x) if x is not None else None for x in ids)
                         size = len(payload) if kind == "response" else None
                         rows.append((page_id, size, headers["WARC-Payload-Digest"][7:], kind, refers_to))
-                columns = zip(*rows, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+                        if len(rows) == ROWS:
+                            yield batch_of(rows)
+                            rows = []
+                    if rows:
+                        yield batch_of(rows)
 
     n = max(1, files.count())
     found = map_arrow(
@@ -188,16 +211,8 @@ def read(spark: SparkSession, files: DataFrame) -> DataFrame:
         "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long",
     )
     found = stored(found, "warc-records")
-    sizes = (
-        found.where("record_type = 'response' and page_id is not null")
-        .groupBy(F.col("page_id").alias("refers_to"), "payload_digest")
-        .agg(F.max("payload_bytes").alias("original_bytes"))
-    )
-    resolved = found.join(sizes, ["refers_to", "payload_digest"], "left")
-    return resolved.select(
-        "page_id",
-        F.coalesce("payload_bytes", "original_bytes").alias("payload_bytes"),
-        "payload_digest",
-        "record_type",
-        "refers_to",
-    )
+    responses, revisits = (found.where(F.col("record_type") == kind) for kind in ("response", "revisit"))
+    sizes = responses.where("page_id is not null").groupBy(F.col("page_id").alias("refers_to"), "payload_digest")
+    sizes = stored(sizes.agg(F.max("payload_bytes").alias("payload_bytes")), "original-sizes")
+    revisits = revisits.drop("payload_bytes").join(sizes, ["refers_to", "payload_digest"], "left")
+    return responses.unionByName(revisits).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
