@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow
+from .common import column, map_arrow
 
 WIDTH, STRIDE, FILTERS, BLOCK = 7, 3, 24, 96
 BLOCKS_AT_ONCE = 512
@@ -156,14 +156,18 @@ def train(examples: list[tuple[bytes, int]], conf: Training = Training()) -> Net
 def learn(docs: DataFrame, labels: DataFrame, conf: Training = Training()) -> Network:
     """Fit on the bounded sample of ``docs`` (doc_id, text) that ``labels`` (doc_id, quality) marks."""
     marked = labels.where("quality in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("quality").alias("y"))
+    text = column("text").cast("string")
+    rows = docs.select(column("doc_id").alias("doc_id"), text.alias("text"))
+    rows = rows.where(F.coalesce(F.octet_length("text"), F.lit(0)) <= conf.bytes_a_class)
+    # labels of rows that are not there use up no place of the sample
+    marked = marked.join(rows.select("doc_id").distinct(), "doc_id")
     examples: list[tuple[bytes, int]] = []
     for y in (0, 1):
         chosen = marked.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(conf.rows_a_class)
-        # at most rows_a_class pairs of integers
-        text = F.col("text").cast("string")
-        fits = F.coalesce(F.octet_length(text), F.lit(0)) <= conf.bytes_a_class
-        sample = docs.select("doc_id", text.alias("text")).where(fits).join(F.broadcast(chosen), "doc_id")
-        sample = sample.dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").limit(conf.rows_a_class)
+        # at most rows_a_class pairs of integers; of a repeated doc_id the text of least hash counts
+        sample = rows.join(F.broadcast(chosen), "doc_id").groupBy("doc_id")
+        sample = sample.agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+        sample = sample.orderBy(F.xxhash64("doc_id"), "doc_id")
         total = 0
         for r in sample.toLocalIterator():
             data = (r["text"] or "").encode("utf-8", "surrogatepass")
@@ -184,6 +188,6 @@ def scored(docs: DataFrame, net: Network, keep: tuple[str, ...] = ("doc_id",)) -
                 [*(batch.column(i) for i in range(len(keep))), *arrays], [*keep, "score", "predicted"]
             )
 
-    rows = docs.select(*keep, F.col("text").cast("string").alias("_text"))
+    rows = docs.select(*[column(c) for c in keep], column("text").cast("string").alias("_text"))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
     return map_arrow(rows, run, f"{kinds}, score double, predicted int")
