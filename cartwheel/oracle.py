@@ -7,6 +7,8 @@ prepends only the ones a query needs, in dependency order.
 
 from __future__ import annotations
 
+from .schemas import FUNNEL_EVENT_TYPES
+
 # Fixed literals shared with the Spark side.
 AS_OF = "2024-02-01 00:00:00"
 RUN_STARTED_AT = "2024-01-15 12:00:00"
@@ -100,42 +102,34 @@ FROM part
 
 cte("stg_products", "SELECT * FROM products WHERE is_active = true", "products")
 
+# The newest copy of an event is the greatest row by (processing time, event time).
 cte(
     "deduped",
     """
-SELECT * EXCLUDE (rn) FROM (
-  SELECT *, row_number() OVER (PARTITION BY event_id
-                               ORDER BY processing_timestamp DESC NULLS LAST, event_timestamp DESC NULLS LAST) AS rn
-  FROM bronze WHERE event_id IS NOT NULL
-) WHERE rn = 1
+SELECT unnest(newest) FROM (
+  SELECT arg_max(b, {'processed': b.processing_timestamp, 'happened': b.event_timestamp}) AS newest
+  FROM bronze b WHERE b.event_id IS NOT NULL GROUP BY b.event_id
+)
 """,
     "bronze",
 )
 
 cte(
     "silver",
-    """
-SELECT * FROM deduped
-WHERE event_id IS NOT NULL AND user_id IS NOT NULL
-  AND event_type IN ('page_view', 'view_item', 'add_to_cart', 'purchase')
-  AND event_timestamp IS NOT NULL
+    f"""
+FROM deduped SEMI JOIN (SELECT unnest({FUNNEL_EVENT_TYPES}) AS event_type) USING (event_type)
+WHERE (user_id IS NULL OR event_timestamp IS NULL) = false
 """,
     "deduped",
 )
 
+# What the catalogue fills where the event says nothing.
+FILLED = ("category_id", "category_name", "brand", "price", "currency")
 cte(
     "enriched",
-    """
-SELECT
-  c.event_id, c.user_id, c.session_id, c.event_type, c.event_timestamp, c.processing_timestamp,
-  c.product_id,
-  coalesce(c.category_id, p.category_id) AS category_id,
-  coalesce(c.category_name, p.category_name) AS category_name,
-  coalesce(c.brand, p.brand) AS brand,
-  coalesce(c.price, p.price) AS price,
-  coalesce(c.currency, p.currency) AS currency,
-  c.page_url, c.referrer_url, c.user_agent, c.ip_country, c.device_type, c.os, c.browser
-FROM silver c LEFT JOIN stg_products p ON c.product_id = p.product_id
+    f"""
+SELECT s.* REPLACE ({", ".join(f"ifnull(s.{c}, k.{c}) AS {c}" for c in FILLED)})
+FROM silver s LEFT JOIN stg_products k USING (product_id)
 """,
     "silver",
     "stg_products",
@@ -742,29 +736,9 @@ SELECT 'interleaved', (SELECT count(*) FROM (
         + "\n) GROUP BY suite",
         "silver",
     )
-    names, kinds = "(SELECT column_name FROM described)", "(SELECT column_name, column_type FROM described)"
-    described = build("SELECT * FROM silver", "silver")
-    wanted = ", ".join(f"({_q(c)})" for c in QK.SCHEMA_REQUIRED)
-    typed = ", ".join(f"({_q(c)}, {_q(QK.DUCKDB_TYPES[t])})" for c, t in QK.SCHEMA_TYPES.items())
-    barred = ", ".join(f"({_q(c)})" for c in QK.SCHEMA_FORBIDDEN)
-
-    def schema_row(check: str, found: str, outcome: str) -> str:
-        return (
-            f"SELECT 'contract' AS suite, 'stg_clickstream' AS table_name, {_q(check)} AS check_name, "
-            "string_agg(c, ',' ORDER BY c) AS column_name, CAST(count(*) AS DOUBLE) AS measured, 0.0 AS threshold, "
-            f"CASE WHEN count(*) > 0 THEN {_q(outcome)} ELSE 'pass' END AS outcome FROM ({found})"
-        )
-
-    q["dq_schema"] = f"WITH described AS (SELECT * FROM (DESCRIBE {described}))\n" + "\nUNION ALL\n".join(
-        [
-            schema_row("schema(required columns)", f"SELECT c FROM (VALUES {wanted}) w(c) WHERE c NOT IN {names}", "fail"),
-            schema_row(
-                "schema(column types)",
-                f"SELECT c FROM (VALUES {typed}) w(c, t) JOIN {kinds} ON column_name = c WHERE column_type <> t",
-                "warn",
-            ),
-            schema_row("schema(forbidden columns)", f"SELECT c FROM (VALUES {barred}) w(c) WHERE c IN {names}", "warn"),
-        ]
+    q["daily_unique_users"] = build(
+        "SELECT CAST(event_timestamp AS DATE) AS day, event_type, count(DISTINCT user_id) AS unique_users FROM enriched GROUP BY ALL",
+        "enriched",
     )
     # monitoring
     q["bronze_health"] = build("SELECT * FROM bronze_health", "bronze_health")

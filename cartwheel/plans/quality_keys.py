@@ -32,9 +32,3 @@ FRESHNESS = [
 ]
 ROW_COUNT = [C.row_count_above(100)]
 SENSOR_CURSOR = "2024-01-15 11:00:00"
-
-# Schema check: what silver must hold, with one absent column, one other type and one unwanted column.
-SCHEMA_REQUIRED = ["event_id", "user_id", "event_timestamp", "legacy_id"]
-SCHEMA_TYPES = {"event_id": "string", "event_timestamp": "timestamp_ntz", "price": "bigint"}
-SCHEMA_FORBIDDEN = ["ip_address", "user_agent"]
-DUCKDB_TYPES = {"string": "VARCHAR", "timestamp_ntz": "TIMESTAMP", "bigint": "BIGINT"}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import oracle
-from ..operators import gold, ingest, monitoring, sessions, silver
+from ..operators import distinct, gold, ingest, monitoring, sessions, silver
 from ..quality import checks as C
 from ..quality import contracts as K
 from ..quality.anomaly import ewma_anomalies
@@ -92,11 +92,10 @@ def queries() -> dict[str, Query]:
         gold.fct_cart_abandonment(_enriched(s, d), as_of), "analysis_date", "abandonment_rate",
         ["category_id", "category_name"],
     )
-    q["dq_schema"] = lambda s, d: C.schema_check(
-        s, _silver(s, d), "stg_clickstream", QK.SCHEMA_REQUIRED, QK.SCHEMA_TYPES, QK.SCHEMA_FORBIDDEN
-    )
     q["gate_outcome"] = lambda s, d: C.outcome_by_suite(K.scan(s, {"stg_clickstream": _silver(s, d)}, as_of=as_of))
     q["dq_scan"] = _scan
+    # stored partial states
+    q["daily_unique_users"] = _daily_unique_users
     # monitoring
     h_as_of = oracle.HEALTH_AS_OF
     q["bronze_health"] = lambda s, d: monitoring.bronze_health(td.bronze(s, d), h_as_of)
@@ -118,6 +117,13 @@ def queries() -> dict[str, Query]:
     return q
 
 
+def _daily_unique_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct users a day and type, from hourly states whose users are numbered."""
+    events = _enriched(spark, sf_dir).select("user_id", "event_type", "event_timestamp")
+    states = distinct.user_states(events, distinct.numbered(events, "user_id"), by=("event_type",))
+    return distinct.unique_users(states, "day", ("event_type",))
+
+
 def _bronze_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.typed_projection(td.bronze(spark, sf_dir))
 
