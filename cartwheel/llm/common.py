@@ -113,9 +113,9 @@ def map_same(df: DataFrame, run) -> DataFrame:
     return map_arrow(plain, run, plain.schema).toDF(*df.columns)
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` as a Parquet table in the shared folder and read it again: lineage ends there."""
-    path = shared_folder(df.sparkSession, label)
+def stored(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
+    """Write ``df`` as a Parquet table, in the shared folder unless a path is given, and read it again: lineage ends there."""
+    path = path or shared_folder(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -38,7 +38,7 @@ from .common import by_bytes, column, map_arrow, ship, stored, unfolded, whole_r
 from .components import connected_components
 from .shingles import PIECE_BYTES, min_max, mix, normalise, permutations, shingle_hashes, word_hashes
 
-BLOCK = 512
+BLOCK = 256
 STAR = 1024
 
 
