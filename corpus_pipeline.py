@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from cartwheel.llm import decontamination, near_dedup, packing, quality_rules, secret_scan, token_counts
-from cartwheel.llm.common import stored, table
+from cartwheel.llm.common import scratch, shared_folder, stored, table
 
 
 def reject_by_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,5 +56,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        path = shared_folder(spark, name)
+        with scratch(spark):  # what the stage stores on its way goes once its result is written
+            docs = stored(stage(spark, docs, sf_dir), name, path)
     return docs
