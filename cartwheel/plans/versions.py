@@ -113,7 +113,11 @@ class Store:
         return Version.from_json(rows.first()[0])
 
     def publish(self, version: Version) -> bool:
-        """Make a version visible; False if its number is taken."""
+        """Make a version visible; False if its number is taken.
+
+        The rename is the commit. Where a file system's rename replaces a file that is there (local disks do), the test before it
+        leaves a moment in which two writers could take one number: let one writer commit at a time there.
+        """
         fs = self._fs()
         fs.mkdirs(self._path("_versions"))
         final = self._path(f"_versions/{version.number:012d}.json")
@@ -187,9 +191,10 @@ class Draft:
         spark, folder = self.store.spark, f"{table}/{uuid.uuid4().hex}"
         day = F.col(day_col).cast("date") if day_col else F.lit(None).cast("date")
         keys = [F.col(DAY), *[F.col(c) if isinstance(c, str) else c for c in cluster_by]]
-        spread = [F.xxhash64(key)] if key else []
+        # rows of one day and cluster can still be parted
+        spread = F.xxhash64(key) if key else F.xxhash64(*rows.columns)
         out = rows.withColumn(DAY, day) if DAY not in rows.columns else rows.drop(DAY).withColumn(DAY, day)
-        out = out.repartitionByRange(*keys, *spread).sortWithinPartitions(*keys)
+        out = out.repartitionByRange(*keys, spread).sortWithinPartitions(*keys)
         self.write(out, folder, DAY)
         # the files as they are: number of rows, size and day, from footers and names
         written = spark.read.schema(rows.schema).option("basePath", f"{self.store.root}/{folder}").parquet(
@@ -231,7 +236,7 @@ class Draft:
         state = self.state(table, rows)
         deltas = self.stage(table, rows, day_col, (), "delta")
         state = replace(state, files=(*state.files, *deltas))
-        hit = self._files_with(state, self.store.open(state, deltas), key)
+        hit = self.files_with(state, self.store.open(state, deltas), key)
         self.tables[table] = replace(state, touched=tuple(sorted({*state.touched, *hit})))
 
     def fold(self, table: str, merge: Callable[[DataFrame], DataFrame], key: str, day_col: str, cluster_by=()) -> list[str]:
@@ -299,7 +304,7 @@ class Draft:
         filters = words.groupBy("path", "blocks", "block").agg(held.alias("m")).select("path", "blocks", "block", every.alias("words"))
         self.write(filters, f"{folder}-filters")
 
-    def _files_with(self, state: TableState, rows: DataFrame, key: str) -> list[str]:
+    def files_with(self, state: TableState, rows: DataFrame, key: str) -> list[str]:
         """Paths of the base files whose filter takes at least one key of ``rows``."""
         live = {f.path for f in state.of("base")}
         folders = sorted({p.rsplit("/", 2)[0] for p in live})

@@ -46,7 +46,7 @@ def scan_uniqueness(store: Store, table: str, key: str) -> Uniqueness:
 
     added = counted(new).groupBy("key").agg(F.count("*").alias("n")).checkpoint(eager=True)
     known = replace(state, files=tuple(f for f in state.files if f.path in checked))
-    opened = draft._files_with(known, store.open(state, new), key) if checked and new else []
+    opened = draft.files_with(known, store.open(state, new), key) if checked and new else []
     total = added
     if opened:
         older = counted([f for f in known.files if f.path in opened]).join(added.select("key"), "key", "left_semi")
