@@ -535,7 +535,7 @@ def test_pipeline_on_the_smallest_table(spark):
         assert docs.columns == columns
         after = {r.doc_id: r.text for r in docs.collect()}
         if name == "quality_rules":
-            assert set(before) - set(after) == {i for i, t in before.items() if i not in after}
+            assert set(after) < set(before) and all(after[i] == before[i] for i in after)
             assert all(plain_measures(t)["n_words"] >= 10 for t in after.values())
         elif name == "near_dedup":
             want = plain_components(list(before.items()), 80)
