@@ -8,8 +8,8 @@ Index: every vector is keyed by its nearest pivot and its distance from it. In t
 of at most ``block`` rows, each stored as one row with its least and greatest distance. The pivots come from a sample of
 ``SAMPLE`` rows, each the farthest from those before; every vector is indexed, and any choice of pivots gives the same result.
 
-Search: queries go in batches. The best scores of a query inside its own annulus give a radius that its results can't
-exceed. A batch meets only the annuli whose distances overlap ``[d - radius, d + radius]`` of some query, d being the query's
+Search: queries go in batches. The best scores of a query in its own annulus and the rows before it give a radius that its
+results can't exceed. A batch meets only the annuli whose distances overlap ``[d - radius, d + radius]`` of some query, d being the query's
 distance from their pivot: an equality join on the pivot with a range on the distance. In a task a batch expands over its annuli
 in order of their bound. A query passes over an annulus when its bound is beyond its k-th best; the batch stops
 when the bound is beyond the k-th best of all. Scores come from exact integer products, and bounds have room for rounding, so
@@ -182,18 +182,22 @@ def _indexed(space: Space, conf: Search):
 
         number = TaskContext.get().partitionId() << 32
         waiting: list[tuple[Block, np.ndarray]] = []
+        recent: Block | None = None
 
         def annulus(pivot: int, gaps: list[float], block: Block) -> dict:
-            nonlocal number
+            nonlocal number, recent
             number += 1
+            # any rows give a radius; a small annulus borrows from those before
+            near = block if recent is None else _joined([recent, block])
+            recent = near.take(slice(-conf.block, None))
             asked = np.flatnonzero(~block.nulls & (block.ids % conf.every == 0))
             if len(asked):
                 radii = np.full(len(asked), np.inf)
                 queries = block.take(asked)
-                if len(block.x) > conf.top:
-                    scores = exact_dots(queries.x, block.x)
-                    scores[np.arange(len(asked)), asked] = NO_SCORE
-                    kth = np.partition(scores, len(block.x) - conf.top, axis=1)[:, len(block.x) - conf.top]
+                if len(near.x) > conf.top:
+                    scores = exact_dots(queries.x, near.x)
+                    scores[queries.places[:, None] == near.places] = NO_SCORE
+                    kth = np.partition(scores, len(near.x) - conf.top, axis=1)[:, len(near.x) - conf.top]
                     radii = space.radius(queries.x, kth)
                 waiting.append((queries, radii))
             ends = {"low": gaps[0], "high": gaps[-1]}

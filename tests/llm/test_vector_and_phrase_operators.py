@@ -108,13 +108,13 @@ def test_search_passes_over_far_annuli(spark, make_vectors, monkeypatch):
         return kept[label]
 
     monkeypatch.setattr(pivot_search, "stored", stored)
-    got = pivot_search.search(make_vectors(rows), pivot_search.Search(block=20, batch=5, share=1000))
+    got = pivot_search.search(make_vectors(rows), pivot_search.Search(block=30, batch=1, share=1000))
     assert found(got) == plain_search(rows, 20)
     annuli = kept["annuli"].where("kind = 1").collect()
     batches = kept["annuli"].where("kind = 0").collect()
     met = sum(b["from"][a.pivot] <= a.high and a.low <= b["to"][a.pivot] for a in annuli for b in batches)
-    assert len(annuli) >= 40 and len(batches) >= 4
-    assert met <= 0.4 * len(annuli) * len(batches)  # what is sent to the batches at all
+    assert len(annuli) >= 30 and len(batches) >= 4
+    assert met <= 0.3 * len(annuli) * len(batches)  # a batch of one cluster is sent little of the others
     assert "CartesianProduct" not in got._jdf.queryExecution().toString()
 
 
