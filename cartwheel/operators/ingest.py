@@ -69,10 +69,19 @@ def parse_events(
         {"_keys": F.reverse(F.map_keys("_record")), "_values": F.reverse(F.map_values("_record"))}
     )
     keys = F.col("_keys")
-    j = {c: F.get("_values", F.array_position(keys, c).cast("int") - 1) for c in BRONZE_COLUMNS}
+    # All fields are looked up by one expression: a search written out for each of them makes a method of more than
+    # 8,000 bytes, which the JVM interprets and never compiles. Keys named twice stay a column of their own.
+    names = [c for c in BRONZE_COLUMNS if c != "processing_timestamp"]
+    places = F.transform(F.array(*map(F.lit, names)), lambda n: F.array_position(keys, n).cast("int") - 1)
+    decoded = decoded.withColumn("_places", F.when(keys.isNotNull(), places))
+    place = {c: F.get("_places", F.lit(i)) for i, c in enumerate(names)}
+    j = {c: F.get("_values", place[c]) for c in names}
+    decoded = decoded.withColumns(
+        {"_event_time": to_ntz(j["event_timestamp"]), "_price": j["price"].try_cast("double")}
+    )
 
     def has(k: str) -> Column:
-        return F.coalesce(F.array_contains(keys, k), F.lit(False))
+        return F.coalesce(place[k] >= 0, F.lit(False))
 
     synthetic_id = F.concat_ws("-", F.lit("kafka"), F.col("topic"), F.col("partition"), F.col("offset"))
     reason = F.when(keys.isNull(), F.lit(MALFORMED))
@@ -81,9 +90,8 @@ def parse_events(
     reason = reason.when(
         ~F.coalesce(j["event_type"].isin(FUNNEL_EVENT_TYPES), F.lit(False)), F.lit(INVALID_TYPE)
     ).when(F.coalesce(j["user_id"], F.lit("")) == "", F.lit(EMPTY_USER))
-    event_time, price = j["event_timestamp"], j["price"]
-    reason = reason.when(event_time.isNotNull() & to_ntz(event_time).isNull(), F.lit(INVALID_TIME))
-    reason = reason.when(price.isNotNull() & price.try_cast("double").isNull(), F.lit(INVALID_PRICE))
+    reason = reason.when(j["event_timestamp"].isNotNull() & F.col("_event_time").isNull(), F.lit(INVALID_TIME))
+    reason = reason.when(j["price"].isNotNull() & F.col("_price").isNull(), F.lit(INVALID_PRICE))
     if strict:
         fatal = keys.isNull()
         for field in REQUIRED_EVENT_FIELDS:
@@ -99,11 +107,11 @@ def parse_events(
                 F.when(keys.isNull(), F.lit(None).cast("string")).when(has("event_id"), j[c]).otherwise(synthetic_id).alias(c)
             )
         elif c == "event_timestamp":
-            cols.append(to_ntz(j[c]).alias(c))
+            cols.append(F.col("_event_time").alias(c))
         elif c == "processing_timestamp":
             cols.append(F.col("_processing_ts").alias(c))
         elif c == "price":
-            cols.append(j[c].try_cast("double").alias(c))
+            cols.append(F.col("_price").alias(c))
         else:
             cols.append(j[c].alias(c))
     typed = F.inline(F.array(F.struct(*cols, reason.alias("reject_reason"))))

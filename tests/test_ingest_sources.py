@@ -1,13 +1,14 @@
 import datetime as dt
 import json
 import os
+import random
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from cartwheel.operators import ingest, monitoring
-from cartwheel.schemas import ENVELOPE_SCHEMA
+from cartwheel.schemas import BRONZE_COLUMNS, ENVELOPE_SCHEMA
 from cartwheel.sources import seeds
 from cartwheel.sources.bronze import read_bronze, write_bronze
 from cartwheel.sources.kafka import kafka_source_options
@@ -109,6 +110,44 @@ def test_json_is_decoded_once_a_record(spark, tmp_dir):
         assert [c.lower() for c in json_calls] == ["from_json("], plan
 
 
+def test_no_parse_method_is_too_large_to_compile(spark, tmp_dir):
+    """The JVM compiles no method of more than 8,000 bytes; one that stays interpreted takes several times as long."""
+    path = os.path.join(tmp_dir, "envelope")
+    values = ['{"user_id":"u1","event_type":"purchase","event_timestamp":"2024-01-15T11:00:00","price":"12.5"}', "{bad"]
+    _env(spark, values).write.parquet(path)
+    env = spark.read.parquet(path)
+    parsed = ingest.parse_events(env)
+    takes = [ingest.accepted, ingest.dead_letter, ingest.missing_required, ingest.event_ids, lambda p: p.select("user_id")]
+    for df in (parsed, ingest.parse_events(env, strict=True), *(f(parsed) for f in takes)):
+        text = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "codegen")
+        sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+        assert sizes and max(sizes) <= 8000, sizes
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("map_keys(_record") == 1, plan  # not once for each field that is looked up
+
+
+def test_keys_of_any_order_number_and_repeat_find_their_fields(spark):
+    """Every field by its own key: keys shuffled, left out, null, unknown and repeated (the last one counts)."""
+    names = [c for c in BRONZE_COLUMNS if c != "processing_timestamp"]
+    texts, wants = [], []
+    for i in range(60):
+        rng = random.Random(i)
+        pairs = [(c, rng.choice([None, f"{c} {i}", ""])) for c in rng.sample(names, rng.randint(0, len(names)))]
+        pairs += [(c, f"again {i}") for c, _ in rng.sample(pairs, len(pairs) // 3)] + [("other", "x"), ("", "y")]
+        pairs = rng.sample(pairs, len(pairs))
+        texts.append("{" + ",".join(f"{json.dumps(c)}:{json.dumps(v)}" for c, v in pairs) + "}")
+        wants.append(dict(pairs))
+    got = ingest.parse_events(_env(spark, texts)).orderBy("offset").collect()
+    for i, (row, want) in enumerate(zip(got, wants, strict=True)):
+        for c in names:
+            if c not in ("event_id", "event_timestamp", "price"):
+                assert row[c] == want.get(c), (i, c)
+        assert row["event_id"] == want.get("event_id", f"kafka-ecommerce-events-1-{i}")
+        assert row["event_timestamp"] is None and row["price"] is None
+        missing = [c for c in ("user_id", "event_type", "event_timestamp") if c not in want]
+        assert row["reject_reason"] == (f"missing_{missing[0]}" if missing else "invalid_event_type")
+
+
 def test_only_whole_objects_are_decoded(spark):
     """Against Python's own decoder, on text after a value, repeated keys, nested values and marks inside the text."""
     base = '{"event_id":"e","user_id":"u","event_type":"purchase","event_timestamp":"2024-01-01T10:00:00"'
